@@ -9,9 +9,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata_engine.functions.numeric import round_half_away
+
 
 def _round(c: Column, decimals: int | None) -> Column:
-    return F.round(c, decimals) if decimals is not None else c
+    return round_half_away(c, decimals) if decimals is not None else c
 
 
 def _long_form(df: DataFrame, cols: Sequence[str], stats: dict[str, callable], decimals: int | None) -> DataFrame:

@@ -5,9 +5,9 @@ Small inputs (checked: at most the session broadcast bound) use one
 ``row_number()`` window, which is a single task over a bounded set. Larger
 ones are range-sorted across all tasks; each row's position is its rank
 inside its sorted partition plus the row count of all earlier partitions.
-That sorted set is checkpointed to the shared checkpoint folder first, so
-the per-partition counts and the positions read the same materialised
-layout even if a task is recomputed.
+The sorted set, with its partition ids, is written once to the shared
+checkpoint folder, so the per-partition counts and the positions read the
+same layout even if a task is recomputed.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata_engine.session import checkpoint_root, fits_broadcast
+from strata_engine.session import fits_broadcast, materialize
 
 
 def dense_index(df: DataFrame, order: Sequence[Column], out: str = "index", small: bool | None = None) -> DataFrame:
@@ -27,12 +27,11 @@ def dense_index(df: DataFrame, order: Sequence[Column], out: str = "index", smal
         small = fits_broadcast(df)
     if small:
         return df.withColumn(out, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
-    checkpoint_root(df.sparkSession)
-    sorted_df = (
+    sorted_df = materialize(
         df.orderBy(*order)
         .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("__mid", F.monotonically_increasing_id()),
+        "dense_index",
     )
     # monotonically_increasing_id = (partition << 33) + row-in-partition
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)

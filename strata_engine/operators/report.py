@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata_engine.functions.numeric import round_half_away
+
 
 def split_report(df: DataFrame, split_col: str = "split", strata_col: str = "demographic_strata",
                  decimals: int | None = None) -> DataFrame:
@@ -16,7 +18,7 @@ def split_report(df: DataFrame, split_col: str = "split", strata_col: str = "dem
     )
     share_split = F.col("n") / F.sum("n").over(Window.partitionBy("split"))
     share_strata = F.col("n") / F.sum("n").over(Window.partitionBy("strata"))
-    rnd = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
+    rnd = (lambda c: round_half_away(c, decimals)) if decimals is not None else (lambda c: c)
     return counts.select(
         "split", "strata", "n",
         rnd(share_split).alias("share_of_split"),

@@ -27,6 +27,7 @@ from pyspark.sql.types import (
 
 from strata_engine.functions import rules as R
 from strata_engine.functions.casts import id_suffix as id_suffix_expr
+from strata_engine.functions.numeric import round_half_away
 from strata_engine.operators import clean, profile, quality, report, scale, schema, split, strata, transform
 from strata_engine.plans import layers as L
 from strata_engine.plans import orders as OP
@@ -522,7 +523,7 @@ MULTI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def multi_column_scale(spark, sf):
     """Four columns, both scalings: every statistic in ONE aggregate job."""
     li = table(spark, sf, "lineitem")
-    out = scale.z_score(scale.min_max(li, MULTI, decimals=DEC), MULTI, decimals=DEC)
+    out = scale.scale(li, MULTI, ("min_max", "z_score"), decimals=DEC)
     return out.select(
         "l_orderkey", "l_linenumber", *[f"{c}_normalized" for c in MULTI], *[f"{c}_standardized" for c in MULTI]
     )
@@ -669,7 +670,7 @@ def pipeline(spark: SparkSession, sf: str, fresh: bool = False) -> dict[str, L.L
 
 
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(c, DEC) for c in cols if c in df.columns})
+    return df.withColumns({c: round_half_away(c, DEC) for c in cols if c in df.columns})
 
 
 def _layer_sql(name: str, cols: list[str]) -> str:
@@ -780,7 +781,7 @@ SEGMENT_EXPECTED = {s: 0.2 for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOU
 )
 def category_proportions(spark, sf):
     p = quality.proportions(table(spark, sf, "customer"), "c_mktsegment")
-    return p.withColumn("share", F.round("share", DEC))
+    return p.withColumn("share", round_half_away("share", DEC))
 
 
 @query(
@@ -796,4 +797,4 @@ def category_proportions(spark, sf):
 )
 def proportion_drift(spark, sf):
     p = quality.proportions(table(spark, sf, "customer"), "c_mktsegment", SEGMENT_EXPECTED, tolerance=0.01)
-    return p.withColumns({"share": F.round("share", DEC), "abs_diff": F.round("abs_diff", DEC)})
+    return p.withColumns({"share": round_half_away("share", DEC), "abs_diff": round_half_away("abs_diff", DEC)})

@@ -19,6 +19,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strat
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -48,13 +49,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/strata_scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a small derived table (key counts, fitted statistics) once to the
-    shared checkpoint folder and cut its lineage, so the size check, the
-    ranking and the join all read the same rows and a lost executor does not
-    recompute the aggregate."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a derived table (key counts, per-stratum cuts) once as parquet
+    in the shared checkpoint folder and read it back: one job, and the size
+    check, the ranking and the join all read the same rows; a lost executor
+    does not recompute the aggregate. (``DataFrame.checkpoint`` would run
+    the input plan twice: once to count, once to write.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_row_limit(spark: SparkSession) -> int:
