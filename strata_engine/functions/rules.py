@@ -32,9 +32,10 @@ def default_bound_name(col: str) -> str:
     return f"valid_{base}_values"
 
 
-def at_least(cols: Iterable[str], low: float) -> dict[str, str]:
-    """One lower-bound rule per column."""
-    return {default_bound_name(c): f"{_q(c)} >= {low}" for c in cols}
+def at_least(cols: Iterable[str], low: float, names: dict[str, str] | None = None) -> dict[str, str]:
+    """One lower-bound rule per column; ``names`` overrides rule names."""
+    names = names or {}
+    return {names.get(c, default_bound_name(c)): f"{_q(c)} >= {low}" for c in cols}
 
 
 def at_most(cols: Iterable[str], high: float) -> dict[str, str]:

@@ -60,9 +60,11 @@ def random_split_column(
 ) -> DataFrame:
     """One pass: ``out`` from a seeded uniform draw per row (layout-dependent
     like ``randomSplit``, but the input is read once, not once per arm)."""
-    u = F.rand(seed)
-    arm = sum((u >= F.lit(c)).cast("int") for c in _cuts(weights))
-    return df.withColumn(out, _label(arm, names))
+    # draw once into a column: a rand() repeated inside CASE branches would
+    # advance separately per branch and give inconsistent draws
+    drawn = df.withColumn("__u", F.rand(seed))
+    arm = sum((F.col("__u") >= F.lit(c)).cast("int") for c in _cuts(weights))
+    return drawn.withColumn(out, _label(arm, names)).drop("__u")
 
 
 def hash_split(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from strata_engine.operators.quality import enforce, observe_rules
+from strata_engine.operators.quality import enforce, observe_rules, report
 from strata_engine.operators.schema import check
 from strata_engine.sources.writers import save_parquet
 
@@ -54,11 +54,20 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
     kept, obs_out = observe_rules(kept, {}, f"{layer.name}_out")
     path = f"{root}/{layer.name}"
     save_parquet(kept, path, partition_by=layer.partition_by, compression=layer.compression)
-    m_in, m_out = obs_in.get, obs_out.get
-    # partition columns come back last: restore the declared order
-    frame = spark.read.parquet(path).select(*columns)
-    failed = {k.split(":", 1)[1]: int(v) for k, v in m_in.items() if k.startswith("failed:")}
-    return LayerResult(layer.name, frame, path, int(m_in["rows"]), int(m_out["rows"]), failed)
+    # read with the written schema: no inference (an empty layer has no
+    # files), partition values keep their types; partition columns come
+    # back last, so restore the declared order
+    frame = spark.read.schema(kept.schema).parquet(path).select(*columns)
+    try:
+        m_in, m_out = obs_in.get, obs_out.get
+        failed = {k.split(":", 1)[1]: int(v) for k, v in m_in.items() if k.startswith("failed:")}
+        rows_in, rows_out = int(m_in["rows"]), int(m_out["rows"])
+    except Exception:  # noqa: BLE001 - no metrics row for an input without partitions
+        rep = report(built, layer.rules).collect()
+        failed = {r.rule: int(r.n_failed) for r in rep}
+        rows_in = int(built.count()) if not rep else int(rep[0].n_total)
+        rows_out = int(frame.count())
+    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed)
 
 
 def run_pipeline(

@@ -74,6 +74,8 @@ CODE_LISTS = {
         -9: MISSING,
     },
 }
+# Rule name that does not follow the drop-"FLG" pattern of the others.
+RULE_NAME_EXCEPTIONS = {"TRAUSTREFLG": "valid_traustref_values"}
 UNKNOWN_LABEL = "Unknown"
 SEED = 42
 SPLIT_WEIGHTS = (0.6, 0.2, 0.2)
@@ -109,7 +111,7 @@ BASE_RULES = {
     **R.lossless_cast("AGE", "INT", name="valid_age_type"),
     **R.lossless_cast("YEAR", "INT", name="valid_year_type"),
     **R.lossless_cast(ID_COLUMN, "BIGINT", name="valid_caseid_type"),
-    **R.at_least(BOUNDED_COLUMNS, -9),
+    **R.at_least(BOUNDED_COLUMNS, -9, RULE_NAME_EXCEPTIONS),
 }
 BRONZE_RULES = dict(BASE_RULES)
 SILVER_1_RULES = dict(BASE_RULES)
