@@ -129,12 +129,16 @@ def partitioned_roundtrip(spark, sf):
     "FROM orders GROUP BY o_orderstatus, o_orderpriority",
 )
 def repartition_write(spark, sf):
-    """``repartition(n, key)`` before a two-level partitioned save: each
-    status is written by one task, so each directory gets ONE file."""
+    """Cluster by a key before a two-level partitioned save, so each
+    directory is written by few tasks (here: one file per directory). The
+    clustering is a REBALANCE: AQE splits a partition that outgrows the
+    advisory size, so a status holding a third of all rows is still written
+    by several tasks; ``num_partitions=`` gives the fixed
+    ``repartition(n, key)`` form instead."""
     path = scratch_path(spark, "orders_clustered")
     writers.save_parquet(
         table(spark, sf, "orders"), path, partition_by=["o_orderstatus", "o_orderpriority"],
-        cluster_by=["o_orderstatus"], num_partitions=4,
+        cluster_by=["o_orderstatus"],
     )
     back = readers.read_parquet(spark, path)
     return back.groupBy("o_orderstatus", "o_orderpriority").agg(

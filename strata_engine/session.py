@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Conf key (read from the session) for the largest row count we broadcast.
 BROADCAST_ROWS_KEY = "strata.broadcast.maxRows"
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 250_000  # ~20 MB for the narrow key tables we broadcast
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strata_engine") -> SparkSession:

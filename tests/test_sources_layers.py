@@ -31,8 +31,10 @@ def test_partitioned_parquet_and_table(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(g" in back.filter("g = 1")._jdf.queryExecution().executedPlan().toString()
     writers.save_table(df, "t_roundtrip", partition_by=["g"], path=str(tmp_path / "tbl"))
     assert readers.read_table(spark, "t_roundtrip").count() == 100
-    writers.drop_tables(spark, ["t_roundtrip"])
-    assert not spark.catalog.tableExists("t_roundtrip")
+    writers.save_table(df.filter("g = 0"), "t_flat", path=str(tmp_path / "flat"))   # unpartitioned
+    assert readers.read_table(spark, "t_flat").count() == 34
+    writers.drop_tables(spark, ["t_roundtrip", "t_flat"])
+    assert not spark.catalog.tableExists("t_roundtrip") and not spark.catalog.tableExists("t_flat")
 
 
 def _write_csv(spark, rows, path):
