@@ -19,9 +19,27 @@ def in_range_or(col: str, low: float, sentinel: float, name: str | None = None)
     return {name or f"non_negative_{col.lower()}": f"{_q(col)} >= {low} OR {_q(col)} = {sentinel}"}
 
 
+# Inclusive bounds of the integral cast targets that can overflow.
+_INT_TARGETS = {
+    "TINYINT": (-128, 127),
+    "SMALLINT": (-32768, 32767),
+    "INT": (-2147483648, 2147483647),
+    "INTEGER": (-2147483648, 2147483647),
+}
+
+
 def lossless_cast(col: str, to: str, name: str | None = None) -> dict[str, str]:
-    """Casting to ``to`` keeps the value (an out-of-range value fails, not raises)."""
-    return {name or f"valid_{col.lower()}_type": f"try_cast({_q(col)} AS {to}) = {_q(col)}"}
+    """Casting the (numeric) column to ``to`` keeps the value; an
+    out-of-range value fails the rule. For integral targets a range check
+    comes first (AND short-circuits), so overflowing values never reach
+    ``try_cast``'s per-row exception path."""
+    q = _q(col)
+    check = f"try_cast({q} AS {to}) = {q}"
+    bounds = _INT_TARGETS.get(to.strip().upper())
+    if bounds is not None:
+        lo, hi = bounds
+        check = f"{q} > {lo - 1} AND {q} < {hi + 1} AND {check}"
+    return {name or f"valid_{col.lower()}_type": check}
 
 
 def default_bound_name(col: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata_engine.functions.hashing import hash_hex, hex_prefix_value, unit_hash
-from strata_engine.session import fits_broadcast, materialize
+from strata_engine.session import collect_small, materialize
 
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
 DEFAULT_NAMES = ("train", "validation", "test")
@@ -110,7 +110,8 @@ def stratified_split(
        counted with a partial aggregate;
     2. on that small count table, a running sum per stratum finds, for each
        cut, the bucket that holds it and the rows before that bucket; this
-       gives one row per stratum, checkpointed, size-checked, broadcast;
+       gives one row per stratum, size-checked and broadcast (or, beyond
+       the bound, written to the checkpoint folder and shuffle-joined);
     3. a row in any other bucket knows its arm from its bucket alone (row
        local, no shuffle); only rows in the (at most len(weights)-1) cut
        buckets per stratum are ranked, in groups of about n / 16^digits rows.
@@ -138,13 +139,16 @@ def stratified_split(
         *[F.when(hi > F.floor(F.lit(c) * F.col("__n") + F.lit(0.5)), F.col("__before")).alias(f"__off{i}")
           for i, c in enumerate(cuts)],
     )
-    per_stratum = materialize(per_bucket.groupBy("__s").agg(
+    cut_table = per_bucket.groupBy("__s").agg(
         F.first("__n").alias("__n"),
         *[F.min(f"__in{i}").alias(f"__b{i}") for i in range(k)],
         *[F.min(f"__off{i}").alias(f"__o{i}") for i in range(k)],
-    ))
-    if fits_broadcast(per_stratum):
-        per_stratum = F.broadcast(per_stratum)
+    )
+    rows = collect_small(cut_table)  # one row per stratum, size-checked
+    if rows is not None:
+        per_stratum = F.broadcast(df.sparkSession.createDataFrame(rows, cut_table.schema))
+    else:
+        per_stratum = materialize(cut_table, "strata_cuts")
     joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "inner")
 
     b = F.col(bcol)

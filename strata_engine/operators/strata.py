@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.operators.ranking import dense_index
-from strata_engine.session import fits_broadcast, materialize
+from strata_engine.session import collect_small, materialize
 
 
 def strata_expr(cols: Sequence[str], sep: str = "_", null_token: str | None = None):
@@ -46,33 +46,44 @@ def frequency_index(
     order), as a double.
 
     Counting is a partial aggregate (a hot value is merged per task before
-    the shuffle). The label table (one row per distinct value) is ranked and
-    broadcast back only when its size is under the session bound; beyond
-    that it is ranked across tasks (:func:`dense_index`) and shuffle-joined,
-    with AQE splitting hot values on the big side.
+    the shuffle). When the label table (one row per distinct value) is under
+    the session bound, it is ranked like the ML indexer's fit and broadcast
+    back (one job); beyond that it is written once, ranked across tasks
+    (:func:`dense_index`) and shuffle-joined, with AQE splitting hot values
+    on the big side.
 
     ``on_null``: ``error`` raises if the column has NULLs (as the ML
     indexer); ``keep`` gives NULL rows the index ``number of labels``;
     ``skip`` drops NULL rows.
     """
+    spark = df.sparkSession
     key = F.col(col).cast("string")
-    counts = materialize(df.groupBy(key.alias("__label")).agg(F.count(F.lit(1)).alias("__n")))
-    labels = counts.filter(F.col("__label").isNotNull())
+    counts = df.groupBy(key.alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = collect_small(counts)
+    if rows is not None:
+        # bounded label table: rank it as the ML indexer's fit does
+        has_null = any(r["__label"] is None for r in rows)
+        labels = sorted((r for r in rows if r["__label"] is not None), key=lambda r: (-r["__n"], r["__label"]))
+        n_labels = len(labels)
+        ranked = F.broadcast(spark.createDataFrame(
+            [(r["__label"], float(i)) for i, r in enumerate(labels)], "__label string, __idx double"
+        ))
+    else:
+        stored = materialize(counts, "labels")
+        has_null = stored.filter(F.col("__label").isNull()).limit(1).count() > 0
+        labels_df = stored.filter(F.col("__label").isNotNull())
+        n_labels = labels_df.count()
+        ranked = dense_index(labels_df, [F.col("__n").desc(), F.col("__label").asc()], "__idx", small=False)
+        ranked = ranked.select("__label", F.col("__idx").cast("double").alias("__idx"))
     if on_null == "error":
-        if counts.filter(F.col("__label").isNull()).limit(1).count() > 0:
+        if has_null:
             raise NullLabel(f"column {col!r} has NULL values")
     elif on_null == "skip":
         df = df.filter(F.col(col).isNotNull())
     elif on_null != "keep":
         raise ValueError("on_null must be error, keep or skip")
-    small = fits_broadcast(labels)
-    ranked = dense_index(labels, [F.col("__n").desc(), F.col("__label").asc()], "__idx", small=small)
-    ranked = ranked.select("__label", F.col("__idx").cast("double").alias("__idx"))
-    if small:
-        ranked = F.broadcast(ranked)
     joined = df.join(ranked, key == ranked["__label"], "left")
     idx = F.col("__idx")
     if on_null == "keep":
-        n_labels = labels.select(F.count(F.lit(1))).scalar()
-        idx = F.when(F.col(col).isNull(), n_labels.cast("double")).otherwise(idx)
+        idx = F.when(F.col(col).isNull(), F.lit(float(n_labels))).otherwise(idx)
     return joined.withColumn(out, idx).drop("__label", "__idx")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata_engine.functions.casts import id_suffix as id_suffix_expr
+from strata_engine.functions.casts import safe_cast
 from strata_engine.functions.codes import code_label
 from strata_engine.session import fits_broadcast
 
@@ -71,4 +72,5 @@ def id_suffix(
 def cast_columns(df: DataFrame, types: Mapping[str, str], suffix: str = "") -> DataFrame:
     """Cast many columns in one projection; a value that does not fit becomes
     NULL instead of failing the job. With ``suffix`` the originals are kept."""
-    return df.withColumns({f"{c}{suffix}": F.col(c).try_cast(t) for c, t in types.items()})
+    src = dict(df.dtypes)
+    return df.withColumns({f"{c}{suffix}": safe_cast(c, t, src[c]) for c, t in types.items()})

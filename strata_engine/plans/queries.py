@@ -409,7 +409,8 @@ def rule_not_null(spark, sf):
 def rule_not_blank(spark, sf):
     """Not NULL and not empty, over whole texts: the text itself, and the
     text with all ASCII letters removed (empty for letter-only texts)."""
-    d = table(spark, sf, "documents").select("doc_id", "text", F.regexp_replace("text", "[A-Za-z]", "").alias("t2"))
+    letters = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1)) + "".join(chr(c) for c in range(ord("a"), ord("z") + 1))
+    d = table(spark, sf, "documents").select("doc_id", "text", F.translate("text", letters, "").alias("t2"))
     flagged = quality.flag(d, {**R.not_blank("text", "t"), **R.not_blank("t2", "t2")})
     return flagged.select(
         "doc_id",

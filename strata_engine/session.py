@@ -65,6 +65,18 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_KEY, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def collect_small(df: DataFrame, limit: int | None = None) -> list | None:
+    """Run ``df`` (an aggregate over keys) once and return its rows if there
+    are at most ``limit`` (the session broadcast bound), else None.
+
+    This is the build side of a broadcast join, which also passes through
+    the driver; it is never used for data whose size is not checked here.
+    """
+    limit = broadcast_row_limit(df.sparkSession) if limit is None else limit
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Size check before a broadcast: counts at most ``limit + 1`` rows.
 

@@ -159,3 +159,39 @@ def test_hash_hex_matches_python_md5(spark):
 
     got = spark.createDataFrame([(12,)], "k long").select(hash_hex(["k"], 42).alias("h")).first().h
     assert got == hashlib.md5(b"42-12").hexdigest()
+
+
+@pytest.fixture()
+def tiny_broadcast_bound(spark):
+    from strata_engine.session import BROADCAST_ROWS_KEY
+
+    spark.conf.set(BROADCAST_ROWS_KEY, "3")
+    yield
+    spark.conf.unset(BROADCAST_ROWS_KEY)
+
+
+def test_frequency_index_over_bound_path(spark, tiny_broadcast_bound):
+    df = spark.createDataFrame([(s,) for s in "aabbbcdddde"] + [(None,)], "s string")
+    idx = {r.s: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep").collect()}
+    assert idx == {"d": 0.0, "b": 1.0, "a": 2.0, "c": 3.0, "e": 4.0, None: 5.0}
+
+
+def test_stratified_over_bound_path(spark, tiny_broadcast_bound):
+    rows = [(f"s{i % 7}", i) for i in range(700)]
+    df = spark.createDataFrame(rows, "s string, k long")
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], bucket_digits=2).collect()}
+    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
+
+
+def test_safe_casts_match_try_cast(spark):
+    from strata_engine.functions.casts import safe_cast
+
+    df = spark.createDataFrame(
+        [(3000000000, 2147483647.7, "2147483648", " 12"), (-5, -2147483648.9, "0000001", ""),
+         (None, float("nan"), "99999999999999999999", "x1")],
+        "l bigint, d double, s string, t string",
+    )
+    for c, t in (("l", "bigint"), ("d", "double"), ("s", "string"), ("t", "string")):
+        got = [r[0] for r in df.select(safe_cast(c, "int", t)).collect()]
+        want = [r[0] for r in df.select(F.col(c).try_cast("int")).collect()]
+        assert got == want, c
