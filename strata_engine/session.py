@@ -73,7 +73,8 @@ def collect_small(df: DataFrame, limit: int | None = None) -> list | None:
     the driver; it is never used for data whose size is not checked here.
     """
     limit = broadcast_row_limit(df.sparkSession) if limit is None else limit
-    rows = df.limit(limit + 1).collect()
+    # coalesce(1) keeps Spark from running the limit as incremental "take" jobs
+    rows = df.limit(limit + 1).coalesce(1).collect()
     return rows if len(rows) <= limit else None
 
 
