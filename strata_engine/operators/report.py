@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.functions.numeric import round_half_away
+from strata_engine.session import collect_small
 
 
 def split_report(df: DataFrame, split_col: str = "split", strata_col: str = "demographic_strata",
                  decimals: int | None = None) -> DataFrame:
     """Rows per (split, stratum) with the share of the split and the share of
-    the stratum. The data is aggregated first (partial per task); the
-    windows then run over that count table, one row per (split, stratum)."""
+    the stratum.
+
+    The data is aggregated once (partial per task) to one row per (split,
+    stratum); the split totals and stratum totals are aggregates of that
+    count table joined back — no window, so no task ever holds all strata
+    of a split. The split totals (one row per split, size-checked) are
+    broadcast.
+    """
     counts = df.groupBy(F.col(split_col).alias("split"), F.col(strata_col).alias("strata")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    share_split = F.col("n") / F.sum("n").over(Window.partitionBy("split"))
-    share_strata = F.col("n") / F.sum("n").over(Window.partitionBy("strata"))
+    split_tot = counts.groupBy("split").agg(F.sum("n").alias("__split_n"))
+    rows = collect_small(split_tot)
+    if rows is not None:
+        split_tot = F.broadcast(df.sparkSession.createDataFrame(rows, split_tot.schema))
+    strata_tot = counts.groupBy("strata").agg(F.sum("n").alias("__strata_n"))
+    joined = (
+        counts.join(split_tot, counts["split"].eqNullSafe(split_tot["split"]))
+        .drop(split_tot["split"])
+        .join(strata_tot, counts["strata"].eqNullSafe(strata_tot["strata"]))
+        .drop(strata_tot["strata"])
+    )
     rnd = (lambda c: round_half_away(c, decimals)) if decimals is not None else (lambda c: c)
-    return counts.select(
+    return joined.select(
         "split", "strata", "n",
-        rnd(share_split).alias("share_of_split"),
-        rnd(share_strata).alias("share_of_strata"),
+        rnd(F.col("n") / F.col("__split_n")).alias("share_of_split"),
+        rnd(F.col("n") / F.col("__strata_n")).alias("share_of_strata"),
     )

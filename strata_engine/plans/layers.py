@@ -32,6 +32,8 @@ class Layer:
     partition_by: Sequence[str] = ()
     schema_mode: str = "names_types"
     compression: str = "snappy"
+    # counted and reported, rows kept (the "expect" without "or drop")
+    warn_rules: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass
@@ -42,12 +44,14 @@ class LayerResult:
     rows_in: int
     rows_out: int
     failed: dict[str, int]
+    warned: dict[str, int] = field(default_factory=dict)
 
 
 def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame], root: str) -> LayerResult:
     built = layer.build(inputs)
     columns = built.columns
-    observed, obs_in = observe_rules(built, layer.rules, f"{layer.name}_in")
+    warn = {f"warn:{k}": v for k, v in layer.warn_rules.items()}
+    observed, obs_in = observe_rules(built, {**layer.rules, **warn}, f"{layer.name}_in")
     kept = enforce(observed, layer.rules, "drop")
     if layer.schema is not None:
         check(kept, layer.schema, layer.schema_mode)
@@ -60,14 +64,16 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
     frame = spark.read.schema(kept.schema).parquet(path).select(*columns)
     try:
         m_in, m_out = obs_in.get, obs_out.get
-        failed = {k.split(":", 1)[1]: int(v) for k, v in m_in.items() if k.startswith("failed:")}
+        counts = {k.split(":", 1)[1]: int(v) for k, v in m_in.items() if k.startswith("failed:")}
         rows_in, rows_out = int(m_in["rows"]), int(m_out["rows"])
     except Exception:  # noqa: BLE001 - no metrics row for an input without partitions
-        rep = report(built, layer.rules).collect()
-        failed = {r.rule: int(r.n_failed) for r in rep}
+        rep = report(built, {**layer.rules, **warn}).collect()
+        counts = {r.rule: int(r.n_failed) for r in rep}
         rows_in = int(built.count()) if not rep else int(rep[0].n_total)
         rows_out = int(frame.count())
-    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed)
+    failed = {k: v for k, v in counts.items() if not k.startswith("warn:")}
+    warned = {k[len("warn:"):]: v for k, v in counts.items() if k.startswith("warn:")}
+    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed, warned)
 
 
 def run_pipeline(
@@ -98,13 +104,15 @@ RUN_LOG_SCHEMA = StructType([
 
 
 def run_log(spark: SparkSession, results: Mapping[str, LayerResult]) -> DataFrame:
-    """One row per (layer, metric): rows_in, rows_out, failed:<rule>. A row
-    failing several rules is counted under each and dropped once."""
+    """One row per (layer, metric): rows_in, rows_out, failed:<rule> (rows
+    dropped), warned:<rule> (rows kept). A row failing several rules is
+    counted under each and dropped once."""
     rows = []
     for r in results.values():
         rows.append((r.name, "rows_in", r.rows_in))
         rows.append((r.name, "rows_out", r.rows_out))
         rows += [(r.name, f"failed:{k}", v) for k, v in r.failed.items()]
+        rows += [(r.name, f"warned:{k}", v) for k, v in r.warned.items()]
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
 
 

@@ -161,7 +161,7 @@ def _gold_splits(inputs):
 
 def layers() -> list[Layer]:
     return [
-        Layer("bronze", _bronze, BRONZE_RULES, BRONZE_SCHEMA, PARTITION_COLUMNS),
+        Layer("bronze", _bronze, BRONZE_RULES, BRONZE_SCHEMA, PARTITION_COLUMNS, warn_rules=PARTITION_NOT_NULL),
         Layer("silver_1", _silver_1, SILVER_1_RULES, SILVER_1_SCHEMA, PARTITION_COLUMNS),
         Layer("silver_2", _silver_2, SILVER_2_RULES, SILVER_2_SCHEMA, PARTITION_COLUMNS),
         Layer("silver_3", _silver_3, SILVER_3_RULES, SILVER_3_SCHEMA, [SPLIT_COL]),

@@ -80,6 +80,7 @@ def test_survey_pipeline_edge_rows(spark, survey_rows, tmp_path):
     assert splits.count() == 4 and set(splits.columns) == set(survey.GOLD_SPLITS_SCHEMA.fieldNames())
     log = {(r.layer, r.metric): r.value for r in run_log(spark, res).collect()}
     assert log[("bronze", "rows_out")] == 6 and log[("gold_full", "rows_out")] == 4
+    assert log[("bronze", "warned:valid_gender")] == 0   # warn-only, rows kept
 
 
 def test_survey_constant_scaled_column(spark, survey_rows, tmp_path):
@@ -121,3 +122,14 @@ def test_survey_stream_matches_batch(spark, survey_rows, tmp_path):
     want = sorted(tuple(r) for r in batch.collect())
     assert n1 < len(got) and got == want
     assert os.path.isdir(ckpt)
+
+
+def test_warn_rules_keep_rows(spark, tmp_path):
+    from strata_engine.plans.layers import Layer, run_pipeline
+
+    src = spark.createDataFrame([(1, "a"), (2, None), (-1, "c")], "x int, y string")
+    layer = Layer("only", lambda i: i["src"], {"pos": "x > 0"}, warn_rules={"y_present": "y IS NOT NULL"})
+    res = run_pipeline(spark, [layer], str(tmp_path), sources={"src": src})["only"]
+    assert sorted(r.x for r in res.frame.collect()) == [1, 2]
+    assert res.failed == {"pos": 1} and res.warned == {"y_present": 1}
+    assert (res.rows_in, res.rows_out) == (3, 2)
