@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata_engine.functions.hashing import hash_hex, hex_prefix_value, unit_hash
-from strata_engine.session import collect_small, materialize
+from strata_engine.session import INLINE_KEYS, collect_small, materialize
 
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
 DEFAULT_NAMES = ("train", "validation", "test")
@@ -145,11 +145,16 @@ def stratified_split(
         *[F.min(f"__off{i}").alias(f"__o{i}") for i in range(k)],
     )
     rows = collect_small(cut_table)  # one row per stratum, size-checked
-    if rows is not None:
-        per_stratum = F.broadcast(df.sparkSession.createDataFrame(rows, cut_table.schema))
+    info_cols = ["__n"] + [f"__b{i}" for i in range(k)] + [f"__o{i}" for i in range(k)]
+    if rows is not None and len(rows) <= INLINE_KEYS:
+        # a handful of strata: the cut table becomes a map literal, no join
+        joined = keyed.withColumns(_inline_cuts(s, rows, info_cols, dict(df.dtypes)[strata_col]))
     else:
-        per_stratum = materialize(cut_table, "strata_cuts")
-    joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "inner")
+        if rows is not None:
+            per_stratum = F.broadcast(df.sparkSession.createDataFrame(rows, cut_table.schema))
+        else:
+            per_stratum = materialize(cut_table, "strata_cuts")
+        joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "inner")
 
     b = F.col(bcol)
     is_cut_bucket = F.lit(False)
@@ -175,6 +180,22 @@ def stratified_split(
     return plain.select(*cols).unionByName(edge.select(*cols))
 
 
+def _inline_cuts(s: Column, rows: list, info_cols: list[str], key_type: str) -> dict[str, Column]:
+    """Per-stratum cut values as a map literal keyed by the stratum (map keys
+    cannot be NULL, so a NULL stratum gets its own branch)."""
+    def packed(r):
+        return F.struct(*[F.lit(r[c]).cast("bigint").alias(c) for c in info_cols])
+
+    keyed = [r for r in rows if r["__s"] is not None]
+    nulls = [r for r in rows if r["__s"] is None]
+    looked = F.try_element_at(
+        F.create_map(*[x for r in keyed for x in (F.lit(r["__s"]).cast(key_type), packed(r))]), s
+    ) if keyed else F.lit(None)
+    if nulls:
+        looked = F.when(s.isNull(), packed(nulls[0])).otherwise(looked)
+    return {c: looked.getField(c) for c in info_cols}
+
+
 def save_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str = "parquet", mode: str = "overwrite") -> None:
     """One table for all splits, partitioned by the split column; reading a
     split back is partition pruning (see :func:`read_split`)."""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.operators.ranking import dense_index
-from strata_engine.session import collect_small, materialize
+from strata_engine.functions.codes import code_label
+from strata_engine.session import INLINE_KEYS, collect_small, materialize
 
 
 def strata_expr(cols: Sequence[str], sep: str = "_", null_token: str | None = None):
@@ -65,6 +66,10 @@ def frequency_index(
         has_null = any(r["__label"] is None for r in rows)
         labels = sorted((r for r in rows if r["__label"] is not None), key=lambda r: (-r["__n"], r["__label"]))
         n_labels = len(labels)
+        if n_labels <= INLINE_KEYS:
+            # a handful of labels: a map literal in the projection, no join
+            lookup = code_label(key, {r["__label"]: float(i) for i, r in enumerate(labels)}, None, "string")
+            return _finish_index(df, col, out, lookup, has_null, n_labels, on_null)
         ranked = F.broadcast(spark.createDataFrame(
             [(r["__label"], float(i)) for i, r in enumerate(labels)], "__label string, __idx double"
         ))
@@ -75,15 +80,21 @@ def frequency_index(
         n_labels = labels_df.count()
         ranked = dense_index(labels_df, [F.col("__n").desc(), F.col("__label").asc()], "__idx", small=False)
         ranked = ranked.select("__label", F.col("__idx").cast("double").alias("__idx"))
-    if on_null == "error":
-        if has_null:
-            raise NullLabel(f"column {col!r} has NULL values")
-    elif on_null == "skip":
-        df = df.filter(F.col(col).isNotNull())
-    elif on_null != "keep":
-        raise ValueError("on_null must be error, keep or skip")
     joined = df.join(ranked, key == ranked["__label"], "left")
-    idx = F.col("__idx")
+    return _finish_index(joined, col, out, F.col("__idx"), has_null, n_labels, on_null).drop("__label", "__idx")
+
+
+def _check_nulls(col: str, has_null: bool, on_null: str) -> None:
+    if on_null not in ("error", "keep", "skip"):
+        raise ValueError("on_null must be error, keep or skip")
+    if on_null == "error" and has_null:
+        raise NullLabel(f"column {col!r} has NULL values")
+
+
+def _finish_index(df: DataFrame, col: str, out: str, idx, has_null: bool, n_labels: int, on_null: str) -> DataFrame:
+    _check_nulls(col, has_null, on_null)
+    if on_null == "skip":
+        df = df.filter(F.col(col).isNotNull())
     if on_null == "keep":
         idx = F.when(F.col(col).isNull(), F.lit(float(n_labels))).otherwise(idx)
-    return joined.withColumn(out, idx).drop("__label", "__idx")
+    return df.withColumn(out, idx)

@@ -13,6 +13,12 @@ BROADCAST_ROWS_KEY = "strata.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 250_000  # ~20 MB for the narrow key tables we broadcast
 
 
+# Key tables up to this many rows become a constant-folded map literal in
+# the projection (no join, no broadcast job); plan-building cost grows with
+# the number of keys, so larger tables take the broadcast join.
+INLINE_KEYS = 128
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strata_engine") -> SparkSession:
     """Session for tests and the bench. On a cluster the caller brings its own."""
     return (

@@ -195,3 +195,21 @@ def test_safe_casts_match_try_cast(spark):
         got = [r[0] for r in df.select(safe_cast(c, "int", t)).collect()]
         want = [r[0] for r in df.select(F.col(c).try_cast("int")).collect()]
         assert got == want, c
+
+
+@pytest.fixture()
+def no_inline(monkeypatch):
+    import strata_engine.operators.split as S
+    import strata_engine.operators.strata as T
+
+    monkeypatch.setattr(S, "INLINE_KEYS", 0)
+    monkeypatch.setattr(T, "INLINE_KEYS", 0)
+
+
+def test_broadcast_join_paths(spark, no_inline):
+    rows = [(None if i % 97 == 0 else f"s{i % 9}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "s string, k long")
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], bucket_digits=2).collect()}
+    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
+    idx = {r.s: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep").collect()}
+    assert idx[None] == 9.0 and sorted(v for k, v in idx.items() if k is not None) == [float(i) for i in range(9)]
