@@ -190,7 +190,7 @@ def _inline_cuts(s: Column, rows: list, info_cols: list[str], key_type: str) ->
     nulls = [r for r in rows if r["__s"] is None]
     looked = F.try_element_at(
         F.create_map(*[x for r in keyed for x in (F.lit(r["__s"]).cast(key_type), packed(r))]), s
-    ) if keyed else F.lit(None)
+    ) if keyed else F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in info_cols) + ">")
     if nulls:
         looked = F.when(s.isNull(), packed(nulls[0])).otherwise(looked)
     return {c: looked.getField(c) for c in info_cols}

@@ -69,6 +69,7 @@ def frequency_index(
         if n_labels <= INLINE_KEYS:
             # a handful of labels: a map literal in the projection, no join
             lookup = code_label(key, {r["__label"]: float(i) for i, r in enumerate(labels)}, None, "string")
+            lookup = lookup.cast("double")  # typed even with no labels
             return _finish_index(df, col, out, lookup, has_null, n_labels, on_null)
         ranked = F.broadcast(spark.createDataFrame(
             [(r["__label"], float(i)) for i, r in enumerate(labels)], "__label string, __idx double"
