@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strata_engine.functions.rules import conjunction
+from strata_engine.session import collect_small, materialize
 
 
 class RuleViolation(ValueError):
@@ -100,16 +101,25 @@ def proportions(
     """Share of each value of ``col`` (NULL included as its own value).
 
     Counts are pre-aggregated per task, so a hot value costs nothing extra;
-    the total is a scalar subquery, not a single-partition window. With
+    the count table (one row per value) is computed once, kept local when
+    under the session bound, else written to the checkpoint folder; the
+    total comes from it, not from a single-partition window. With
     ``expected`` ({value: share}, the codebook), adds expected_share,
     abs_diff and within_tolerance; values present on only one side are kept.
     """
+    spark = df.sparkSession
     counts = df.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.select(F.sum("n")).scalar()
+    # the count table is computed once: local when small, else written
+    rows = collect_small(counts)
+    if rows is not None:
+        counts = spark.createDataFrame(rows, counts.schema)
+        total = F.lit(sum(r["n"] for r in rows))
+    else:
+        counts = materialize(counts, "proportions")
+        total = counts.select(F.sum("n")).scalar()
     observed = counts.select("value", "n", (F.col("n") / total).alias("share"))
     if expected is None:
         return observed
-    spark = df.sparkSession
     schema = StructType([StructField("value", StringType()), StructField("expected_share", DoubleType())])
     exp = spark.createDataFrame([(str(k), float(v)) for k, v in expected.items()], schema)
     joined = observed.join(exp, observed["value"].eqNullSafe(exp["value"]), "full_outer")

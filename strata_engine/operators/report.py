@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.functions.numeric import round_half_away
-from strata_engine.session import collect_small
+from strata_engine.session import collect_small, materialize
 
 
 def split_report(df: DataFrame, split_col: str = "split", strata_col: str = "demographic_strata",
@@ -15,18 +15,18 @@ def split_report(df: DataFrame, split_col: str = "split", strata_col: str = "dem
     the stratum.
 
     The data is aggregated once (partial per task) to one row per (split,
-    stratum); the split totals and stratum totals are aggregates of that
-    count table joined back — no window, so no task ever holds all strata
-    of a split. The split totals (one row per split, size-checked) are
-    broadcast.
+    stratum), and that count table is brought to one place once: kept as a
+    local table when under the session bound, else written to the shared
+    checkpoint folder. Split and stratum totals are aggregates of it joined
+    back: the input plan runs once and no task holds all strata of a split.
     """
+    spark = df.sparkSession
     counts = df.groupBy(F.col(split_col).alias("split"), F.col(strata_col).alias("strata")).agg(
         F.count(F.lit(1)).alias("n")
     )
+    rows = collect_small(counts)
+    counts = spark.createDataFrame(rows, counts.schema) if rows is not None else materialize(counts, "split_counts")
     split_tot = counts.groupBy("split").agg(F.sum("n").alias("__split_n"))
-    rows = collect_small(split_tot)
-    if rows is not None:
-        split_tot = F.broadcast(df.sparkSession.createDataFrame(rows, split_tot.schema))
     strata_tot = counts.groupBy("strata").agg(F.sum("n").alias("__strata_n"))
     joined = (
         counts.join(split_tot, counts["split"].eqNullSafe(split_tot["split"]))
