@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata_engine.functions.hashing import hash_hex, hex_prefix_value, unit_hash
+from strata_engine.functions.codes import code_label
+from strata_engine.functions.hashing import hash_hex, unit_hash
 from strata_engine.session import INLINE_KEYS, collect_small, materialize
 
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
@@ -93,7 +94,9 @@ def stratified_split(
     names: Sequence[str] = DEFAULT_NAMES,
     seed: int = 42,
     out: str = "split",
-    bucket_digits: int = 4,
+    target_rows: int = 1_000_000,
+    max_digits: int = 6,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Exact stratified split.
 
@@ -102,30 +105,37 @@ def stratified_split(
     ``floor(cum_weight_i * n + 0.5)`` and above the previous cut (strata of
     1, 2, 3, 4 rows at 60/20/20 give 1/0/0, 1/1/0, 2/0/1, 2/1/1).
 
-    Plan (no task ever holds a whole stratum, so a stratum with a third of
-    all rows is fine):
-
-    1. the first ``bucket_digits`` hex digits of the hash split every stratum
-       into up to 16^digits ordered buckets; rows per (stratum, bucket) are
-       counted with a partial aggregate;
-    2. on that small count table, a running sum per stratum finds, for each
-       cut, the bucket that holds it and the rows before that bucket; this
-       gives one row per stratum, size-checked and broadcast (or, beyond
-       the bound, written to the checkpoint folder and shuffle-joined);
-    3. a row in any other bucket knows its arm from its bucket alone (row
-       local, no shuffle); only rows in the (at most len(weights)-1) cut
-       buckets per stratum are ranked, in groups of about n / 16^digits rows.
+    Plan (no task ever holds a large stratum, so a stratum with a third of
+    all rows is fine, and no shuffle grows with the row count):
+
+    1. rows per stratum (a partial aggregate; one row per stratum, size
+       checked) give each stratum d hex digits of its hash, just enough that
+       n / 16^d <= ``target_rows`` (small strata: d = 0, one bucket);
+    2. rows per (stratum, bucket) are counted — at most about
+       16 * rows / target_rows groups in total — and a running sum per
+       stratum finds, for each cut, the bucket that holds it and the rows
+       before it: one row per stratum, size-checked, inlined or broadcast
+       (or, beyond the bound, written to the checkpoint folder);
+    3. a row in any other bucket knows its arm from its bucket alone (map
+       side, no shuffle); only rows of the (at most len(weights) - 1) cut
+       buckets per stratum are ranked, in groups of at most ``target_rows``.
+
+    ``bucket_digits`` fixes d for every stratum instead (skips step 1).
     """
     cuts = _cuts(weights)
     k = len(cuts)
-    hexcol, bcol = "__h", "__b"
-    keyed = df.withColumn(hexcol, hash_hex(key_cols, seed)).withColumn(
-        bcol, hex_prefix_value(F.col(hexcol), bucket_digits)
-    )
     s = F.col(strata_col)
+    key_type = dict(df.dtypes)[strata_col]
+    keyed = df.withColumn("__h", hash_hex(key_cols, seed))
+    if bucket_digits is not None:
+        keyed = keyed.withColumn("__d", F.lit(bucket_digits))
+    else:
+        keyed = _with_digits(keyed, s, key_type, target_rows, max_digits)
+    bucket = F.coalesce(F.conv(F.substr(F.col("__h"), F.lit(1), F.col("__d")), 16, 10).cast("bigint"), F.lit(0))
+    keyed = keyed.withColumn("__b", bucket)
 
-    bucket_counts = keyed.groupBy(s.alias("__s"), F.col(bcol).alias("__bb")).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy("__s").orderBy("__bb")  # at most 16^digits rows per stratum
+    bucket_counts = keyed.groupBy(s.alias("__s"), F.col("__b").alias("__bb")).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy("__s").orderBy("__bb")  # at most 16^max_digits rows per stratum
     ranged = bucket_counts.select(
         "__s", "__bb", "__c",
         (F.sum("__c").over(w) - F.col("__c")).alias("__before"),
@@ -148,7 +158,7 @@ def stratified_split(
     info_cols = ["__n"] + [f"__b{i}" for i in range(k)] + [f"__o{i}" for i in range(k)]
     if rows is not None and len(rows) <= INLINE_KEYS:
         # a handful of strata: the cut table becomes a map literal, no join
-        joined = keyed.withColumns(_inline_cuts(s, rows, info_cols, dict(df.dtypes)[strata_col]))
+        joined = keyed.withColumns(_inline_cuts(s, rows, info_cols, key_type))
     else:
         if rows is not None:
             per_stratum = F.broadcast(df.sparkSession.createDataFrame(rows, cut_table.schema))
@@ -156,7 +166,7 @@ def stratified_split(
             per_stratum = materialize(cut_table, "strata_cuts")
         joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "inner")
 
-    b = F.col(bcol)
+    b = F.col("__b")
     is_cut_bucket = F.lit(False)
     for i in range(k):
         is_cut_bucket = is_cut_bucket | (b == F.col(f"__b{i}")).eqNullSafe(F.lit(True))
@@ -169,7 +179,7 @@ def stratified_split(
     offset = F.lit(None).cast("bigint")
     for i in reversed(range(k)):
         offset = F.when(b == F.col(f"__b{i}"), F.col(f"__o{i}")).otherwise(offset)
-    order = [F.col(hexcol)] + [F.col(c) for c in key_cols]
+    order = [F.col("__h")] + [F.col(c) for c in key_cols]
     rn = offset + F.row_number().over(Window.partitionBy(s, b).orderBy(*order))
     arm_by_rank = sum(
         (F.col("__rn") > F.floor(F.lit(c) * F.col("__n") + F.lit(0.5))).cast("int") for c in cuts
@@ -180,6 +190,37 @@ def stratified_split(
     return plain.select(*cols).unionByName(edge.select(*cols))
 
 
+def _digits_for(n: int, target_rows: int, max_digits: int) -> int:
+    """Fewest hex digits d with n / 16^d <= target_rows (capped)."""
+    d = 0
+    while n > target_rows * 16 ** d and d < max_digits:
+        d += 1
+    return d
+
+
+def _with_digits(keyed: DataFrame, s: Column, key_type: str, target_rows: int, max_digits: int) -> DataFrame:
+    """Add ``__d``, the hash digits used to bucket each row's stratum."""
+    sizes = keyed.groupBy(s.alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = collect_small(sizes)  # one row per stratum, size-checked
+    if rows is not None:
+        table = {r["__s"]: _digits_for(r["__n"], target_rows, max_digits) for r in rows}
+        if len(table) <= INLINE_KEYS:
+            plain = {k: v for k, v in table.items() if k is not None}
+            d = code_label(s, plain, None, key_type).cast("int") if plain else F.lit(None).cast("int")
+            if None in table:
+                d = F.when(s.isNull(), F.lit(table[None])).otherwise(d)
+            return keyed.withColumn("__d", d)
+        lookup = F.broadcast(keyed.sparkSession.createDataFrame(
+            [(k, v) for k, v in table.items()], f"__s {key_type}, __d int"))
+    else:
+        stored = materialize(sizes, "strata_sizes")
+        n = F.col("__n").cast("double")
+        d = F.when(n <= target_rows, F.lit(0)).otherwise(
+            F.least(F.lit(max_digits), F.ceil(F.log(16.0, n / F.lit(float(target_rows))))).cast("int"))
+        lookup = stored.select("__s", d.alias("__d"))
+    return keyed.join(lookup, s.eqNullSafe(lookup["__s"]), "inner").drop("__s")
+
+
 def _inline_cuts(s: Column, rows: list, info_cols: list[str], key_type: str) -> dict[str, Column]:
     """Per-stratum cut values as a map literal keyed by the stratum (map keys
     cannot be NULL, so a NULL stratum gets its own branch)."""

@@ -213,3 +213,33 @@ def test_broadcast_join_paths(spark, no_inline):
     assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
     idx = {r.s: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep").collect()}
     assert idx[None] == 9.0 and sorted(v for k, v in idx.items() if k is not None) == [float(i) for i in range(9)]
+
+
+@pytest.mark.parametrize("target", [1, 20, 150, 10_000_000])
+def test_stratified_adaptive_digits_match_brute_force(spark, target):
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 == 0 else f"s{rnd.randint(0, 60)}", i) for i in range(5000)] + [(None, 77777)]
+    df = spark.createDataFrame(rows, "s string, k long").repartition(4)
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=target).collect()}
+    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
+
+
+def test_stratified_adaptive_over_bound(spark, tiny_broadcast_bound):
+    rows = [(f"s{i % 7}", i) for i in range(700)]
+    df = spark.createDataFrame(rows, "s string, k long")
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=10).collect()}
+    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
+
+
+def test_stratified_adaptive_broadcast_path(spark, no_inline):
+    rows = [(None if i % 97 == 0 else f"s{i % 9}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "s string, k long")
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=15).collect()}
+    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
+
+
+def test_digits_for():
+    assert split._digits_for(10, 100, 6) == 0
+    assert split._digits_for(1600, 100, 6) == 1
+    assert split._digits_for(1601, 100, 6) == 2
+    assert split._digits_for(10**15, 1, 6) == 6
