@@ -28,6 +28,8 @@ def split_report(df: DataFrame, split_col: str = "split", strata_col: str = "dem
     counts = spark.createDataFrame(rows, counts.schema) if rows is not None else materialize(counts, "split_counts")
     split_tot = counts.groupBy("split").agg(F.sum("n").alias("__split_n"))
     strata_tot = counts.groupBy("strata").agg(F.sum("n").alias("__strata_n"))
+    if rows is not None:  # derived from a size-checked local table
+        split_tot, strata_tot = F.broadcast(split_tot), F.broadcast(strata_tot)
     joined = (
         counts.join(split_tot, counts["split"].eqNullSafe(split_tot["split"]))
         .drop(split_tot["split"])
