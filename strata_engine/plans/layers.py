@@ -2,9 +2,10 @@
 a rule set, an optional schema contract and a partitioning, run by a plain
 loop (no scheduler).
 
-One layer run = read upstream layers (already saved) → build → count rows
-and per-rule failures (``observe``: no extra pass) → drop failing rows →
-check the schema → save ONCE, partitioned → read back. Every layer is a
+One layer run = read upstream layers (already saved) → build → cluster by
+the partition columns → count rows and per-rule failures (``observe``: no
+extra pass, in the write's result stage) → drop failing rows → check the
+schema → save ONCE, partitioned → read back. Every layer is a
 written table in the shared checkpoint folder, which also cuts the lineage
 between layers: a lost executor recomputes at most one layer.
 """
@@ -20,7 +21,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from strata_engine.operators.quality import enforce, observe_rules, report
 from strata_engine.operators.schema import check
-from strata_engine.sources.writers import save_parquet
+from strata_engine.sources.writers import cluster_for_write, save_parquet
 
 
 @dataclass
@@ -51,13 +52,17 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
     built = layer.build(inputs)
     columns = built.columns
     warn = {f"warn:{k}": v for k, v in layer.warn_rules.items()}
-    observed, obs_in = observe_rules(built, {**layer.rules, **warn}, f"{layer.name}_in")
+    # cluster first, so the counters below run in the write's result stage,
+    # where a retried task's updates count once (in a shuffle-map stage a
+    # re-run after a lost executor could count rows twice)
+    clustered = cluster_for_write(built, layer.partition_by)
+    observed, obs_in = observe_rules(clustered, {**layer.rules, **warn}, f"{layer.name}_in")
     kept = enforce(observed, layer.rules, "drop")
     if layer.schema is not None:
         check(kept, layer.schema, layer.schema_mode)
     kept, obs_out = observe_rules(kept, {}, f"{layer.name}_out")
     path = f"{root}/{layer.name}"
-    save_parquet(kept, path, partition_by=layer.partition_by, compression=layer.compression)
+    save_parquet(kept, path, partition_by=layer.partition_by, compression=layer.compression, cluster_by=())
     # read with the written schema: no inference (an empty layer has no
     # files), partition values keep their types; partition columns come
     # back last, so restore the declared order

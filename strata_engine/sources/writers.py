@@ -15,6 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def cluster_for_write(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] | None = None,
+                      num_partitions: int | None = None) -> DataFrame:
+    """The clustering a partitioned save applies (a REBALANCE on the
+    partition columns, or ``repartition(n, keys)``), for callers that add
+    steps between it and the write."""
+    return _clustered(df, partition_by, cluster_by, num_partitions)
+
+
 def _clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str] | None,
                num_partitions: int | None) -> DataFrame:
     keys = list(cluster_by) if cluster_by is not None else list(partition_by)
