@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from strata_engine.functions.literals import map_literal, sql_literal
+
 
 def code_label(
     col: Column | str,
@@ -20,16 +22,15 @@ def code_label(
     one hash lookup per row and no Python.
 
     ``key_type`` casts the literal keys to the column's type so the lookup
-    never casts the column itself.
+    never casts the column itself. The map is built as one SQL literal
+    expression (one parse, not one JVM call per entry).
     """
     col = F.col(col) if isinstance(col, str) else col
     if not mapping:
         return F.lit(default).cast("string")
-    keys = [F.lit(k) if key_type is None else F.lit(k).cast(key_type) for k in mapping]
-    parts: list[Column] = []
-    for k, v in zip(keys, mapping.values()):
-        parts.extend([k, F.lit(v)])
-    looked_up = F.try_element_at(F.create_map(*parts), col)
+    kt = key_type if key_type is None or isinstance(key_type, str) else key_type.simpleString()
+    table = F.expr(map_literal([(sql_literal(k, kt), sql_literal(v)) for k, v in mapping.items()]))
+    looked_up = F.try_element_at(table, col)
     if default is None:
         return looked_up
     return F.coalesce(looked_up, F.lit(default))

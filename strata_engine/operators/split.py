@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from strata_engine.functions.codes import code_label
 from strata_engine.functions.hashing import hash_hex, unit_hash
+from strata_engine.functions.literals import map_literal, sql_literal
 from strata_engine.session import INLINE_KEYS, collect_small, materialize
 
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
@@ -224,16 +225,19 @@ def _with_digits(keyed: DataFrame, s: Column, key_type: str, target_rows: int, m
 def _inline_cuts(s: Column, rows: list, info_cols: list[str], key_type: str) -> dict[str, Column]:
     """Per-stratum cut values as a map literal keyed by the stratum (map keys
     cannot be NULL, so a NULL stratum gets its own branch)."""
-    def packed(r):
-        return F.struct(*[F.lit(r[c]).cast("bigint").alias(c) for c in info_cols])
+    def packed(r) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', {sql_literal(r[c], 'BIGINT')}" for c in info_cols) + ")"
 
     keyed = [r for r in rows if r["__s"] is not None]
     nulls = [r for r in rows if r["__s"] is None]
-    looked = F.try_element_at(
-        F.create_map(*[x for r in keyed for x in (F.lit(r["__s"]).cast(key_type), packed(r))]), s
-    ) if keyed else F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in info_cols) + ">")
+    struct_type = "struct<" + ",".join(f"{c}:bigint" for c in info_cols) + ">"
+    if keyed:
+        table = F.expr(map_literal([(sql_literal(r["__s"], key_type), packed(r)) for r in keyed]))
+        looked = F.try_element_at(table, s)
+    else:
+        looked = F.lit(None).cast(struct_type)
     if nulls:
-        looked = F.when(s.isNull(), packed(nulls[0])).otherwise(looked)
+        looked = F.when(s.isNull(), F.expr(packed(nulls[0]))).otherwise(looked)
     return {c: looked.getField(c) for c in info_cols}
 
 

@@ -53,3 +53,13 @@ def test_round_half_away(spark):
     got = [r[0] for r in df.select(round_half_away("x", 6)).collect()]
     assert got[0] == 0.123457 or got[0] == 0.123456  # binary representation decides
     assert got[1] == 0.0 and got[2] == 0.0 and got[3] is None
+
+
+def test_code_label_escapes_and_types(spark):
+    df = spark.createDataFrame([(1,), (-9,), (4,), (3000000000,)], "c bigint")
+    m = {1: "O'Brien", -9: "back\\slash", 4: "Divorced, widowed", 3000000000: "big"}
+    got = [r[0] for r in df.select(code_label("c", m, key_type="bigint")).collect()]
+    assert got == ["O'Brien", "back\\slash", "Divorced, widowed", "big"]
+    s = spark.createDataFrame([("it's",), ("a\\b",), ("z",)], "k string")
+    got = [r[0] for r in s.select(code_label("k", {"it's": 1.5, "a\\b": 2.0}, None, "string")).collect()]
+    assert got == [1.5, 2.0, None]
