@@ -37,6 +37,28 @@ class Layer:
     warn_rules: Mapping[str, str] = field(default_factory=dict)
 
 
+def layer(
+    name: str,
+    rules: Mapping[str, str] | None = None,
+    schema: StructType | None = None,
+    partition_by: Sequence[str] = (),
+    warn_rules: Mapping[str, str] | None = None,
+    schema_mode: str = "names_types",
+) -> Callable[[Callable[[Mapping[str, DataFrame]], DataFrame]], Layer]:
+    """Declare a layer on its build function::
+
+        @layer("bronze", rules=BRONZE_RULES, schema=BRONZE_SCHEMA, partition_by=["GENDER"])
+        def bronze(inputs):
+            return drop_null_rows(inputs["raw"])
+
+    The decorated name is the :class:`Layer`; run it with ``run_pipeline``.
+    """
+    def wrap(fn: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Layer:
+        return Layer(name, fn, dict(rules or {}), schema, list(partition_by), schema_mode,
+                     warn_rules=dict(warn_rules or {}))
+    return wrap
+
+
 @dataclass
 class LayerResult:
     name: str

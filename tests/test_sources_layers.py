@@ -133,3 +133,20 @@ def test_warn_rules_keep_rows(spark, tmp_path):
     assert sorted(r.x for r in res.frame.collect()) == [1, 2]
     assert res.failed == {"pos": 1} and res.warned == {"y_present": 1}
     assert (res.rows_in, res.rows_out) == (3, 2)
+
+
+def test_layer_decorator_chain(spark, tmp_path):
+    from strata_engine.plans.layers import layer, run_pipeline
+
+    @layer("first", rules={"pos": "x > 0"}, partition_by=["g"])
+    def first(inputs):
+        return inputs["src"].withColumn("g", F.col("x") % 2)
+
+    @layer("second", warn_rules={"small": "x < 3"})
+    def second(inputs):
+        return inputs["first"].withColumn("y", F.col("x") * 10)
+
+    src = spark.createDataFrame([(1,), (2,), (3,), (-4,)], "x int")
+    res = run_pipeline(spark, [first, second], str(tmp_path), sources={"src": src})
+    assert sorted((r.x, r.y) for r in res["second"].frame.collect()) == [(1, 10), (2, 20), (3, 30)]
+    assert res["first"].failed == {"pos": 1} and res["second"].warned == {"small": 1}
