@@ -98,6 +98,7 @@ def stratified_split(
     target_rows: int = 1_000_000,
     max_digits: int = 6,
     bucket_digits: int | None = None,
+    sizes: dict | None = None,
 ) -> DataFrame:
     """Exact stratified split.
 
@@ -121,7 +122,9 @@ def stratified_split(
        side, no shuffle); only rows of the (at most len(weights) - 1) cut
        buckets per stratum are ranked, in groups of at most ``target_rows``.
 
-    ``bucket_digits`` fixes d for every stratum instead (skips step 1).
+    ``bucket_digits`` fixes d for every stratum instead (skips step 1);
+    ``sizes`` ({stratum: rows}, e.g. from ``strata.value_counts``) supplies
+    step 1's counts.
     """
     cuts = _cuts(weights)
     k = len(cuts)
@@ -131,7 +134,7 @@ def stratified_split(
     if bucket_digits is not None:
         keyed = keyed.withColumn("__d", F.lit(bucket_digits))
     else:
-        keyed = _with_digits(keyed, s, key_type, target_rows, max_digits)
+        keyed = _with_digits(keyed, s, key_type, target_rows, max_digits, sizes)
     bucket = F.coalesce(F.conv(F.substr(F.col("__h"), F.lit(1), F.col("__d")), 16, 10).cast("bigint"), F.lit(0))
     keyed = keyed.withColumn("__b", bucket)
 
@@ -199,10 +202,14 @@ def _digits_for(n: int, target_rows: int, max_digits: int) -> int:
     return d
 
 
-def _with_digits(keyed: DataFrame, s: Column, key_type: str, target_rows: int, max_digits: int) -> DataFrame:
+def _with_digits(keyed: DataFrame, s: Column, key_type: str, target_rows: int, max_digits: int,
+                 known: dict | None = None) -> DataFrame:
     """Add ``__d``, the hash digits used to bucket each row's stratum."""
     sizes = keyed.groupBy(s.alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
-    rows = collect_small(sizes)  # one row per stratum, size-checked
+    if known is not None:
+        rows = [{"__s": k, "__n": v} for k, v in known.items()]
+    else:
+        rows = collect_small(sizes)  # one row per stratum, size-checked
     if rows is not None:
         table = {r["__s"]: _digits_for(r["__n"], target_rows, max_digits) for r in rows}
         if len(table) <= INLINE_KEYS:

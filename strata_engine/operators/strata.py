@@ -36,11 +36,22 @@ class NullLabel(ValueError):
     pass
 
 
+def value_counts(df: DataFrame, col: str) -> dict | None:
+    """Rows per value of ``col`` (NULL included) as ``{value: n}`` — one
+    partial aggregate — when the number of distinct values is under the
+    session bound; None otherwise. Lets :func:`frequency_index` and
+    ``split.stratified_split`` share one count of the same column."""
+    counts = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = collect_small(counts)
+    return None if rows is None else {r["__v"]: int(r["__n"]) for r in rows}
+
+
 def frequency_index(
     df: DataFrame,
     col: str,
     out: str = "strataIndex",
     on_null: str = "error",
+    counts: dict | None = None,
 ) -> DataFrame:
     """Index of each value by frequency: the most frequent value gets 0.0,
     ties go to the alphabetically first value (the ML ``StringIndexer``
@@ -55,12 +66,16 @@ def frequency_index(
 
     ``on_null``: ``error`` raises if the column has NULLs (as the ML
     indexer); ``keep`` gives NULL rows the index ``number of labels``;
-    ``skip`` drops NULL rows.
+    ``skip`` drops NULL rows. ``counts`` ({value: n} from
+    :func:`value_counts` on a string column) skips the counting job.
     """
     spark = df.sparkSession
     key = F.col(col).cast("string")
-    counts = df.groupBy(key.alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
-    rows = collect_small(counts)
+    if counts is not None and dict(df.dtypes)[col] == "string":
+        rows = [{"__label": k, "__n": v} for k, v in counts.items()]
+    else:
+        counts = df.groupBy(key.alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
+        rows = collect_small(counts)
     if rows is not None:
         # bounded label table: rank it as the ML indexer's fit does
         has_null = any(r["__label"] is None for r in rows)

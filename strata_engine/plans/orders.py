@@ -16,7 +16,7 @@ from strata_engine.functions import rules as R
 from strata_engine.operators.clean import drop_columns, drop_null_rows
 from strata_engine.operators.scale import min_max_z
 from strata_engine.operators.split import stratified_split
-from strata_engine.operators.strata import add_strata, frequency_index
+from strata_engine.operators.strata import add_strata, frequency_index, value_counts
 from strata_engine.operators.transform import id_suffix, map_codes
 from strata_engine.plans.layers import Layer, LayerResult, run_pipeline
 
@@ -94,8 +94,9 @@ def _silver_scaled(inputs):
 
 def _silver_split(inputs):
     df = add_strata(inputs["silver_scaled"], ["o_orderstatus", "o_orderpriority"], "strata")
-    df = frequency_index(df, "strata", "strata_index")
-    return stratified_split(df, "strata", ["o_orderkey"], WEIGHTS, seed=SEED, out="split")
+    counts = value_counts(df, "strata")  # one count shared by index and split
+    df = frequency_index(df, "strata", "strata_index", counts=counts)
+    return stratified_split(df, "strata", ["o_orderkey"], WEIGHTS, seed=SEED, out="split", sizes=counts)
 
 
 def _gold_full(inputs):

@@ -25,7 +25,7 @@ from strata_engine.functions import rules as R
 from strata_engine.operators.clean import drop_columns, drop_null_rows
 from strata_engine.operators.scale import min_max_z
 from strata_engine.operators.split import stratified_split
-from strata_engine.operators.strata import add_strata, frequency_index
+from strata_engine.operators.strata import add_strata, frequency_index, value_counts
 from strata_engine.operators.transform import id_suffix, map_codes
 from strata_engine.plans.layers import Layer, LayerResult, run_pipeline
 from strata_engine.sources.readers import read_csv
@@ -147,8 +147,9 @@ def _silver_2(inputs):
 
 def _silver_3(inputs):
     df = add_strata(inputs["silver_2"], PARTITION_COLUMNS, STRATA_COL)
-    df = frequency_index(df, STRATA_COL, INDEX_COL)
-    return stratified_split(df, STRATA_COL, [ID_COLUMN], SPLIT_WEIGHTS, seed=SEED, out=SPLIT_COL)
+    counts = value_counts(df, STRATA_COL)  # one count shared by index and split
+    df = frequency_index(df, STRATA_COL, INDEX_COL, counts=counts)
+    return stratified_split(df, STRATA_COL, [ID_COLUMN], SPLIT_WEIGHTS, seed=SEED, out=SPLIT_COL, sizes=counts)
 
 
 def _gold_full(inputs):

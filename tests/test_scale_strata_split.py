@@ -243,3 +243,17 @@ def test_digits_for():
     assert split._digits_for(1600, 100, 6) == 1
     assert split._digits_for(1601, 100, 6) == 2
     assert split._digits_for(10**15, 1, 6) == 6
+
+
+def test_shared_value_counts(spark):
+    rows = [("hot" if i % 3 == 0 else f"s{i % 11}", i) for i in range(1200)] + [(None, 5555)]
+    df = spark.createDataFrame(rows, "s string, k long")
+    counts = strata.value_counts(df, "s")
+    assert counts[None] == 1 and sum(counts.values()) == 1201
+    a = {r.k: (r.i, r.split) for r in split.stratified_split(
+        strata.frequency_index(df, "s", "i", on_null="keep", counts=counts), "s", ["k"], target_rows=40, sizes=counts
+    ).collect()}
+    b = {r.k: (r.i, r.split) for r in split.stratified_split(
+        strata.frequency_index(df, "s", "i", on_null="keep"), "s", ["k"], target_rows=40
+    ).collect()}
+    assert a == b
