@@ -35,6 +35,11 @@ class Layer:
     compression: str = "snappy"
     # counted and reported, rows kept (the "expect" without "or drop")
     warn_rules: Mapping[str, str] = field(default_factory=dict)
+    # REBALANCE by the partition columns before the write: needed when they
+    # have many value combinations (else every task writes into every
+    # directory); a single low-cardinality column (e.g. split) needs no
+    # shuffle — each task writes at most that many files
+    cluster: bool = True
 
 
 def layer(
@@ -44,6 +49,7 @@ def layer(
     partition_by: Sequence[str] = (),
     warn_rules: Mapping[str, str] | None = None,
     schema_mode: str = "names_types",
+    cluster: bool = True,
 ) -> Callable[[Callable[[Mapping[str, DataFrame]], DataFrame]], Layer]:
     """Declare a layer on its build function::
 
@@ -55,7 +61,7 @@ def layer(
     """
     def wrap(fn: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Layer:
         return Layer(name, fn, dict(rules or {}), schema, list(partition_by), schema_mode,
-                     warn_rules=dict(warn_rules or {}))
+                     warn_rules=dict(warn_rules or {}), cluster=cluster)
     return wrap
 
 
@@ -77,7 +83,7 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
     # cluster first, so the counters below run in the write's result stage,
     # where a retried task's updates count once (in a shuffle-map stage a
     # re-run after a lost executor could count rows twice)
-    clustered = cluster_for_write(built, layer.partition_by)
+    clustered = cluster_for_write(built, layer.partition_by) if layer.cluster else built
     observed, obs_in = observe_rules(clustered, {**layer.rules, **warn}, f"{layer.name}_in")
     kept = enforce(observed, layer.rules, "drop")
     if layer.schema is not None:

@@ -109,12 +109,13 @@ def _gold_splits(inputs):
 
 def layers() -> list[Layer]:
     return [
-        Layer("bronze", _bronze, BASE_RULES, partition_by=["o_orderstatus"]),
-        Layer("silver_typed", _silver_typed, BASE_RULES, partition_by=["o_orderstatus"]),
-        Layer("silver_scaled", _silver_scaled, SCALED_RULES, partition_by=["o_orderstatus"]),
-        Layer("silver_split", _silver_split, SPLIT_RULES, partition_by=["split"]),
-        Layer("gold_full", _gold_full, GOLD_RULES, partition_by=["o_orderstatus"]),
-        Layer("gold_splits", _gold_splits, GOLD_RULES, partition_by=["split"]),
+        # one 3-valued partition column each: no clustering shuffle needed
+        Layer("bronze", _bronze, BASE_RULES, partition_by=["o_orderstatus"], cluster=False),
+        Layer("silver_typed", _silver_typed, BASE_RULES, partition_by=["o_orderstatus"], cluster=False),
+        Layer("silver_scaled", _silver_scaled, SCALED_RULES, partition_by=["o_orderstatus"], cluster=False),
+        Layer("silver_split", _silver_split, SPLIT_RULES, partition_by=["split"], cluster=False),
+        Layer("gold_full", _gold_full, GOLD_RULES, partition_by=["o_orderstatus"], cluster=False),
+        Layer("gold_splits", _gold_splits, GOLD_RULES, partition_by=["split"], cluster=False),
     ]
 
 

@@ -165,9 +165,9 @@ def layers() -> list[Layer]:
         Layer("bronze", _bronze, BRONZE_RULES, BRONZE_SCHEMA, PARTITION_COLUMNS, warn_rules=PARTITION_NOT_NULL),
         Layer("silver_1", _silver_1, SILVER_1_RULES, SILVER_1_SCHEMA, PARTITION_COLUMNS),
         Layer("silver_2", _silver_2, SILVER_2_RULES, SILVER_2_SCHEMA, PARTITION_COLUMNS),
-        Layer("silver_3", _silver_3, SILVER_3_RULES, SILVER_3_SCHEMA, [SPLIT_COL]),
+        Layer("silver_3", _silver_3, SILVER_3_RULES, SILVER_3_SCHEMA, [SPLIT_COL], cluster=False),
         Layer("gold_full", _gold_full, GOLD_RULES, GOLD_SCHEMA, PARTITION_COLUMNS),
-        Layer("gold_splits", _gold_splits, GOLD_RULES, GOLD_SPLITS_SCHEMA, [SPLIT_COL]),
+        Layer("gold_splits", _gold_splits, GOLD_RULES, GOLD_SPLITS_SCHEMA, [SPLIT_COL], cluster=False),
     ]
 
 
