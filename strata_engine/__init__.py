@@ -2,7 +2,49 @@
 
 Every operator is a plain DataFrame → DataFrame function built from native
 Spark expressions; see ``operators``, ``functions``, ``sources``, ``plans``
-and ``streaming``.
+and ``streaming``. The most used ones are re-exported here.
 """
 
+from strata_engine.functions import rules
+from strata_engine.operators.clean import drop_columns, drop_null_rows
+from strata_engine.operators.profile import describe, group_summary, preview, row_count, summarize
+from strata_engine.operators.quality import enforce, flag, observe_rules, proportions, report
+from strata_engine.operators.report import split_report
+from strata_engine.operators.scale import min_max, min_max_z, scale, z_score
+from strata_engine.operators.schema import check as check_schema
+from strata_engine.operators.schema import diff as schema_diff
+from strata_engine.operators.schema import summary as schema_summary
+from strata_engine.operators.split import (
+    hash_split,
+    random_split,
+    random_split_column,
+    read_split,
+    save_splits,
+    stratified_split,
+    three_way,
+)
+from strata_engine.operators.strata import add_strata, frequency_index, value_counts
+from strata_engine.operators.transform import cast_columns, id_suffix, map_codes, map_codes_lookup
+from strata_engine.plans.layers import Layer, layer, pipeline_report, run_layer, run_log, run_pipeline
+from strata_engine.sources import (
+    drop_tables,
+    read_csv,
+    read_parquet,
+    read_table,
+    register,
+    save_csv,
+    save_parquet,
+    save_table,
+)
+
 __version__ = "0.1.0"
+
+__all__ = [
+    "Layer", "add_strata", "cast_columns", "check_schema", "describe", "drop_columns", "drop_null_rows",
+    "drop_tables", "enforce", "flag", "frequency_index", "group_summary", "hash_split", "id_suffix", "layer",
+    "map_codes", "map_codes_lookup", "min_max", "min_max_z", "observe_rules", "pipeline_report", "preview",
+    "proportions", "random_split", "random_split_column", "read_csv", "read_parquet", "read_split", "read_table",
+    "register", "report", "row_count", "rules", "run_layer", "run_log", "run_pipeline", "save_csv",
+    "save_parquet", "save_splits", "save_table", "scale", "schema_diff", "schema_summary", "split_report",
+    "stratified_split", "summarize", "three_way", "value_counts", "z_score",
+]
