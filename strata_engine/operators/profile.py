@@ -72,6 +72,23 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, decimals: int | N
     )
 
 
+def describe_text(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """The ``describe()`` profile of string columns: (position, column_name,
+    count, min, max), min / max in binary string order; one aggregate."""
+    if cols is None:
+        cols = [c for c, t in df.dtypes if t == "string"]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"__{i}_0"), F.min(c).alias(f"__{i}_1"), F.max(c).alias(f"__{i}_2")]
+    wide = df.agg(*aggs)
+    rows = []
+    for i, c in enumerate(cols):
+        esc = c.replace("'", "\\'")
+        rows.append(f"{i}, '{esc}', `__{i}_0`, `__{i}_1`, `__{i}_2`")
+    stacked = wide.select(F.expr(f"stack({len(cols)}, {', '.join(rows)}) AS (position, column_name, count, min, max)"))
+    return stacked.select(F.col("position").cast("int").alias("position"), "column_name", "count", "min", "max")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 

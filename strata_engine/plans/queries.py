@@ -625,6 +625,22 @@ def describe_profile(spark, sf):
     return profile.describe(table(spark, sf, "lineitem"), MULTI, decimals=DEC)
 
 
+TEXT_COLS = ["p_name", "p_brand", "p_type"]
+
+
+@query(
+    "describe_text",
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, count({c}) AS count, "
+        f"min({c}) AS min, max({c}) AS max FROM part"
+        for i, c in enumerate(TEXT_COLS)
+    ),
+)
+def describe_text(spark, sf):
+    """``describe()`` of the string columns: count, min, max."""
+    return profile.describe_text(table(spark, sf, "part"), TEXT_COLS)
+
+
 @query("row_count", "SELECT count(*) AS n_rows FROM lineitem")
 def row_count(spark, sf):
     return profile.row_count(table(spark, sf, "lineitem"))
