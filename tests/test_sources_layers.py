@@ -150,3 +150,14 @@ def test_layer_decorator_chain(spark, tmp_path):
     res = run_pipeline(spark, [first, second], str(tmp_path), sources={"src": src})
     assert sorted((r.x, r.y) for r in res["second"].frame.collect()) == [(1, 10), (2, 20), (3, 30)]
     assert res["first"].failed == {"pos": 1} and res["second"].warned == {"small": 1}
+
+
+def test_cli_runs_survey_plan(spark, survey_rows, tmp_path, capsys):
+    from strata_engine.__main__ import main
+
+    rows = [survey_rows(CASEID=20210000000 + i, NUMMHS=i % 4, GENDER=1 + i % 2) for i in range(1, 30)]
+    _write_csv(spark, rows, str(tmp_path / "raw"))
+    res = main([str(tmp_path / "raw"), str(tmp_path / "out")])
+    assert res["gold_splits"].frame.count() == 29
+    assert os.path.isdir(str(tmp_path / "out" / "gold_full"))
+    assert "rows_out" in capsys.readouterr().out
