@@ -135,7 +135,9 @@ def stratified_split(
         keyed = keyed.withColumn("__d", F.lit(bucket_digits))
     else:
         keyed = _with_digits(keyed, s, key_type, target_rows, max_digits, sizes)
-    bucket = F.coalesce(F.conv(F.substr(F.col("__h"), F.lit(1), F.col("__d")), 16, 10).cast("bigint"), F.lit(0))
+    # a stratum without a digit count (absent from given ``sizes``) is one bucket
+    digits = F.coalesce(F.col("__d"), F.lit(0))
+    bucket = F.coalesce(F.conv(F.substr(F.col("__h"), F.lit(1), digits), 16, 10).cast("bigint"), F.lit(0))
     keyed = keyed.withColumn("__b", bucket)
 
     bucket_counts = keyed.groupBy(s.alias("__s"), F.col("__b").alias("__bb")).agg(F.count(F.lit(1)).alias("__c"))
@@ -168,7 +170,8 @@ def stratified_split(
             per_stratum = F.broadcast(df.sparkSession.createDataFrame(rows, cut_table.schema))
         else:
             per_stratum = materialize(cut_table, "strata_cuts")
-        joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "inner")
+        # left: a row is never dropped, even if its stratum were missing
+        joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "left")
 
     b = F.col("__b")
     is_cut_bucket = F.lit(False)
@@ -226,7 +229,7 @@ def _with_digits(keyed: DataFrame, s: Column, key_type: str, target_rows: int, m
         d = F.when(n <= target_rows, F.lit(0)).otherwise(
             F.least(F.lit(max_digits), F.ceil(F.log(16.0, n / F.lit(float(target_rows))))).cast("int"))
         lookup = stored.select("__s", d.alias("__d"))
-    return keyed.join(lookup, s.eqNullSafe(lookup["__s"]), "inner").drop("__s")
+    return keyed.join(lookup, s.eqNullSafe(lookup["__s"]), "left").drop("__s")
 
 
 def _inline_cuts(s: Column, rows: list, info_cols: list[str], key_type: str) -> dict[str, Column]:

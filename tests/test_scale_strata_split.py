@@ -257,3 +257,11 @@ def test_shared_value_counts(spark):
         strata.frequency_index(df, "s", "i", on_null="keep"), "s", ["k"], target_rows=40
     ).collect()}
     assert a == b
+
+
+def test_stratified_sizes_missing_a_stratum_keeps_rows(spark):
+    rows = [(f"s{i % 4}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "s string, k long")
+    partial = {"s0": 100, "s1": 100}  # s2, s3 absent: their rows must still be split exactly
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=5, sizes=partial).collect()}
+    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
