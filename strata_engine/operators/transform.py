@@ -15,6 +15,11 @@ from strata_engine.functions.codes import code_label
 from strata_engine.session import fits_broadcast
 
 
+# Largest code list applied as a map literal: a literal map is searched
+# key by key per row, so long lists go through a broadcast hash join.
+MAP_LITERAL_MAX = 256
+
+
 def map_codes(
     df: DataFrame,
     mappings: Mapping[str, Mapping[object, str]],
@@ -23,11 +28,18 @@ def map_codes(
 ) -> DataFrame:
     """For each ``{column: {code: label}}`` add ``<column><suffix>`` with the
     label; a code not in the map, or NULL, gives ``default``. One projection,
-    no Python UDF: the map literal is folded into the generated code."""
+    no Python UDF: the map literal is folded into the generated code. Code
+    lists longer than ``MAP_LITERAL_MAX`` use :func:`map_codes_lookup`
+    (a broadcast join with the driver-built list) instead."""
     types = dict(df.dtypes)
-    return df.withColumns(
-        {f"{c}{suffix}": code_label(c, m, default, key_type=types[c]) for c, m in mappings.items()}
-    )
+    small = {c: m for c, m in mappings.items() if len(m) <= MAP_LITERAL_MAX}
+    out = df.withColumns(
+        {f"{c}{suffix}": code_label(c, m, default, key_type=types[c]) for c, m in small.items()}
+    ) if small else df
+    for c, m in mappings.items():
+        if c not in small:
+            out = map_codes_lookup(out, c, m, out=f"{c}{suffix}", default=default)
+    return out
 
 
 def map_codes_lookup(

@@ -63,3 +63,15 @@ def test_code_label_escapes_and_types(spark):
     s = spark.createDataFrame([("it's",), ("a\\b",), ("z",)], "k string")
     got = [r[0] for r in s.select(code_label("k", {"it's": 1.5, "a\\b": 2.0}, None, "string")).collect()]
     assert got == [1.5, 2.0, None]
+
+
+def test_map_codes_long_list_uses_join_with_same_result(spark):
+    from strata_engine.operators.transform import MAP_LITERAL_MAX, map_codes
+
+    df = spark.createDataFrame([(i,) for i in range(-10, 400)] + [(None,)], "c int")
+    big = {i: f"L{i}" for i in range(MAP_LITERAL_MAX + 50)}
+    got = {r.c: r.c_mapped for r in map_codes(df, {"c": big}).collect()}
+    want = {c: big.get(c, "Unknown") for c in list(range(-10, 400)) + [None]}
+    assert got == want
+    plan = map_codes(df, {"c": big})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
