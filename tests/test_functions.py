@@ -75,3 +75,17 @@ def test_map_codes_long_list_uses_join_with_same_result(spark):
     assert got == want
     plan = map_codes(df, {"c": big})._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_scratch_goes_under_session_checkpoint_dir(spark):
+    from strata_engine.session import checkpoint_root, materialize, scratch_path
+
+    root = checkpoint_root(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured and root == configured.rstrip("/")
+    a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert a.startswith(root + "/") and a != b
+    m = materialize(spark.range(5), "probe")
+    from urllib.parse import urlparse
+
+    assert m.count() == 5 and urlparse(m.inputFiles()[0]).path.startswith(urlparse(root).path)
