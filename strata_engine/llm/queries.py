@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata_engine.llm import langid, quality_forest, toxicity
+import public_tokenizers
+
+from strata_engine.llm import bin_slack, byte_bpe, langid, quality_forest, toxicity, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
+from strata_engine.session import scratch_path
+
+SEQUENCE_TOKENS = 2048
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +25,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc_chain.write_archives(table(spark, sf_dir, "pages"), path)
+    number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("bigint")
+    return warc_chain.read_archives(spark, path).select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, training=fold("doc_id", 4) != 2)
@@ -36,10 +54,58 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = word_bpe.token_pieces(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        max_tokens=SEQUENCE_TOKENS,
+        with_ids=False,
+    )
+    return bin_slack.pack(pieces, SEQUENCE_TOKENS)
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vantage_tree.search(vectors, vectors.where("vec_id % 20 = 0"), k=20, relax=1.0)
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op4_language": op4_language,
+    "op6_packing": op6_packing,
     "op8_quality": op8_quality,
+    "op9_neighbours": op9_neighbours,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+_SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(sha1(payload), 5 * (i // 4)::INT + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '')"""
+
+ORACLE: dict[str, str] = {
+    "op2_warc": f"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload FROM pages
+        ), d AS (
+            SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_SHA1_BASE32} AS payload_digest,
+                   min(page_id) OVER (PARTITION BY payload) AS first
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM d
+    """,
+}
