@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from strata_engine.llm import bin_slack, byte_bpe, langid, quality_forest, toxicity, vantage_tree, warc_chain, word_bpe
+from strata_engine.llm import bin_slack, byte_bpe, group_join, langid, quality_forest, toxicity, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
 from strata_engine.session import scratch_path
 
@@ -46,6 +46,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.similar_components(table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_forest.fit(docs, table(spark, sf_dir, "labels"))
@@ -85,6 +89,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op4_language": op4_language,
     "op6_packing": op6_packing,
+    "op7_jaccard": op7_jaccard,
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
