@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from strata_engine.llm import bin_slack, byte_bpe, group_join, langid, quality_forest, toxicity, vantage_tree, warc_chain, word_bpe
+from strata_engine.llm import bin_slack, byte_bpe, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
 from strata_engine.session import scratch_path
 
@@ -58,6 +58,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seed_extend.deduplicate(table(spark, sf_dir, "documents"), min_words=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = word_bpe.token_pieces(
         table(spark, sf_dir, "documents"),
@@ -88,6 +94,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
     "op4_language": op4_language,
+    "op5_substrings": op5_substrings,
     "op6_packing": op6_packing,
     "op7_jaccard": op7_jaccard,
     "op8_quality": op8_quality,
