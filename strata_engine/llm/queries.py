@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from strata_engine.llm import bin_slack, byte_bpe, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
+from strata_engine.llm import bin_slack, block_lstm, byte_bpe, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
 from strata_engine.session import scratch_path
 
@@ -38,6 +38,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return block_lstm.extract(pages, block_lstm.fit(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, training=fold("doc_id", 4) != 2)
@@ -93,6 +100,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
+    "op3_main_text": op3_main_text,
     "op4_language": op4_language,
     "op5_substrings": op5_substrings,
     "op6_packing": op6_packing,
