@@ -65,7 +65,8 @@ def map_texts(
     it is given to ``f`` as Python bytes or str, None for null.
     """
     picked = df.select(*keep, text)
-    kept_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.select(*keep).schema)
+    keep = picked.columns[: len(keep)]
+    kept_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[: len(keep)])
     out_schema = f"{kept_schema}, {schema}" if keep else schema
 
     target = arrow_schema(out_schema)
@@ -82,6 +83,29 @@ def map_texts(
     return picked.mapInArrow(run, out_schema)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
+def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable[[list], Sequence]], binary: bool = False) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for whose texts the
+    per-task function gives true; no join, no shuffle."""
+    copy, verdict = free_name(df, "text_copy"), free_name(df, "verdict")
+    kind = F.col(f"`{text}`").cast("string")
+    with_copy = df.withColumn(copy, kind.cast("binary") if binary else kind)
+
+    def wrapped():
+        f = make()
+        return lambda texts: [f(texts)]
+
+    judged = map_texts(with_copy, [f"`{c}`" for c in df.columns], copy, f"`{verdict}` boolean", wrapped)
+    return judged.where(F.col(verdict)).drop(verdict)
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows of ``df``, the same ones on every run and
     layout: those with the smallest hash of ``key``."""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import bounded_sample, map_texts, named
+from strata_engine.llm.common import bounded_sample, filter_texts, map_texts, named
 
 DIMS = 1 << 15
 UNDETERMINED = "und"
@@ -195,3 +195,20 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     src = named(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     return map_texts(src, ["doc_id"], "text", "lang_pred string, score double", make)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is determined with a
+    probability of at least ``min_score``. A model that learned nothing (no
+    row had a language) rejects nothing but texts without a letter."""
+
+    def make():
+        def f(texts):
+            if not model.languages:
+                return [has_letter(t) for t in texts]
+            found = map(model.predict, texts)
+            return [lang != UNDETERMINED and score >= min_score for lang, score in found]
+
+        return f
+
+    return filter_texts(docs, text_col, make)

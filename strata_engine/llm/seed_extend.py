@@ -18,6 +18,8 @@ Copies of one word sequence need no windows: all of a copy is a repeat.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -284,10 +286,18 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     return materialize(spans.unionByName(copies), "seed-spans")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+def deduplicate(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    gram: int = GRAM,
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """doc_id, n_words, n_removed, spans (array of struct low, high: the
     removed word ranges), kept (the other words joined by one space), a row
-    for every row of ``docs``.
+    for every row of ``docs``; ``carry`` names columns of ``docs`` to hand on
+    in a struct ``carried``.
 
     A word is removed if a window of ``min_words`` words covers it whose
     word sequence also starts earlier: in a smaller id, or earlier in the
@@ -298,11 +308,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alike rows get the same. Other columns are ignored.
     """
     spans = repeats(docs, id_col, text_col, min_words, gram)
-    src = named(docs, doc_id=id_col, text=text_col).withColumn("text", text_bytes("text"))
+    carried = F.struct(*[docs[f"`{c}`"].alias(c) for c in carry] or [F.lit(None).cast("int").alias("none")])
+    src = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].alias("text"), carried.alias("carried"))
+    src = src.withColumn("text", text_bytes("text"))
     src = src.join(_small(spans.withColumnRenamed("id", "doc_id")), "doc_id", "left")
     kind = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words bigint, n_removed bigint, spans array<struct<low:int,high:int>>, kept string"
+    if carry:
+        schema += f", carried {src.schema['carried'].dataType.simpleString()}"
     target = arrow_schema(schema)
+    with_carried = bool(carry)
 
     def apply(text, fp, low, high):
         words = (text or b"").split()
@@ -321,7 +336,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 rows = list(map(apply, *(part.column(c).to_pylist() for c in ("text", "fp", "low", "high"))))
                 made = list(zip(*rows)) or [[]] * 4
                 columns = [pa.array(v, f.type) for v, f in zip(made[:3], list(target)[1:4])]
-                kept = pa.array(made[3], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(target.field(0).type), *columns, kept], schema=target)
+                columns = [part.column("doc_id").cast(target.field(0).type), *columns, pa.array(made[3], pa.binary()).cast(pa.string())]
+                if with_carried:
+                    columns.append(part.column("carried").cast(target.field("carried").type))
+                yield pa.RecordBatch.from_arrays(columns, schema=target)
 
     return src.mapInArrow(run, schema)
