@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from strata_engine.llm.common import arrow_schema, named, slices, text_bytes
 
 # Words whose ids a Python worker keeps; beyond that they are asked for anew.
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 800_000
 
 
 class WordEncoder:
@@ -59,24 +59,23 @@ class WordEncoder:
         # ASCII case does not matter to a lower-casing tokenizer: fewer words to keep
         words = [(t or b"").lower().split() for t in texts]
         known = self.cache
-        new = list({w for ws in words for w in ws if w not in known})
-        learned = self._learn(new) if new else {}
-        if len(known) + len(learned) <= MAX_CACHED_WORDS:
-            known.update(learned)
-            return [b"".join(map(known.__getitem__, ws)) for ws in words]
-        both = {**known, **learned} if len(learned) > len(known) else _Both(known, learned)
-        return [b"".join(map(both.__getitem__, ws)) for ws in words]
-
-
-class _Both(dict):
-    """Words of this batch first, then the cache, without copying it."""
-
-    def __init__(self, known, learned):
-        super().__init__(learned)
-        self.known = known
-
-    def __missing__(self, word):
-        return self.known[word]
+        learned = self._learn_all(set().union(*words).difference(known))
+        known.update(learned)
+        made = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        if len(known) > MAX_CACHED_WORDS:
+            for w in learned:
+                del known[w]
+        return made
+
+    def _learn_all(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words. A word that ends in one comma or full stop after
+        a letter is the word without it, then that sign."""
+        ends = {w: w[:-1] for w in new if w[-1] in b".," and w[-2:-1].isalpha()}
+        plain = new.difference(ends).union(ends.values(), {w[-1:] for w in ends}).difference(self.cache)
+        learned = self._learn(list(plain)) if plain else {}
+        for w, stem in ends.items():
+            learned[w] = (learned.get(stem) or self.cache[stem]) + (learned.get(w[-1:]) or self.cache[w[-1:]])
+        return learned
 
 
 @lru_cache(maxsize=1)
