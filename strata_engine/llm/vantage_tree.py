@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata_engine.llm.common import arrow_schema, named
 from strata_engine.session import materialize
 
-LEAF = 64
+LEAF = 512
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -41,9 +41,9 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _scores(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Inner products, each summed in the same order wherever its row stands,
-    so equal vectors get equal scores."""
-    return np.einsum("qd,pd->qp", queries, points)
+    """Inner product of each row with the same row of ``points``, summed in
+    the same order everywhere, so equal vectors get equal scores."""
+    return np.einsum("nd,nd->n", queries, points)
 
 
 class Tree:
@@ -115,7 +115,7 @@ class Tree:
             return best_id, best
         q2 = np.einsum("qd,qd->q", queries, queries)
         top2 = float((np.einsum("pd,pd->p", self.points, self.points) + self.extra**2).max())
-        slack = 1e-9 * (1.0 + np.sqrt(q2 + top2))  # rounding must not cut off a tie
+        slack = 1e-9 * (1.0 + q2 + top2)  # rounding must not cut off a tie
 
         def bound(rows):
             """Distance of the k-th best so far; infinite while there are fewer."""
@@ -124,15 +124,24 @@ class Tree:
 
         def leaf(i, rows):
             at = self.order[self.low[i] : self.high[i]]
-            at = at[np.argsort(self.ids[at], kind="stable")]
-            scores = _scores(queries[rows], self.points[at])
-            scores[self.ids[at][None, :] == query_ids[rows][:, None]] = -np.inf
-            every = np.concatenate([best[rows], scores], 1)
-            ids = np.concatenate([best_id[rows], np.broadcast_to(self.ids[at], scores.shape)], 1)
-            ids = np.where(np.isinf(every), np.iinfo(np.int64).max, ids)
-            first = np.lexsort((ids, -every), axis=1)[:, :k]
-            best[rows] = np.take_along_axis(every, first, 1)
-            best_id[rows] = np.take_along_axis(ids, first, 1)
+            # a matrix product finds what may be among the best, up to its rounding
+            rough = queries[rows] @ self.points[at].T
+            possible = rough >= (best[rows, -1] - slack[rows])[:, None]
+            possible &= self.ids[at][None, :] != query_ids[rows][:, None]
+            r, c = np.nonzero(possible)
+            if not len(r):
+                return
+            r, c = rows[r], at[c]
+            touched = np.unique(r)
+            who = np.concatenate([np.repeat(touched, k), r])
+            score = np.concatenate([best[touched].ravel(), _scores(queries[r], self.points[c])])
+            ids = np.concatenate([best_id[touched].ravel(), self.ids[c]])
+            order = np.lexsort((ids, -score, who))
+            who, score, ids = who[order], score[order], ids[order]
+            place = np.arange(len(who)) - np.searchsorted(who, who)
+            first = place < k
+            best[who[first], place[first]] = score[first]
+            best_id[who[first], place[first]] = ids[first]
 
         # (node, its queries, least distance a point below it can have from each)
         todo = [(0, np.arange(n), np.zeros(n))]
