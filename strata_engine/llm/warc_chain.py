@@ -122,18 +122,30 @@ def _field(header: Column, name: str, value: str) -> Column:
     return F.when(found != "", found)
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Every occurrence of the magic: file, at (its offset), to (where its
-    record ends), header fields, and size, digest of the payload. Where the
-    record goes on beyond the next magic, ``piece`` has the bytes up to it."""
+def _segments(spark: SparkSession, path: str) -> DataFrame:
+    """The bytes between occurrences of the magic, with file, block (split)
+    and row (their order in it)."""
     raw = spark.read.option("lineSep", MAGIC).option("recursiveFileLookup", "true").text(path)
+    return raw.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+
+
+def candidates(raw: DataFrame) -> DataFrame:
+    """Every occurrence of the magic in ``_segments``: file, at (its offset),
+    to (where its record ends), header fields, and size, digest of the
+    payload. Where the record does not end at the next magic, ``piece`` has
+    the bytes up to it."""
     header = F.substring_index("value", BREAK, 1)
     both = F.substring_index("value", BREAK, 2)
     head_bytes, both_bytes = F.octet_length(header), F.octet_length(both)
     segments = raw.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        "file",
+        "block",
+        "row",
         F.octet_length("value").cast("bigint").alias("bytes"),
         _field(header, "WARC-Type", r"([a-z]+)").alias("type"),
         _field(header, "WARC-Record-ID", r"<([^>]*)>").alias("record_id"),
@@ -166,7 +178,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     return (
         placed.where("number > 1")
         .withColumn("to", F.col("at") + magic + F.col("length"))
-        .drop("block", "row", "number", "length")
+        .drop("number", "length")
     )
 
 
@@ -199,17 +211,31 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     digest of a response are those of the bytes read; a revisit has those
     that its headers state. A file that does not start with a record, or the
     rest of one whose chain breaks, gives nothing; no files, no rows."""
-    found = materialize(candidates(spark, path), "warc-candidates")
+    raw = _segments(spark, path)
+    found = materialize(candidates(raw), "warc-candidates")
     links = found.where("to <= end").select("file", "at", "to")
     on_chain = reachable(links).withColumn("record", F.col("at"))
     marked = found.join(on_chain, ["file", "at"], "left")
     # a candidate off the chain lies in the payload of the last record before it
-    owner = F.last("record", True).over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
-    parts = marked.withColumn("owner", owner).where("piece is not null and owner is not null and at < end")
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    marked = marked.withColumn("owner", F.last("record", True).over(before))
+    marked = marked.withColumn("owner_to", F.last(F.when(F.col("record").isNotNull(), F.col("to")), True).over(before))
+    marked = materialize(marked, "warc-marked")
+    inside = marked.where("at < owner_to")
+    parts = inside.where("piece is not null").select("file", "owner", "at", "piece")
+    # what looks like a whole record inside a payload was not kept: read it again
+    again = inside.where("piece is null and record is null").select("file", "block", "row", "bytes", "owner", "at")
+    lost = again.count()
+    if lost:
+        reread = raw.join(again, ["file", "block", "row"]).where(F.octet_length("value") == F.col("bytes"))
+        reread = materialize(reread.select("file", "owner", "at", F.col("value").cast("binary").alias("piece")), "warc-again")
+        if reread.count() != lost:
+            raise RuntimeError("the archives changed while they were read")
+        parts = parts.unionByName(reread)
     cut = parts.groupBy("file", F.col("owner").alias("at")).agg(
         F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("held"), F.count(F.lit(1)).alias("n")
     )
-    rejoined = cut.select("file", "at", _joined(F.col("held.piece")).alias("data"))
+    rejoined = cut.where("n > 1").select("file", "at", _joined(F.col("held.piece")).alias("data"))
     records = marked.where("record is not null").join(rejoined, ["file", "at"], "left")
     head = F.octet_length(F.substring_index(F.col("data").cast("string"), BREAK, 2)) + len(BREAK)
     size = F.col("to") - F.col("at") - len(MAGIC) - head - len(BREAK)
