@@ -18,15 +18,18 @@ from __future__ import annotations
 import base64
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata_engine.llm.common import arrow_schema, map_texts, named, slices
-from strata_engine.session import materialize
+from strata_engine.session import fits_broadcast, materialize
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 1_024
+# Rows decoded at once inside a task.
+DECODE_ROWS = 500
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -62,39 +65,41 @@ def boundaries(chunk: str, pattern) -> list[int]:
 
 def _encode_map(df: DataFrame, keep: list[str], path: str, pattern: str) -> DataFrame:
     def make():
-        encode = _encoding(path, pattern).encode_ordinary
-        return lambda texts: [[encode(t or "") for t in texts]]
+        encode = _encoding(path, pattern).encode_to_numpy  # there are no special tokens to allow
+        return lambda texts: [[encode(t or "", disallowed_special=()).astype(np.int32) for t in texts]]
 
     return map_texts(df, keep, "text", "ids array<int>", make)
 
 
 def _chunks(long_texts: DataFrame, chunk_chars: int, overlap: int) -> DataFrame:
-    """row, chunk, start, text of every chunk; each reaches ``overlap``
+    """row, doc_id, chunk, text of every chunk; each reaches ``overlap``
     characters into the next one."""
-    schema = "row bigint, chunk int, start bigint, text string"
+    schema = f"row bigint, doc_id {long_texts.schema['doc_id'].dataType.simpleString()}, chunk int, text string"
     target = arrow_schema(schema)
 
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist()):
-                    starts = range(0, len(text), chunk_chars)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([row] * len(starts), pa.int64()),
-                            pa.array(range(len(starts)), pa.int32()),
-                            pa.array(starts, pa.int64()),
-                            pa.array([text[s : s + chunk_chars + overlap] for s in starts], pa.string()),
-                        ],
-                        schema=target,
-                    )
-
-    return long_texts.select("row", "text").mapInArrow(cut, schema)
+                texts = part.column("text").to_pylist()
+                starts = [range(0, len(t), chunk_chars) for t in texts]
+                index = pa.array([i for i, s in enumerate(starts) for _ in s], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row").take(index),
+                        part.column("doc_id").take(index).cast(target.field("doc_id").type),
+                        pa.array([n for s in starts for n in range(len(s))], pa.int32()),
+                        pa.array([t[a : a + chunk_chars + overlap] for t, s in zip(texts, starts) for a in s], pa.string()),
+                    ],
+                    schema=target,
+                )
+
+    return long_texts.select("row", "doc_id", "text").mapInArrow(cut, schema)
 
 
 def _cut_points(chunks: DataFrame, pattern: str, chunk_chars: int, overlap: int) -> DataFrame:
-    """row, chunk, piece, low, high: the range of its own text that a chunk
-    gives to its piece. Only boundaries inside overlaps are shuffled."""
+    """row, chunk, piece, parts, low, high: the range of its own text that a
+    chunk gives to its piece, and how many chunks the piece is made of. Only
+    boundaries inside overlaps are shuffled."""
 
     def make():
         import regex
@@ -118,13 +123,14 @@ def _cut_points(chunks: DataFrame, pattern: str, chunk_chars: int, overlap: int)
     starts_piece = (F.col("chunk") == 0) | F.col("cut").isNotNull()
     is_last = F.lead("chunk").over(by_row).isNull()
     next_cut = F.lead("cut").over(by_row)
-    return cuts.select(
+    ranges = cuts.select(
         "row",
         "chunk",
         F.sum(starts_piece.cast("int")).over(by_row).alias("piece"),
         F.coalesce("cut", F.lit(0)).alias("low"),
         F.when(is_last, F.col("chars")).otherwise(F.lit(chunk_chars) + F.coalesce(next_cut, F.lit(0))).alias("high"),
     )
+    return ranges.withColumn("parts", F.count(F.lit(1)).over(Window.partitionBy("row", "piece")))
 
 
 def encode(
@@ -145,25 +151,26 @@ def encode(
     whole = _encode_map(src.where(~is_long), ["doc_id"], path, pattern)
 
     # written once: the number given to a row must not change when a task is run again
-    long_texts = materialize(src.where(is_long).withColumn("row", F.monotonically_increasing_id()), "bpe-long")
-    chunks = _chunks(long_texts, chunk_chars, overlap)
-    chunks = materialize(chunks.repartition("row", "chunk"), "bpe-chunks")
-    parts = chunks.join(_cut_points(chunks, pattern, chunk_chars, overlap), ["row", "chunk"]).select(
-        "row", "piece", "chunk", F.expr("substring(text, low + 1, high - low)").alias("text")
+    numbered = src.where(is_long).withColumn("row", F.monotonically_increasing_id())
+    chunks = materialize(_chunks(numbered, chunk_chars, overlap), "bpe-chunks")
+    ranges = materialize(_cut_points(chunks, pattern, chunk_chars, overlap), "bpe-cuts")
+    # the chunks move only where the list of cuts is too long to send along
+    ranges = F.broadcast(ranges) if fits_broadcast(ranges) else ranges
+    parts = chunks.join(ranges, ["row", "chunk"]).select(
+        "row", "doc_id", "piece", "chunk", "parts", F.expr("substring(text, low + 1, high - low)").alias("text")
     )
-    sizes = Window.partitionBy("row", "piece")
-    parts = parts.withColumn("parts", F.count(F.lit(1)).over(sizes))
     joined = (
         parts.where("parts > 1")
         .groupBy("row", "piece")
-        .agg(F.sort_array(F.collect_list(F.struct("chunk", "text"))).alias("held"))
-        .select("row", "piece", F.concat_ws("", F.col("held.text")).alias("text"))
+        .agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("chunk", "text"))).alias("held"))
+        .select("row", "doc_id", "piece", F.concat_ws("", F.col("held.text")).alias("text"))
+    )
+    pieces = parts.where("parts = 1").select("row", "doc_id", "piece", "text").unionByName(joined)
+    encoded = _encode_map(pieces, ["row", "doc_id", "piece"], path, pattern)
+    stitched = encoded.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("held")
     )
-    pieces = parts.where("parts = 1").select("row", "piece", "text").unionByName(joined)
-    encoded = _encode_map(pieces, ["row", "piece"], path, pattern)
-    stitched = encoded.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("held"))
-    stitched = stitched.select("row", F.flatten("held.ids").alias("ids"))
-    return whole.unionByName(long_texts.select("row", "doc_id").join(stitched, "row").select("doc_id", "ids"))
+    return whole.unionByName(stitched.select("doc_id", F.flatten("held.ids").alias("ids")))
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -176,16 +183,14 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     def run(batches):
         table = _token_bytes(path)
         for batch in batches:
-            data = [None if ids is None else b"".join(map(table.__getitem__, ids)) for ids in _lists(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1).cast(target.field("ids").type), pa.array(data, pa.binary())], schema=target
-            )
+            for part in (batch.slice(at, DECODE_ROWS) for at in range(0, batch.num_rows, DECODE_ROWS)):
+                data = [_bytes_of(part.column(1)[i], table) for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1).cast(target.field("ids").type), pa.array(data, pa.binary())], schema=target
+                )
 
     return src.mapInArrow(run, schema)
 
 
-def _lists(column):
-    """Python lists of a list column, one row at a time."""
-    for i in range(len(column)):
-        row = column[i]
-        yield row.values.to_numpy(zero_copy_only=False).tolist() if row.is_valid else None
+def _bytes_of(ids: pa.ListScalar, table: list[bytes]) -> bytes | None:
+    return b"".join(map(table.__getitem__, ids.values.to_numpy(zero_copy_only=False).tolist())) if ids.is_valid else None

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 # Texts of a batch handled at once inside a task; bounds what a Python
 # worker holds besides the Arrow batch itself.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
