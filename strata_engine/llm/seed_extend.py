@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.llm.common import arrow_schema, named, slices, text_bytes
-from strata_engine.llm.packed import by_bucket, shared_here, shared_of_all, unpack
+from strata_engine.llm.packed import by_bucket, shared_here, shared_of_all, split_hits, spread, unpack
 from strata_engine.session import fits_broadcast, materialize
 
 MIN_WORDS = 20
@@ -80,6 +80,10 @@ def digest_of(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+def _owner(fp: bytes) -> int:
+    return int.from_bytes(fp[:8], "little", signed=True)
+
+
 def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     size = len(next(iter(columns.values())))
     arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema]
@@ -90,30 +94,36 @@ def _table(schema: pa.Schema, columns) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _spread(owners: np.ndarray, values: np.ndarray):
-    """(owner, its values as bytes) for every owner."""
-    order = np.argsort(owners, kind="stable")
-    ids, start = np.unique(owners[order], return_index=True)
-    return ids, [v.tobytes() for v in np.split(values[order], start[1:])] if len(ids) else []
+def _by_owner(replies: DataFrame, kind, out: str) -> DataFrame:
+    """Rows (owner, values) from the replies to each segment."""
+    target = arrow_schema(out)
+
+    def run(_, rows):
+        return _table(target, spread(unpack(rows.column("owners"), np.int64), unpack(rows.column("values"), kind)))
+
+    replies = replies.where(F.length("owners") > 0).select("segment", "owners", "values")
+    return replies.groupBy("segment").applyInArrow(run, out)
 
 
 def _seeds(docs: DataFrame, min_words: int, gram: int, buckets: int) -> DataFrame:
-    """id, n_words, fp, anchors (binary): a row per document with the repeated
-    anchors that its own task knows of, and rows with n_words null that add
-    those found elsewhere."""
-    schema = "bucket int, id bigint, n_words bigint, fp binary, anchors binary, owners binary"
+    """owner, id, n_words, fp, anchors (binary): a row per document with the
+    repeated anchors that its own task knows of, and rows with n_words null:
+    packed replies (segment, owners, values) that add those found elsewhere.
+    Documents of equal word sequences have one owner number and do not count
+    as repeats of one another."""
+    schema = "bucket int, segment bigint, owner bigint, id bigint, n_words bigint, fp binary, anchors binary, owners binary"
     target = arrow_schema(schema)
 
     def emit(ids, ns, fps, parts):
         index = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         keys = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        owners = np.array(ids, np.int64)[index]
-        distinct, owner, repeated = shared_here(keys, owners)
+        numbers = np.array([_owner(fp) for fp in fps], np.int64)
+        distinct, owner, repeated = shared_here(keys, numbers[index])
         ends = np.cumsum([len(p) for p in parts])
         mine = [p[r].tobytes() for p, r in zip(parts, np.split(repeated, ends[:-1]))]
-        yield _batch(target, bucket=[i % buckets for i in ids], id=ids, n_words=ns, fp=fps, anchors=mine)
+        yield _batch(target, bucket=(numbers % buckets).tolist(), owner=numbers, id=ids, n_words=ns, fp=fps, anchors=mine)
         for b, (k, o) in by_bucket(distinct, buckets, owner):
-            yield _batch(target, bucket=[b], anchors=[k], owners=[o])
+            yield _batch(target, bucket=[b], segment=numbers[:1], anchors=[k], owners=[o])
 
     def run(batches):
         tool = Windows(min_words, gram)
@@ -140,18 +150,18 @@ def _seeds(docs: DataFrame, min_words: int, gram: int, buckets: int) -> DataFram
         if ids:
             yield from emit(ids, ns, fps, parts)
 
-    out = "id bigint, n_words bigint, fp binary, anchors binary"
+    out = "owner bigint, id bigint, n_words bigint, fp binary, anchors binary, segment bigint, owners binary, values binary"
     out_target = arrow_schema(out)
 
     def join(_, rows):
-        documents = rows.filter(rows.column("n_words").is_valid()).select(["id", "n_words", "fp", "anchors"])
+        documents = rows.filter(rows.column("n_words").is_valid()).select(["owner", "id", "n_words", "fp", "anchors"])
         entries = rows.filter(rows.column("n_words").is_null())
         keys, owners = unpack(entries.column("anchors"), np.uint64), unpack(entries.column("owners"), np.int64)
         hit = shared_of_all(keys, owners)
-        ids, held = _spread(owners[hit], keys[hit])
-        found = pa.table([pa.array(ids, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.binary()),
-                          pa.array(held, pa.binary())], schema=out_target)
-        return pa.concat_tables([documents.cast(out_target), found])
+        found_owners, found_keys = split_hits(entries, "anchors", hit, owners, keys)
+        found = _batch(out_target, segment=entries.column("segment").combine_chunks(), owners=found_owners, values=found_keys)
+        documents = _batch(out_target, **{c: documents.column(c).combine_chunks() for c in documents.column_names})
+        return pa.Table.from_batches([documents, found])
 
     return docs.select("id", "text").mapInArrow(run, schema).groupBy("bucket").applyInArrow(join, out)
 
@@ -166,47 +176,49 @@ def _with_repeats(found: np.ndarray, tool: Windows, words: list[bytes]) -> np.nd
 
 def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> DataFrame:
     """id, starts (binary int32): windows with a repeated anchor that also
-    start earlier. ``seeded`` has id, fp, text, anchors."""
-    schema = "bucket int, id bigint, starts binary, keys binary, checks binary, owners binary"
+    start earlier. ``seeded`` has id, fp, text and held (its repeated
+    anchors, in byte strings)."""
+    schema = "bucket int, segment bigint, id bigint, starts binary, keys binary, checks binary, owners binary"
     target = arrow_schema(schema)
-    out = "id bigint, starts binary"
+    out = "id bigint, starts binary, segment bigint, owners binary, values binary"
     out_target = arrow_schema(out)
 
     def later(keys, checks, owners, starts):
-        """Which entries have an equal window that starts earlier, and the
-        first entry of every window."""
+        """Which entries have an equal window that starts earlier."""
+        if not len(keys):
+            return np.zeros(0, bool)
         order = np.lexsort((starts, owners, checks, keys))
-        k, c = keys[order], checks[order]
-        again = np.zeros(len(k), bool)
-        again[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+        k, c, o, s = keys[order], checks[order], owners[order], starts[order]
+        new = np.append(True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]))
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
         late = np.zeros(len(k), bool)
-        late[order] = again
+        late[order] = (o != o[first]) | (s != s[first])  # an alike row is not later
         return late
 
     def emit(parts):
         keys, checks, owners, starts, anchors = (np.concatenate(x) for x in zip(*parts))
         late = later(keys, checks, owners, starts)
-        ids, held = _spread(owners[late], starts[late])
+        ids, held = spread(owners[late], starts[late])
         if len(ids):
             yield _batch(target, bucket=[int(i) % buckets for i in ids], id=ids, starts=held)
         first = ~late
         # windows of one anchor go to one bucket, next to one another
         for b, (_, k, c, o, s) in by_bucket(anchors[first], buckets, keys[first], checks[first], owners[first], starts[first]):
-            yield _batch(target, bucket=[b], keys=[k], checks=[c], owners=[o], starts=[s])
+            yield _batch(target, bucket=[b], segment=owners[:1], keys=[k], checks=[c], owners=[o], starts=[s])
 
     def run(batches):
         tool = Windows(min_words, gram)
         parts, held = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                columns = [part.column(c).to_pylist() for c in ("id", "fp", "text", "anchors")]
+                columns = [part.column(c).to_pylist() for c in ("id", "fp", "text", "held")]
                 for i, fp, text, wanted in zip(*columns):
                     words = (text or b"").split()
                     if len(words) < min_words or digest_of(words) != fp:
                         continue
                     h = tool.hashes(words)
                     anchors = tool.anchors(h)
-                    at = np.flatnonzero(np.isin(anchors, np.frombuffer(wanted, np.uint64)))
+                    at = np.flatnonzero(np.isin(anchors, np.frombuffer(b"".join(wanted), np.uint64)))
                     if not len(at):
                         continue
                     checks = (anchors[at] >> np.uint64(32)).astype(np.uint32)
@@ -224,10 +236,15 @@ def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> D
         kinds = (("keys", np.uint64), ("checks", np.uint32), ("owners", np.int64), ("starts", np.int32))
         keys, checks, owners, starts = (unpack(entries.column(c), kind) for c, kind in kinds)
         late = later(keys, checks, owners, starts)
-        ids, held = _spread(owners[late], starts[late])
-        return pa.concat_tables([known.cast(out_target), _table(out_target, [ids, held])])
+        found_owners, found_starts = split_hits(entries, "keys", late, owners, starts)
+        found = _batch(out_target, segment=entries.column("segment").combine_chunks(), owners=found_owners, values=found_starts)
+        known = _batch(out_target, **{c: known.column(c).combine_chunks() for c in known.column_names})
+        return pa.Table.from_batches([known, found])
 
-    return seeded.select("id", "fp", "text", "anchors").mapInArrow(run, schema).groupBy("bucket").applyInArrow(settle, out)
+    made = seeded.select("id", "fp", "text", "held").mapInArrow(run, schema).groupBy("bucket").applyInArrow(settle, out)
+    made = materialize(made, "seed-windows")
+    elsewhere = _by_owner(made.where("segment is not null"), np.int32, "id bigint, starts binary")
+    return made.where("segment is null").select("id", "starts").unionByName(elsewhere)
 
 
 def _merge(starts: np.ndarray, min_words: int) -> tuple[list[int], list[int]]:
@@ -268,17 +285,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     found = materialize(_seeds(src, min_words, gram, int(max(8, volume // 40 // BUCKET_ENTRIES))), "seed-anchors")
     documents = found.where("n_words is not null")
 
-    # of rows with one id, the one with the smallest digest stands for it
-    one = documents.groupBy("id").agg(F.min(F.struct("fp", "n_words")).alias("d")).select("id", "d.fp", "d.n_words")
-    classes = one.groupBy("n_words", "fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # a row per id, copies included; of rows with one id, the one with the smallest digest stands for it
+    one = documents.groupBy("id").agg(F.min(F.struct("fp", "n_words", "owner")).alias("d")).select("id", "d.*")
+    classes = one.groupBy("n_words", "fp", "owner").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     repeated = materialize(classes.where(f"copies > 1 and n_words >= {min_words}"), "seed-classes")
-    copies = one.join(_small(repeated), ["n_words", "fp"]).where("id <> rep")
+    copies = one.join(_small(repeated.drop("owner")), ["n_words", "fp"]).where("id <> rep")
     copies = copies.select("id", "fp", F.array(F.lit(0)).alias("low"), F.array(F.col("n_words").cast("int")).alias("high"))
     copies = materialize(copies, "seed-copies")
 
-    anchors = found.where(F.length("anchors") > 0).groupBy("id").agg(F.collect_list("anchors").alias("held"))
-    anchors = anchors.select("id", F.expr("aggregate(held, X'', (a, b) -> concat(a, b))").alias("anchors"))
-    seeded = anchors.join(copies.select("id"), "id", "left_anti").join(one.select("id", "fp"), "id")
+    elsewhere = _by_owner(found.where("segment is not null"), np.uint64, "owner bigint, anchors binary")
+    anchors = found.where(F.length("anchors") > 0).select("owner", "anchors").unionByName(elsewhere)
+    anchors = anchors.groupBy("owner").agg(F.collect_list("anchors").alias("held"))
+    # of copies only the first has windows that matter
+    seeded = anchors.join(classes, "owner").select("rep", "fp", "held").withColumnRenamed("rep", "id")
     seeded = materialize(seeded, "seed-joined")
     texts = src.join(_small(seeded.select("id")), "id", "left_semi")  # only texts with a seed move
     windows = _extensions(texts.join(seeded, "id"), min_words, gram, int(max(8, volume // 24 // BUCKET_ENTRIES)))
