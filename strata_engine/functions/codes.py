@@ -19,7 +19,8 @@ def code_label(
 ) -> Column:
     """``mapping.get(col, default)``: a NULL key or a key not in the map gives
     ``default``. The map literal is constant-folded by Catalyst, so this costs
-    one hash lookup per row and no Python.
+    a search of its keys per row and no Python (long lists: see
+    ``transform.map_codes_lookup``).
 
     ``key_type`` casts the literal keys to the column's type so the lookup
     never casts the column itself. The map is built as one SQL literal

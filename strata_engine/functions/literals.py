@@ -3,6 +3,8 @@ table becomes ONE expression parsed once instead of one JVM call per value."""
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import math
 
 
@@ -18,6 +20,13 @@ def sql_literal(v: object, cast: str | None = None) -> str:
         text = repr(v) + "D" if math.isfinite(v) else f"CAST('{v}' AS DOUBLE)"
     elif isinstance(v, str):
         text = "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    elif isinstance(v, decimal.Decimal):
+        text = f"CAST('{v}' AS DECIMAL(38, {max(0, -v.as_tuple().exponent)}))"
+    elif isinstance(v, datetime.datetime):
+        kind = "TIMESTAMP_NTZ" if v.tzinfo is None else "TIMESTAMP"
+        text = f"{kind} '{v.isoformat(sep=' ')}'"
+    elif isinstance(v, datetime.date):
+        text = f"DATE '{v.isoformat()}'"
     else:
         raise TypeError(f"no SQL literal for {type(v).__name__}")
     return f"CAST({text} AS {cast})" if cast else text

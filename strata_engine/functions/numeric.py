@@ -12,8 +12,11 @@ def round_half_away(col: Column | str, decimals: int) -> Column:
 
     About 3x cheaper than ``round()`` on doubles (which goes through a
     BigDecimal per value) and equal to the usual C-library rounding that
-    other engines use for doubles.
+    other engines use for doubles. From ``|x| * 10^d = 2^52`` on a double has
+    no such fraction left, so the value (infinity and NaN too) stays as it is.
     """
-    c = F.col(col) if isinstance(col, str) else col
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
     m = float(10 ** decimals)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(m) + F.lit(0.5)) / F.lit(m)
+    scaled = F.abs(c) * F.lit(m)
+    rounded = F.signum(c) * F.floor(scaled + F.lit(0.5)) / F.lit(m)
+    return F.when(scaled < F.lit(2.0**52), rounded).otherwise(c)

@@ -43,11 +43,8 @@ def lossless_cast(col: str, to: str, name: str | None = None) -> dict[str, str]:
 
 
 def default_bound_name(col: str) -> str:
-    """``EDUC`` → ``valid_educ_values``; a trailing ``FLG`` is dropped."""
-    base = col.lower()
-    if base.endswith("flg"):
-        base = base[: -len("flg")]
-    return f"valid_{base}_values"
+    """``EDUC`` → ``valid_educ_values``."""
+    return f"valid_{col.lower()}_values"
 
 
 def at_least(cols: Iterable[str], low: float, names: dict[str, str] | None = None) -> dict[str, str]:
@@ -56,14 +53,6 @@ def at_least(cols: Iterable[str], low: float, names: dict[str, str] | None = Non
     return {names.get(c, default_bound_name(c)): f"{_q(c)} >= {low}" for c in cols}
 
 
-def at_most(cols: Iterable[str], high: float) -> dict[str, str]:
-    return {f"valid_{c.lower()}_max": f"{_q(c)} <= {high}" for c in cols}
-
-
-def between(col: str, low: float, high: float, name: str | None = None) -> dict[str, str]:
-    return {name or f"valid_{col.lower()}_range": f"{_q(col)} BETWEEN {low} AND {high}"}
-
-
 def not_null(cols: Iterable[str]) -> dict[str, str]:
     return {f"valid_{c.lower()}": f"{_q(c)} IS NOT NULL" for c in cols}
 

@@ -16,13 +16,19 @@ def _round(c: Column, decimals: int | None) -> Column:
     return round_half_away(c, decimals) if decimals is not None else c
 
 
-def _long_form(df: DataFrame, cols: Sequence[str], stats: dict[str, callable], decimals: int | None) -> DataFrame:
+def _long_form(
+    df: DataFrame, cols: Sequence[str], stats: dict[str, callable], decimals: int | None, exact: bool = False
+) -> DataFrame:
+    names = list(stats)
     aggs = []
     for i, c in enumerate(cols):
         for j, (name, fn) in enumerate(stats.items()):
-            aggs.append(fn(F.col(c)).alias(f"__{i}_{j}"))
+            value = fn(F.col(c))  # in the column's own type
+            aggs.append((value if name == "count" else value.cast("double")).alias(f"__{i}_{j}"))
+            if exact and name in ("min", "max"):
+                aggs.append(value.cast("string").alias(f"__{i}_{len(names) + (name == 'max')}"))
     wide = df.agg(*aggs)
-    names = list(stats)
+    names += ["min_exact", "max_exact"] if exact else []
     rows = []
     for i, c in enumerate(cols):
         esc = c.replace("'", "\\'")
@@ -32,29 +38,35 @@ def _long_form(df: DataFrame, cols: Sequence[str], stats: dict[str, callable], d
     )
     out = [F.col("position").cast("int").alias("position"), "column_name"]
     for n in names:
-        out.append(F.col(n) if n == "count" else _round(F.col(n).cast("double"), decimals).alias(n))
+        out.append(F.col(n) if n == "count" or n.endswith("_exact") else _round(F.col(n).cast("double"), decimals).alias(n))
     return stacked.select(*out)
 
 
-def summarize(df: DataFrame, cols: Sequence[str], decimals: int | None = None) -> DataFrame:
-    """(position, column_name, min, max, mean, stddev) per column; stddev is
-    the sample one."""
+def summarize(df: DataFrame, cols: Sequence[str], decimals: int | None = None, exact: bool = False) -> DataFrame:
+    """(position, column_name, min, max, mean, stddev) per column, as doubles;
+    stddev is the sample one. ``exact`` adds min_exact and max_exact, the
+    extremes as text in the column's own type (a bigint beyond 2^53 has no
+    double of its own)."""
     return _long_form(
         df,
         cols,
         {
-            "min": lambda c: F.min(c.cast("double")),
-            "max": lambda c: F.max(c.cast("double")),
+            "min": F.min,
+            "max": F.max,
             "mean": lambda c: F.avg(c.cast("double")),
             "stddev": lambda c: F.stddev_samp(c.cast("double")),
         },
         decimals,
+        exact,
     )
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, decimals: int | None = None) -> DataFrame:
+def describe(
+    df: DataFrame, cols: Sequence[str] | None = None, decimals: int | None = None, exact: bool = False
+) -> DataFrame:
     """The ``describe()`` profile (count, mean, stddev, min, max) for numeric
-    columns, numeric-typed and long-form rather than strings."""
+    columns, numeric-typed and long-form rather than strings; ``exact`` as in
+    :func:`summarize`."""
     if cols is None:
         numeric = ("int", "bigint", "smallint", "tinyint", "float", "double")
         cols = [c for c, t in df.dtypes if t in numeric or t.startswith("decimal")]
@@ -65,10 +77,11 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, decimals: int | N
             "count": lambda c: F.count(c),
             "mean": lambda c: F.avg(c.cast("double")),
             "stddev": lambda c: F.stddev_samp(c.cast("double")),
-            "min": lambda c: F.min(c.cast("double")),
-            "max": lambda c: F.max(c.cast("double")),
+            "min": F.min,
+            "max": F.max,
         },
         decimals,
+        exact,
     )
 
 

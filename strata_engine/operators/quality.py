@@ -44,9 +44,15 @@ def enforce(df: DataFrame, rules: Mapping[str, str], action: str = "drop") -> Da
 def flag(df: DataFrame, rules: Mapping[str, str], out: str = "failed_rules") -> DataFrame:
     """Keep every row; ``out`` is the array of names of the rules it fails
     (empty when it passes all), in rule order."""
-    failed = [F.when(~_passes(r), F.lit(name)) for name, r in rules.items()]
-    col = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return df.withColumn(out, col)
+    none = F.array().cast("array<string>")
+    # concat of short arrays stays in generated code; a filter lambda would not
+    failed = [F.when(_passes(r), none).otherwise(F.array(F.lit(name))) for name, r in rules.items()]
+    return df.withColumn(out, F.concat(*failed) if failed else none)
+
+
+def passes(df: DataFrame, rules: Mapping[str, str], prefix: str = "") -> DataFrame:
+    """Keep every row; add one boolean per rule (``prefix`` + rule name)."""
+    return df.withColumns({f"{prefix}{name}": _passes(r) for name, r in rules.items()})
 
 
 def _stack(pairs: list[tuple[str, str]], value_name: str) -> Column:

@@ -1,9 +1,11 @@
-"""Schema contracts and summaries. These read only ``df.schema`` (driver-side
-metadata, one row per field); no data is scanned."""
+"""Schema contracts and summaries. Contracts read only ``df.schema``;
+``profile`` and ``contract_report`` also count, per column, the NULLs and the
+values that the declared type cannot hold (one aggregate)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 MODES = ("names", "names_types", "exact")
@@ -93,3 +95,42 @@ def summary_rows(schema: StructType) -> list[tuple]:
 def summary(df: DataFrame) -> DataFrame:
     """Column → type table (the reference's type-conversion summary)."""
     return df.sparkSession.createDataFrame(summary_rows(df.schema), SUMMARY_SCHEMA)
+
+
+def _per_column(df: DataFrame, rows: list[tuple], names: list[str], counts: dict[str, dict]) -> DataFrame:
+    """``rows`` (driver-side, one per field; column name second) with the
+    counts of one aggregate over ``df`` beside them."""
+    aggs = [c.alias(f"{kind}:{col}") for col, kinds in counts.items() for kind, c in kinds.items()]
+    kinds = list(next(iter(counts.values()), {}))
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
+    columns = []
+    for r in rows:
+        values = [F.lit(v).alias(n) for v, n in zip(r, names)]
+        found = [F.col(f"`{k}:{r[1]}`") if r[1] in counts else F.lit(None).cast("bigint") for k in kinds]
+        columns.append(F.struct(*values, F.col("rows").alias("n_rows"), *[c.alias(k) for c, k in zip(found, kinds)]))
+    return wide.select(F.inline(F.array(*columns)))
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """Column → type table with counts of the data: position, column_name, data_type, n_rows, n_null."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    counts = {f.name: {"n_null": F.count_if(F.col(f"`{f.name}`").isNull())} for f in df.schema.fields}
+    return _per_column(df, rows, ["position", "column_name", "data_type"], counts)
+
+
+def contract_report(df: DataFrame, expected: StructType) -> DataFrame:
+    """``diff_rows`` with the data's counts: n_rows, n_null and n_bad (values
+    that become NULL, or another value, in the expected type)."""
+    actual = dict(df.dtypes)
+    counts = {}
+    rows = [tuple("" if v is None else v for v in r) for r in diff_rows(df.schema, expected)]
+    for _, name, want, have, _ in rows:
+        if name not in actual:
+            continue
+        c = F.col(f"`{name}`")
+        bad = F.lit(0).cast("bigint")
+        if want and want != have:
+            back = c.try_cast(want)
+            bad = F.count_if(c.isNotNull() & (back.isNull() | (back.cast(have) != c)))
+        counts[name] = {"n_null": F.count_if(c.isNull()), "n_bad": bad if want and want != have else F.sum(bad)}
+    return _per_column(df, rows, ["position", "column_name", "expected_type", "actual_type", "status"], counts)

@@ -6,7 +6,8 @@
 * :func:`hash_split` – per-row key hash: layout-independent, no shuffle,
   approximate shares.
 * :func:`stratified_split` – exact shares per stratum: the rows of each
-  stratum are ordered by the key hash and cut at rounded cumulative weights.
+  stratum are ordered by the key hash and cut at rounded cumulative weights;
+  only the boundary rows are searched for, the table is read once.
 """
 
 from __future__ import annotations
@@ -16,10 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata_engine.functions.codes import code_label
 from strata_engine.functions.hashing import hash_hex, unit_hash
-from strata_engine.functions.literals import map_literal, sql_literal
-from strata_engine.session import INLINE_KEYS, collect_small, materialize
+from strata_engine.session import fits_broadcast, materialize
 
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
 DEFAULT_NAMES = ("train", "validation", "test")
@@ -87,6 +86,11 @@ def hash_split(
     return df.withColumn(out, expr)
 
 
+# Hex digits of the key hash that each counting round adds.
+ROUND_DIGITS = (2, 3)
+HASH_DIGITS = 32
+
+
 def stratified_split(
     df: DataFrame,
     strata_col: str,
@@ -95,160 +99,108 @@ def stratified_split(
     names: Sequence[str] = DEFAULT_NAMES,
     seed: int = 42,
     out: str = "split",
-    target_rows: int = 1_000_000,
-    max_digits: int = 6,
-    bucket_digits: int | None = None,
-    sizes: dict | None = None,
+    target_rows: int = 100_000,
 ) -> DataFrame:
     """Exact stratified split.
 
     Definition: in a stratum of n rows ordered by ``md5(seed-key)`` then the
     key, row number rn goes to arm i when it is at most
     ``floor(cum_weight_i * n + 0.5)`` and above the previous cut (strata of
-    1, 2, 3, 4 rows at 60/20/20 give 1/0/0, 1/1/0, 2/0/1, 2/1/1).
-
-    Plan (no task ever holds a large stratum, so a stratum with a third of
-    all rows is fine, and no shuffle grows with the row count):
-
-    1. rows per stratum (a partial aggregate; one row per stratum, size
-       checked) give each stratum d hex digits of its hash, just enough that
-       n / 16^d <= ``target_rows`` (small strata: d = 0, one bucket);
-    2. rows per (stratum, bucket) are counted — at most about
-       16 * rows / target_rows groups in total — and a running sum per
-       stratum finds, for each cut, the bucket that holds it and the rows
-       before it: one row per stratum, size-checked, inlined or broadcast
-       (or, beyond the bound, written to the checkpoint folder);
-    3. a row in any other bucket knows its arm from its bucket alone (map
-       side, no shuffle); only rows of the (at most len(weights) - 1) cut
-       buckets per stratum are ranked, in groups of at most ``target_rows``.
-
-    ``bucket_digits`` fixes d for every stratum instead (skips step 1);
-    ``sizes`` ({stratum: rows}, e.g. from ``strata.value_counts``) supplies
-    step 1's counts.
+    1, 2, 3, 4 rows at 60/20/20 give 1/0/0, 1/1/0, 2/0/1, 2/1/1). Rows alike
+    in all key columns go to the same arm, that of the first of them. NULL
+    strata form a stratum.
+
+    Plan: the last row of each arm (the boundary) is found per stratum, then
+    one pass over ``df`` compares every row with its stratum's boundaries.
+
+    1. Rows are counted per stratum and leading hash digits (a partial
+       aggregate over stratum and key columns only, at most 256 rows per
+       stratum from each task); a running sum finds the bucket that holds
+       each cut.
+    2. While a cut's bucket has more than ``target_rows`` rows, the rows of
+       such buckets are counted by three more digits.
+    3. The rows of those small buckets are ranked, and the boundary row of
+       each cut is picked: one row per stratum.
+    4. ``df`` is joined with the boundaries. They are broadcast when their
+       size is under the session bound; only beyond it ``df`` is shuffled.
     """
     cuts = _cuts(weights)
-    k = len(cuts)
-    s = F.col(strata_col)
-    key_type = dict(df.dtypes)[strata_col]
-    keyed = df.withColumn("__h", hash_hex(key_cols, seed))
-    if bucket_digits is not None:
-        keyed = keyed.withColumn("__d", F.lit(bucket_digits))
-    else:
-        keyed = _with_digits(keyed, s, key_type, target_rows, max_digits, sizes)
-    # a stratum without a digit count (absent from given ``sizes``) is one bucket
-    digits = F.coalesce(F.col("__d"), F.lit(0))
-    bucket = F.coalesce(F.conv(F.substr(F.col("__h"), F.lit(1), digits), 16, 10).cast("bigint"), F.lit(0))
-    keyed = keyed.withColumn("__b", bucket)
-
-    bucket_counts = keyed.groupBy(s.alias("__s"), F.col("__b").alias("__bb")).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy("__s").orderBy("__bb")  # at most 16^max_digits rows per stratum
-    ranged = bucket_counts.select(
-        "__s", "__bb", "__c",
-        (F.sum("__c").over(w) - F.col("__c")).alias("__before"),
-        F.sum("__c").over(Window.partitionBy("__s")).alias("__n"),
-    )
-    hi = F.col("__before") + F.col("__c")
-    per_bucket = ranged.select(
-        "__s", "__bb", "__before", "__n",
-        *[F.when(hi > F.floor(F.lit(c) * F.col("__n") + F.lit(0.5)), F.col("__bb")).alias(f"__in{i}")
-          for i, c in enumerate(cuts)],
-        *[F.when(hi > F.floor(F.lit(c) * F.col("__n") + F.lit(0.5)), F.col("__before")).alias(f"__off{i}")
-          for i, c in enumerate(cuts)],
+    keys = [f"__k{i}" for i in range(len(key_cols))]
+    narrow = df.select(
+        F.col(strata_col).alias("__s"),
+        hash_hex(key_cols, seed).alias("__h"),
+        *[F.col(c).alias(k) for c, k in zip(key_cols, keys)],
     )
-    cut_table = per_bucket.groupBy("__s").agg(
-        F.first("__n").alias("__n"),
-        *[F.min(f"__in{i}").alias(f"__b{i}") for i in range(k)],
-        *[F.min(f"__off{i}").alias(f"__o{i}") for i in range(k)],
+    buckets = _cut_buckets(narrow, cuts, target_rows)
+    bounds = _boundaries(narrow, buckets, keys, len(cuts))
+    bounds = materialize(bounds, "strata_bounds")
+    bounds = F.broadcast(bounds) if fits_broadcast(bounds) else bounds
+    # left: a row is never dropped; a cut without boundary lies before all rows
+    joined = df.join(bounds, F.col(strata_col).eqNullSafe(bounds["__s"]), "left")
+    position = F.struct(hash_hex(key_cols, seed).alias("__h"), *[F.col(c).alias(k) for c, k in zip(key_cols, keys)])
+    arm = sum((F.coalesce(position > F.col(f"__b{i}"), F.lit(True)).cast("int") for i in range(len(cuts))), F.lit(0))
+    return joined.withColumn(out, _label(arm, names)).select(*[c for c in df.columns if c != out], out)
+
+
+def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> DataFrame:
+    """One row per stratum and cut that lies behind some row: __cut, the hash
+    prefix of the rows around it (__p), how many rows of that prefix come up
+    to it (__want), and how many there are (__c)."""
+    digits = ROUND_DIGITS[0]
+    counts = narrow.groupBy("__s", F.substring("__h", 1, digits).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
+    within = Window.partitionBy("__s")
+    upto = F.sum("__c").over(within.orderBy("__p"))
+    places = F.array(*[
+        F.struct(F.lit(i).alias("cut"), F.floor(F.lit(c) * F.col("__n") + F.lit(0.5)).alias("at")) for i, c in enumerate(cuts)
+    ]) if cuts else F.array().cast("array<struct<cut:int,at:bigint>>")
+    found = counts.select("__s", "__p", "__c", (upto - F.col("__c")).alias("__before"), F.sum("__c").over(within).alias("__n"))
+    found = found.select("__s", "__p", "__c", "__before", F.explode(places).alias("__at"))
+    buckets = found.where((F.col("__at.at") > F.col("__before")) & (F.col("__at.at") <= F.col("__before") + F.col("__c")))
+    buckets = buckets.select(
+        "__s", F.col("__at.cut").alias("__cut"), "__p", (F.col("__at.at") - F.col("__before")).alias("__want"), "__c"
     )
-    rows = collect_small(cut_table)  # one row per stratum, size-checked
-    info_cols = ["__n"] + [f"__b{i}" for i in range(k)] + [f"__o{i}" for i in range(k)]
-    if rows is not None and len(rows) <= INLINE_KEYS:
-        # a handful of strata: the cut table becomes a map literal, no join
-        joined = keyed.withColumns(_inline_cuts(s, rows, info_cols, key_type))
-    else:
-        if rows is not None:
-            per_stratum = F.broadcast(df.sparkSession.createDataFrame(rows, cut_table.schema))
-        else:
-            per_stratum = materialize(cut_table, "strata_cuts")
-        # left: a row is never dropped, even if its stratum were missing
-        joined = keyed.join(per_stratum, s.eqNullSafe(per_stratum["__s"]), "left")
-
-    b = F.col("__b")
-    is_cut_bucket = F.lit(False)
-    for i in range(k):
-        is_cut_bucket = is_cut_bucket | (b == F.col(f"__b{i}")).eqNullSafe(F.lit(True))
-    # arm from the bucket alone: how many cut buckets lie before this bucket
-    arm_by_bucket = sum(F.coalesce((b > F.col(f"__b{i}")).cast("int"), F.lit(0)) for i in range(k))
-
-    plain = joined.filter(~is_cut_bucket).withColumn(out, _label(arm_by_bucket, names))
-
-    edge = joined.filter(is_cut_bucket)
-    offset = F.lit(None).cast("bigint")
-    for i in reversed(range(k)):
-        offset = F.when(b == F.col(f"__b{i}"), F.col(f"__o{i}")).otherwise(offset)
-    order = [F.col("__h")] + [F.col(c) for c in key_cols]
-    rn = offset + F.row_number().over(Window.partitionBy(s, b).orderBy(*order))
-    arm_by_rank = sum(
-        (F.col("__rn") > F.floor(F.lit(c) * F.col("__n") + F.lit(0.5))).cast("int") for c in cuts
+    buckets = materialize(buckets, "strata_buckets")
+    while digits < HASH_DIGITS and (buckets.agg(F.max("__c")).first()[0] or 0) > target_rows:
+        finer = min(HASH_DIGITS, digits + ROUND_DIGITS[1])
+        counts = _rows_of(narrow, buckets, digits).groupBy(
+            "__s", "__p", F.substring("__h", 1, finer).alias("__q")
+        ).agg(F.count(F.lit(1)).alias("__d"))
+        upto = F.sum("__d").over(Window.partitionBy("__s", "__p").orderBy("__q"))
+        counts = counts.withColumn("__before", upto - F.col("__d"))
+        counts = counts.withColumnsRenamed({"__s": "__s2", "__p": "__p2"})
+        buckets = buckets.join(
+            counts,
+            F.col("__s").eqNullSafe(F.col("__s2")) & (F.col("__p") == F.col("__p2"))
+            & (F.col("__want") > F.col("__before")) & (F.col("__want") <= F.col("__before") + F.col("__d")),
+        ).select(
+            "__s", "__cut", F.col("__q").alias("__p"), (F.col("__want") - F.col("__before")).alias("__want"), F.col("__d").alias("__c")
+        )
+        buckets, digits = materialize(buckets, "strata_buckets"), finer
+    return buckets
+
+
+def _rows_of(narrow: DataFrame, buckets: DataFrame, digits: int) -> DataFrame:
+    """The rows of ``narrow`` in any of the buckets, with their prefix __p."""
+    wanted = buckets.select(F.col("__s").alias("__s1"), F.col("__p").alias("__p1")).distinct()
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    rows = narrow.withColumn("__p", F.substring("__h", 1, digits))
+    return rows.join(wanted, F.col("__s").eqNullSafe(F.col("__s1")) & (F.col("__p") == F.col("__p1")), "left_semi")
+
+
+def _boundaries(narrow: DataFrame, buckets: DataFrame, keys: list[str], n_cuts: int) -> DataFrame:
+    """One row per stratum: __s and, per cut, the position (hash, keys) of
+    the last row before it (__b0, ...); no row for a stratum without any."""
+    digits = buckets.agg(F.max(F.length("__p"))).first()[0] or ROUND_DIGITS[0]
+    rows = _rows_of(narrow, buckets, digits)
+    position = F.struct("__h", *keys)
+    ranked = rows.select("__s", "__p", position.alias("__at")).withColumn(
+        "__rn", F.row_number().over(Window.partitionBy("__s", "__p").orderBy("__at"))
+    ).withColumnsRenamed({"__s": "__s2", "__p": "__p2"})
+    hit = buckets.join(
+        ranked, F.col("__s").eqNullSafe(F.col("__s2")) & (F.col("__p") == F.col("__p2")) & (F.col("__want") == F.col("__rn"))
     )
-    edge = edge.withColumn("__rn", rn).withColumn(out, _label(arm_by_rank, names))
-
-    cols = df.columns + [out]
-    return plain.select(*cols).unionByName(edge.select(*cols))
-
-
-def _digits_for(n: int, target_rows: int, max_digits: int) -> int:
-    """Fewest hex digits d with n / 16^d <= target_rows (capped)."""
-    d = 0
-    while n > target_rows * 16 ** d and d < max_digits:
-        d += 1
-    return d
-
-
-def _with_digits(keyed: DataFrame, s: Column, key_type: str, target_rows: int, max_digits: int,
-                 known: dict | None = None) -> DataFrame:
-    """Add ``__d``, the hash digits used to bucket each row's stratum."""
-    sizes = keyed.groupBy(s.alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
-    if known is not None:
-        rows = [{"__s": k, "__n": v} for k, v in known.items()]
-    else:
-        rows = collect_small(sizes)  # one row per stratum, size-checked
-    if rows is not None:
-        table = {r["__s"]: _digits_for(r["__n"], target_rows, max_digits) for r in rows}
-        if len(table) <= INLINE_KEYS:
-            plain = {k: v for k, v in table.items() if k is not None}
-            d = code_label(s, plain, None, key_type).cast("int") if plain else F.lit(None).cast("int")
-            if None in table:
-                d = F.when(s.isNull(), F.lit(table[None])).otherwise(d)
-            return keyed.withColumn("__d", d)
-        lookup = F.broadcast(keyed.sparkSession.createDataFrame(
-            [(k, v) for k, v in table.items()], f"__s {key_type}, __d int"))
-    else:
-        stored = materialize(sizes, "strata_sizes")
-        n = F.col("__n").cast("double")
-        d = F.when(n <= target_rows, F.lit(0)).otherwise(
-            F.least(F.lit(max_digits), F.ceil(F.log(16.0, n / F.lit(float(target_rows))))).cast("int"))
-        lookup = stored.select("__s", d.alias("__d"))
-    return keyed.join(lookup, s.eqNullSafe(lookup["__s"]), "left").drop("__s")
-
-
-def _inline_cuts(s: Column, rows: list, info_cols: list[str], key_type: str) -> dict[str, Column]:
-    """Per-stratum cut values as a map literal keyed by the stratum (map keys
-    cannot be NULL, so a NULL stratum gets its own branch)."""
-    def packed(r) -> str:
-        return "named_struct(" + ", ".join(f"'{c}', {sql_literal(r[c], 'BIGINT')}" for c in info_cols) + ")"
-
-    keyed = [r for r in rows if r["__s"] is not None]
-    nulls = [r for r in rows if r["__s"] is None]
-    struct_type = "struct<" + ",".join(f"{c}:bigint" for c in info_cols) + ">"
-    if keyed:
-        table = F.expr(map_literal([(sql_literal(r["__s"], key_type), packed(r)) for r in keyed]))
-        looked = F.try_element_at(table, s)
-    else:
-        looked = F.lit(None).cast(struct_type)
-    if nulls:
-        looked = F.when(s.isNull(), F.expr(packed(nulls[0]))).otherwise(looked)
-    return {c: looked.getField(c) for c in info_cols}
+    found = [F.max(F.when(F.col("__cut") == i, F.col("__at"))).alias(f"__b{i}") for i in range(n_cuts)]
+    return hit.groupBy("__s").agg(F.count(F.lit(1)).alias("__cuts"), *found).drop("__cuts")
 
 
 def save_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str = "parquet", mode: str = "overwrite") -> None:

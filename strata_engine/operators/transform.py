@@ -7,17 +7,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from strata_engine.functions.casts import id_suffix as id_suffix_expr
 from strata_engine.functions.casts import safe_cast
 from strata_engine.functions.codes import code_label
-from strata_engine.session import fits_broadcast
+from strata_engine.functions.literals import map_literal, sql_literal
+from strata_engine.session import broadcast_row_limit, fits_broadcast
 
 
-# Largest code list applied as a map literal: a literal map is searched
-# key by key per row, so long lists go through a broadcast hash join.
-MAP_LITERAL_MAX = 256
+# Largest code list applied as a map literal. Such a map is searched key by
+# key, so longer lists go through a hash join; both take the same key types.
+MAP_LITERAL_MAX = 64
+
+
+class AmbiguousCode(ValueError):
+    """A lookup table gives one code several labels."""
 
 
 def map_codes(
@@ -53,20 +57,26 @@ def map_codes_lookup(
 ) -> DataFrame:
     """The same mapping as :func:`map_codes` as a left join with a lookup
     table, for code lists too large to inline. The lookup is broadcast only
-    when its row count is under the session bound; else a shuffle join
-    (AQE splits a hot code on the big side)."""
+    when its size is under the session bound; else a shuffle join (AQE splits
+    a hot code on the big side). A code with several labels raises."""
     spark = df.sparkSession
     out = out or f"{col}_mapped"
     key_type = dict(df.dtypes)[col]
     if isinstance(lookup, Mapping):
-        schema = StructType([StructField(key_col, StringType()), StructField(label_col, StringType())])
-        lookup = spark.createDataFrame([(str(k), v) for k, v in lookup.items()], schema)
-        small = True  # size known on the driver
+        if not lookup:
+            return df.withColumn(out, F.lit(default).cast("string"))
+        # typed literals, as in the map form
+        pairs = map_literal([(sql_literal(k, key_type), sql_literal(v, "STRING")) for k, v in lookup.items()])
+        lk = spark.range(1).select(F.explode(F.expr(pairs)).alias("__code", "__label"))
+        small = len(lookup) <= broadcast_row_limit(spark)
     else:
-        small = fits_broadcast(lookup.select(key_col))
-    lk = lookup.select(
-        F.col(key_col).cast(key_type).alias("__code"), F.col(label_col).cast("string").alias("__label")
-    ).dropDuplicates(["__code"])
+        lk = lookup.select(
+            F.col(key_col).cast(key_type).alias("__code"), F.col(label_col).cast("string").alias("__label")
+        ).distinct()
+        several = lk.groupBy("__code").count().where("count > 1 and __code is not null").limit(5).collect()
+        if several:
+            raise AmbiguousCode(f"codes with several labels: {[r['__code'] for r in several]}")
+        small = fits_broadcast(lk)
     if small:
         lk = F.broadcast(lk)
     joined = df.join(lk, df[col] == lk["__code"], "left")

@@ -15,12 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from strata_engine.operators.quality import enforce, observe_rules, report
 from strata_engine.operators.schema import check
+from strata_engine.sources.readers import BAD_VALUES
 from strata_engine.sources.writers import cluster_for_write, save_parquet
 
 
@@ -29,7 +30,7 @@ class Layer:
     name: str
     build: Callable[[Mapping[str, DataFrame]], DataFrame]
     rules: Mapping[str, str] = field(default_factory=dict)
-    schema: StructType | None = None
+    schema: StructType | str | None = None  # a failing contract; DDL text or a StructType
     partition_by: Sequence[str] = ()
     schema_mode: str = "names_types"
     compression: str = "snappy"
@@ -40,6 +41,9 @@ class Layer:
     # directory); a single low-cardinality column (e.g. split) needs no
     # shuffle — each task writes at most that many files
     cluster: bool = True
+    # drop rows with a NULL in any column after counting them (run log:
+    # rows_read, null_rows, and bad:<column> for a frame with BAD_VALUES)
+    drop_nulls: bool = False
 
 
 def layer(
@@ -50,6 +54,7 @@ def layer(
     warn_rules: Mapping[str, str] | None = None,
     schema_mode: str = "names_types",
     cluster: bool = True,
+    drop_nulls: bool = False,
 ) -> Callable[[Callable[[Mapping[str, DataFrame]], DataFrame]], Layer]:
     """Declare a layer on its build function::
 
@@ -61,7 +66,7 @@ def layer(
     """
     def wrap(fn: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Layer:
         return Layer(name, fn, dict(rules or {}), schema, list(partition_by), schema_mode,
-                     warn_rules=dict(warn_rules or {}), cluster=cluster)
+                     warn_rules=dict(warn_rules or {}), cluster=cluster, drop_nulls=drop_nulls)
     return wrap
 
 
@@ -74,20 +79,30 @@ class LayerResult:
     rows_out: int
     failed: dict[str, int]
     warned: dict[str, int] = field(default_factory=dict)
+    lost: dict[str, int] = field(default_factory=dict)  # rows_read, null_rows, bad:<column>
 
 
 def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame], root: str) -> LayerResult:
     built = layer.build(inputs)
-    columns = built.columns
+    columns = [c for c in built.columns if c != BAD_VALUES]
     warn = {f"warn:{k}": v for k, v in layer.warn_rules.items()}
     # cluster first, so the counters below run in the write's result stage,
     # where a retried task's updates count once (in a shuffle-map stage a
     # re-run after a lost executor could count rows twice)
     clustered = cluster_for_write(built, layer.partition_by) if layer.cluster else built
+    if layer.drop_nulls:
+        # the losses, then (of the rows without NULL) the rules, in one pass
+        whole = ~_any_null(columns)
+        clustered, obs_read = _observe_losses(clustered, columns, f"{layer.name}_read")
+        clustered = clustered.where(whole)
+    else:
+        obs_read = None
+    clustered = clustered.select(*columns)
     observed, obs_in = observe_rules(clustered, {**layer.rules, **warn}, f"{layer.name}_in")
     kept = enforce(observed, layer.rules, "drop")
     if layer.schema is not None:
-        check(kept, layer.schema, layer.schema_mode)
+        declared = StructType.fromDDL(layer.schema) if isinstance(layer.schema, str) else layer.schema
+        check(kept, declared, layer.schema_mode)
     kept, obs_out = observe_rules(kept, {}, f"{layer.name}_out")
     path = f"{root}/{layer.name}"
     save_parquet(kept, path, partition_by=layer.partition_by, compression=layer.compression, cluster_by=())
@@ -95,18 +110,41 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
     # files), partition values keep their types; partition columns come
     # back last, so restore the declared order
     frame = spark.read.schema(kept.schema).parquet(path).select(*columns)
-    try:
-        m_in, m_out = obs_in.get, obs_out.get
+    m_in, m_out = obs_in.get, obs_out.get
+    if "rows" in m_in and "rows" in m_out:
         counts = {k.split(":", 1)[1]: int(v) for k, v in m_in.items() if k.startswith("failed:")}
         rows_in, rows_out = int(m_in["rows"]), int(m_out["rows"])
-    except Exception:  # noqa: BLE001 - no metrics row for an input without partitions
+    else:  # an input without partitions gives no metrics
         rep = report(built, {**layer.rules, **warn}).collect()
         counts = {r.rule: int(r.n_failed) for r in rep}
         rows_in = int(built.count()) if not rep else int(rep[0].n_total)
         rows_out = int(frame.count())
     failed = {k: v for k, v in counts.items() if not k.startswith("warn:")}
     warned = {k[len("warn:"):]: v for k, v in counts.items() if k.startswith("warn:")}
-    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed, warned)
+    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed, warned, _losses(obs_read))
+
+
+def _losses(obs: Observation | None) -> dict[str, int]:
+    if obs is None:
+        return {}
+    found = obs.get or {"rows_read": 0, "null_rows": 0}  # an input without partitions has none
+    return {k: int(v) for k, v in found.items() if v or not k.startswith("bad:")}
+
+
+def _any_null(columns: Sequence[str]) -> Column:
+    null = F.lit(False)
+    for c in columns:
+        null = null | F.col(f"`{c}`").isNull()
+    return null
+
+
+def _observe_losses(df: DataFrame, columns: Sequence[str], name: str) -> tuple[DataFrame, Observation]:
+    """Rows read, rows with a NULL, and per column the values that did not parse."""
+    aggs = [F.count(F.lit(1)).alias("rows_read"), F.count_if(_any_null(columns)).alias("null_rows")]
+    if BAD_VALUES in df.columns:
+        aggs += [F.count_if(F.array_contains(BAD_VALUES, c)).alias(f"bad:{c}") for c in columns]
+    obs = Observation(name)
+    return df.observe(obs, *aggs), obs
 
 
 def run_pipeline(
@@ -137,11 +175,14 @@ RUN_LOG_SCHEMA = StructType([
 
 
 def run_log(spark: SparkSession, results: Mapping[str, LayerResult]) -> DataFrame:
-    """One row per (layer, metric): rows_in, rows_out, failed:<rule> (rows
+    """One row per (layer, metric): rows_read and null_rows (a layer that
+    drops NULL rows), bad:<column> (values that did not parse), rows_in,
+    rows_out, failed:<rule> (rows
     dropped), warned:<rule> (rows kept). A row failing several rules is
     counted under each and dropped once."""
     rows = []
     for r in results.values():
+        rows += [(r.name, k, v) for k, v in r.lost.items()]
         rows.append((r.name, "rows_in", r.rows_in))
         rows.append((r.name, "rows_out", r.rows_out))
         rows += [(r.name, f"failed:{k}", v) for k, v in r.failed.items()]

@@ -43,6 +43,19 @@ SPLIT_COLS = SCALED_COLS + ["strata", "strata_index", "split"]
 GOLD_COLS = SCALED_COLS
 GOLD_SPLIT_COLS = SCALED_COLS + ["split"]
 
+TYPES = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string", "prio_code": "int", "caseid": "bigint",
+    "prio_mapped": "string", "caseid_int": "int", "o_totalprice_normalized": "double",
+    "o_totalprice_standardized": "double", "strata": "string", "strata_index": "double", "split": "string",
+}
+
+
+def schema_of(cols: list[str]) -> str:
+    """The declared schema of a layer, as DDL text."""
+    return ", ".join(f"{c} {TYPES[c]}" for c in cols)
+
+
 BASE_RULES = {
     **R.in_range_or("o_totalprice", 0, -9, name="non_negative_price"),
     **R.lossless_cast("o_custkey", "INT", name="valid_custkey_type"),
@@ -70,6 +83,8 @@ LAYER_RULES = {
     "gold_splits": GOLD_RULES,
 }
 LAYER_NAMES = list(LAYER_RULES)
+# Layers that drop rows with a NULL, and the table they read.
+NULLS_DROPPED_FROM = {"bronze": "orders", "silver_scaled": "silver_typed"}
 
 
 def _bronze(inputs):
@@ -79,7 +94,7 @@ def _bronze(inputs):
         F.substring("o_orderpriority", 1, 1).try_cast("int").alias("prio_code"),
         (F.lit(ID_BASE) + F.col("o_orderkey")).alias("caseid"),
     )
-    return drop_null_rows(df)
+    return df
 
 
 def _silver_typed(inputs):
@@ -89,14 +104,14 @@ def _silver_typed(inputs):
 
 
 def _silver_scaled(inputs):
-    return drop_null_rows(min_max_z(inputs["silver_typed"], ["o_totalprice"]))
+    return min_max_z(inputs["silver_typed"], ["o_totalprice"])
 
 
 def _silver_split(inputs):
     df = add_strata(inputs["silver_scaled"], ["o_orderstatus", "o_orderpriority"], "strata")
-    counts = value_counts(df, "strata")  # one count shared by index and split
+    counts = value_counts(df, "strata")
     df = frequency_index(df, "strata", "strata_index", counts=counts)
-    return stratified_split(df, "strata", ["o_orderkey"], WEIGHTS, seed=SEED, out="split", sizes=counts)
+    return stratified_split(df, "strata", ["o_orderkey"], WEIGHTS, seed=SEED, out="split")
 
 
 def _gold_full(inputs):
@@ -110,12 +125,12 @@ def _gold_splits(inputs):
 def layers() -> list[Layer]:
     return [
         # one 3-valued partition column each: no clustering shuffle needed
-        Layer("bronze", _bronze, BASE_RULES, partition_by=["o_orderstatus"], cluster=False),
-        Layer("silver_typed", _silver_typed, BASE_RULES, partition_by=["o_orderstatus"], cluster=False),
-        Layer("silver_scaled", _silver_scaled, SCALED_RULES, partition_by=["o_orderstatus"], cluster=False),
-        Layer("silver_split", _silver_split, SPLIT_RULES, partition_by=["split"], cluster=False),
-        Layer("gold_full", _gold_full, GOLD_RULES, partition_by=["o_orderstatus"], cluster=False),
-        Layer("gold_splits", _gold_splits, GOLD_RULES, partition_by=["split"], cluster=False),
+        Layer("bronze", _bronze, BASE_RULES, schema_of(BRONZE_COLS), ["o_orderstatus"], cluster=False, drop_nulls=True),
+        Layer("silver_typed", _silver_typed, BASE_RULES, schema_of(TYPED_COLS), ["o_orderstatus"], cluster=False),
+        Layer("silver_scaled", _silver_scaled, SCALED_RULES, schema_of(SCALED_COLS), ["o_orderstatus"], cluster=False, drop_nulls=True),
+        Layer("silver_split", _silver_split, SPLIT_RULES, schema_of(SPLIT_COLS), ["o_orderstatus", "split"], cluster=False),
+        Layer("gold_full", _gold_full, GOLD_RULES, schema_of(GOLD_COLS), ["o_orderstatus"], cluster=False),
+        Layer("gold_splits", _gold_splits, GOLD_RULES, schema_of(GOLD_SPLIT_COLS), ["split", "o_orderstatus"], cluster=False),
     ]
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
-    FloatType,
     IntegerType,
     LongType,
     StringType,
@@ -31,7 +30,7 @@ from strata_engine.functions.numeric import round_half_away
 from strata_engine.operators import clean, profile, quality, report, scale, schema, split, strata, transform
 from strata_engine.plans import layers as L
 from strata_engine.plans import orders as OP
-from strata_engine.session import scratch_path
+from strata_engine.session import materialize, scratch_path
 from strata_engine.sources import readers, writers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -91,26 +90,43 @@ def csv_glob_scan(spark, sf):
     """Several CSV files read as one frame through a ``*.csv`` glob, with a
     declared schema (no inference pass)."""
     path = scratch_path(spark, "csv_glob")
-    writers.save_csv(table(spark, sf, "part"), path, header=True, num_partitions=3)
+    writers.save_csv(table(spark, sf, "part"), path, header=True)
     return readers.read_csv(spark, f"{path}/*.csv", schema=PART_SCHEMA, header=True).select(*PART_COLS)
 
 
+@query(
+    "csv_by_name",
+    "SELECT p_partkey, p_name, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size END AS p_size, "
+    "CASE WHEN p_size % 7 = 0 THEN 'p_size' ELSE '' END AS bad FROM part",
+)
+def csv_by_name(spark, sf):
+    """A file with columns in another order and values that do not parse:
+    matched by header name, and every bad value is reported."""
+    path = scratch_path(spark, "csv_by_name")
+    bad_size = F.when(F.col("p_size") % 7 == 0, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+    shuffled = table(spark, sf, "part").select(bad_size.alias("p_size"), "p_retailprice", "p_name", "p_brand", "p_partkey")
+    writers.save_csv(shuffled, path, header=True)
+    wanted = StructType([f for f in PART_SCHEMA.fields if f.name in ("p_partkey", "p_name", "p_size")])
+    back = readers.read_csv_by_name(spark, path, wanted, bad_values="bad")
+    return back.withColumn("bad", F.array_join("bad", ","))
+
+
 @query(
     "csv_headerless_scan",
-    "SELECT CAST(count(*) + 3 AS BIGINT) AS n_lines, CAST(3 AS BIGINT) AS n_header_lines, "
-    "CAST(count(*) AS BIGINT) AS n_data_lines FROM part",
+    "SELECT CAST(count(*) AS BIGINT) AS n_data_lines, true AS header_line_in_every_file FROM part",
 )
 def csv_headerless_scan(spark, sf):
     """No header option: every column is a string and each file's header line
-    is read as a data row (3 files → 3 extra rows)."""
+    is read as a data row."""
     path = scratch_path(spark, "csv_noheader")
-    writers.save_csv(table(spark, sf, "part"), path, header=True, num_partitions=3)
+    writers.save_csv(table(spark, sf, "part"), path, header=True)
     raw = readers.read_csv(spark, path, header=False)
     is_header = F.col("_c0") == F.lit("p_partkey")
-    return raw.agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(is_header).alias("n_header_lines"),
-        F.count_if(~is_header).alias("n_data_lines"),
+    per_file = raw.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count_if(is_header).alias("headers"), F.count_if(~is_header).alias("lines")
+    )
+    return per_file.agg(
+        F.sum("lines").alias("n_data_lines"), F.bool_and(F.col("headers") == 1).alias("header_line_in_every_file")
     )
 
 
@@ -125,25 +141,33 @@ def partitioned_roundtrip(spark, sf):
 
 @query(
     "repartition_write",
-    "SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files "
+    "SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows, true AS one_writer "
     "FROM orders GROUP BY o_orderstatus, o_orderpriority",
 )
 def repartition_write(spark, sf):
-    """Cluster by a key before a two-level partitioned save, so each
-    directory is written by few tasks (here: one file per directory). The
-    clustering is a REBALANCE: AQE splits a partition that outgrows the
-    advisory size, so a status holding a third of all rows is still written
-    by several tasks; ``num_partitions=`` gives the fixed
-    ``repartition(n, key)`` form instead."""
+    """``repartition(n, key)`` before a two-level partitioned save: all rows
+    of a key go through one task, so each directory has one writer. (The
+    default clustering is a REBALANCE instead, which splits a hot key.)"""
     path = scratch_path(spark, "orders_clustered")
     writers.save_parquet(
         table(spark, sf, "orders"), path, partition_by=["o_orderstatus", "o_orderpriority"],
-        cluster_by=["o_orderstatus"],
+        cluster_by=["o_orderstatus", "o_orderpriority"], num_partitions=16,
     )
     back = readers.read_parquet(spark, path)
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-", 1)
     return back.groupBy("o_orderstatus", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.col("_metadata.file_path")).cast("bigint").alias("n_files"),
+        F.count(F.lit(1)).alias("n_rows"), (F.count_distinct(task) == 1).alias("one_writer")
+    )
+
+
+@query("compressed_write", "SELECT 'gz' AS codec, count(*) AS n_rows, sum(o_orderkey) AS key_sum FROM orders")
+def compressed_write(spark, sf):
+    """A codec other than the default, read off the written files."""
+    path = scratch_path(spark, "orders_gzip")
+    writers.save_parquet(table(spark, sf, "orders"), path, compression="gzip")
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.(\w+)\.parquet$", 1).alias("codec")
+    return readers.read_parquet(spark, path).groupBy(codec).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("key_sum")
     )
 
 
@@ -154,7 +178,30 @@ def table_roundtrip(spark, sf):
     name = f"orders_rt_{uuid.uuid4().hex[:10]}"
     path = scratch_path(spark, name)
     writers.save_table(table(spark, sf, "orders"), name, partition_by=["o_orderstatus"], path=path)
-    return readers.read_table(spark, name).select(*ORDERS_COLS)
+    back = materialize(readers.read_table(spark, name).select(*ORDERS_COLS), name)
+    writers.drop_tables(spark, [name])
+    return back
+
+
+@query(
+    "flat_table_drop",
+    "SELECT 'kept' AS name, true AS listed, count(*) AS n_rows FROM orders "
+    "UNION ALL SELECT 'dropped', false, NULL",
+)
+def flat_table_drop(spark, sf):
+    """Two unpartitioned tables saved, one dropped: what the catalog lists,
+    and the rows of the one that is left."""
+    tag = uuid.uuid4().hex[:10]
+    orders = table(spark, sf, "orders")
+    names = {n: f"orders_{n}_{tag}" for n in ("kept", "dropped")}
+    for full in names.values():
+        writers.save_table(orders, full, path=scratch_path(spark, full))
+    writers.drop_tables(spark, [names["dropped"]])
+    listed = {n: spark.catalog.tableExists(full) for n, full in names.items()}
+    rows = readers.read_table(spark, names["kept"]).agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = materialize(rows.select(F.lit("kept").alias("name"), "n_rows"), "kept_rows")
+    writers.drop_tables(spark, [names["kept"]])
+    return spark.createDataFrame(list(listed.items()), "name string, listed boolean").join(rows, "name", "left")
 
 
 def _hash_sql(key: str = "o_orderkey", seed: int = 42) -> str:
@@ -350,8 +397,8 @@ def rule_range_or_sentinel(spark, sf):
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_tax") == 0, F.lit(-9.0)).otherwise(F.col("l_tax")).alias("tax_s"),
     )
-    return quality.flag(li, SENTINEL_RULE).select(
-        "l_orderkey", "l_linenumber", "tax_s", (F.size("failed_rules") == 0).alias("passed")
+    return quality.passes(li, SENTINEL_RULE).select(
+        "l_orderkey", "l_linenumber", "tax_s", F.col("tax_or_sentinel").alias("passed")
     )
 
 
@@ -372,11 +419,7 @@ CAST_RULES = {
 )
 def rule_lossless_cast(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("caseid", F.lit(OP.ID_BASE) + F.col("l_orderkey"))
-    flagged = quality.flag(li, CAST_RULES)
-    return flagged.select(
-        "l_orderkey", "l_linenumber",
-        *[(~F.array_contains("failed_rules", n)).alias(n) for n in CAST_RULES],
-    )
+    return quality.passes(li, CAST_RULES).select("l_orderkey", "l_linenumber", *CAST_RULES)
 
 
 BOUND_RULES = {**R.at_least(["p_size"], 10), **R.at_least(["p_retailprice"], 950)}
@@ -387,8 +430,11 @@ BOUND_RULES = {**R.at_least(["p_size"], 10), **R.at_least(["p_retailprice"], 950
     "SELECT p_partkey, coalesce(p_size >= 10, false) AND coalesce(p_retailprice >= 950, false) AS passed FROM part",
 )
 def rule_lower_bound(spark, sf):
-    flagged = quality.flag(table(spark, sf, "part"), BOUND_RULES)
-    return flagged.select("p_partkey", (F.size("failed_rules") == 0).alias("passed"))
+    passed = quality.passes(table(spark, sf, "part"), BOUND_RULES)
+    every = F.lit(True)
+    for name in BOUND_RULES:
+        every = every & F.col(name)
+    return passed.select("p_partkey", every.alias("passed"))
 
 
 @query(
@@ -396,8 +442,9 @@ def rule_lower_bound(spark, sf):
     "SELECT l_orderkey, l_linenumber, nullif(l_discount, 0) IS NOT NULL AS passed FROM lineitem",
 )
 def rule_not_null(spark, sf):
-    flagged = quality.flag(_lineitem_nulls(spark, sf), R.not_null(["l_discount"]))
-    return flagged.select("l_orderkey", "l_linenumber", (F.size("failed_rules") == 0).alias("passed"))
+    rules = R.not_null(["l_discount"])
+    passed = quality.passes(_lineitem_nulls(spark, sf), rules)
+    return passed.select("l_orderkey", "l_linenumber", *[F.col(n).alias("passed") for n in rules])
 
 
 @query(
@@ -411,32 +458,30 @@ def rule_not_blank(spark, sf):
     text with all ASCII letters removed (empty for letter-only texts)."""
     letters = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1)) + "".join(chr(c) for c in range(ord("a"), ord("z") + 1))
     d = table(spark, sf, "documents").select("doc_id", "text", F.translate("text", letters, "").alias("t2"))
-    flagged = quality.flag(d, {**R.not_blank("text", "t"), **R.not_blank("t2", "t2")})
-    return flagged.select(
-        "doc_id",
-        (~F.array_contains("failed_rules", "t")).alias("passed"),
-        (~F.array_contains("failed_rules", "t2")).alias("passed_stripped"),
-    )
+    rules = {**R.not_blank("text", "passed"), **R.not_blank("t2", "passed_stripped")}
+    return quality.passes(d, rules).select("doc_id", *rules)
 
 
 # ---------------------------------------------------------------------------
 # 2.4 schema checks and summaries
 # ---------------------------------------------------------------------------
 
-def _events_types_sql() -> list[tuple[str, str]]:
-    return [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
-            ("event_type", "string"), ("value", "double"), ("props", "string")]
+EVENTS_TYPES = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
+                ("event_type", "string"), ("value", "double"), ("props", "string")]
 
 
 @query(
     "schema_summary",
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"(CAST({i} AS INTEGER), '{n}', '{t}', true)" for i, (n, t) in enumerate(_events_types_sql()))
-    + ") AS t(position, column_name, data_type, nullable) "
-    "WHERE (SELECT count(*) FROM (SELECT * FROM events LIMIT 1)) >= 0",
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{n}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, "
+        f"count(*) - count({n}) AS n_null FROM ev"
+        for i, (n, t) in enumerate(EVENTS_TYPES)
+    ).replace("FROM ev", "FROM (SELECT * REPLACE (CASE WHEN value > 400 THEN NULL ELSE value END AS value) FROM events)"),
 )
 def schema_summary(spark, sf):
-    return schema.summary(table(spark, sf, "events"))
+    """Column types with row and NULL counts (large values made NULL first)."""
+    events = table(spark, sf, "events")
+    return schema.profile(events.withColumn("value", F.when(~(F.col("value") > 400), F.col("value"))))
 
 
 EVENTS_EXPECTED = StructType([
@@ -444,25 +489,35 @@ EVENTS_EXPECTED = StructType([
     StructField("user_id", IntegerType()),
     StructField("ts", TimestampNTZType()),
     StructField("event_type", StringType()),
-    StructField("value", FloatType()),
+    StructField("value", IntegerType()),
     StructField("country", StringType()),
 ])
 
 
-@query(
-    "schema_diff",
-    "SELECT * FROM (VALUES "
-    "(CAST(0 AS INTEGER), 'event_id', 'bigint', 'bigint', 'ok'), "
-    "(CAST(1 AS INTEGER), 'user_id', 'int', 'bigint', 'type_mismatch'), "
-    "(CAST(2 AS INTEGER), 'ts', 'timestamp_ntz', 'timestamp_ntz', 'order'), "
-    "(CAST(3 AS INTEGER), 'event_type', 'string', 'string', 'ok'), "
-    "(CAST(4 AS INTEGER), 'value', 'float', 'double', 'type_mismatch'), "
-    "(CAST(5 AS INTEGER), 'country', 'string', NULL, 'missing'), "
-    "(CAST(5 AS INTEGER), 'props', NULL, 'string', 'unexpected')"
-    ") AS t(position, column_name, expected_type, actual_type, status)",
-)
+def _contract_sql() -> str:
+    rows = [
+        (0, "event_id", "bigint", "bigint", "ok", "0"),
+        (1, "user_id", "int", "bigint", "type_mismatch", "count(*) FILTER (WHERE user_id NOT BETWEEN -2147483648 AND 2147483647)"),
+        (2, "ts", "timestamp_ntz", "timestamp_ntz", "order", "0"),
+        (3, "event_type", "string", "string", "ok", "0"),
+        (4, "value", "int", "double", "type_mismatch", "count(*) FILTER (WHERE trunc(value) <> value)"),
+        (5, "country", "string", "", "missing", None),
+        (5, "props", "", "string", "unexpected", "0"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{n}' AS column_name, '{want}' AS expected_type, '{have}' AS actual_type, "
+        f"'{status}' AS status, count(*) AS n_rows, "
+        + (f"count(*) - count({n})" if bad is not None else "CAST(NULL AS BIGINT)") + " AS n_null, "
+        + (f"CAST({bad} AS BIGINT)" if bad is not None else "CAST(NULL AS BIGINT)") + " AS n_bad FROM events"
+        for i, n, want, have, status, bad in rows
+    )
+
+
+@query("schema_diff", _contract_sql())
 def schema_diff(spark, sf):
-    return schema.diff(table(spark, sf, "events"), EVENTS_EXPECTED)
+    """Declared against actual types, with the values that the declared type
+    cannot hold."""
+    return schema.contract_report(table(spark, sf, "events"), EVENTS_EXPECTED)
 
 
 # ---------------------------------------------------------------------------
@@ -580,11 +635,55 @@ def stratified_split(spark, sf):
     return _stratified_orders(spark, sf).select("o_orderkey", "strata", "split")
 
 
-@query("random_split")  # layout-dependent: rows-only check
+@query(
+    "stratified_split_rounds",
+    STRATIFIED_SQL.replace("o_orderkey", "l_key").replace(ORDERS_STRATA_SQL, "concat_ws('_', l_returnflag, l_linestatus)").replace(
+        "FROM orders",
+        "FROM (SELECT DISTINCT l_returnflag, l_linestatus, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS l_key FROM lineitem)",
+    ),
+)
+def stratified_split_rounds(spark, sf):
+    """The same split of ``lineitem`` with a bound so small that cuts are
+    searched in several rounds."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = table(spark, sf, "lineitem").select(key.alias("l_key"), F.concat_ws("_", "l_returnflag", "l_linestatus").alias("strata"))
+    li = li.distinct()
+    return split.stratified_split(li, "strata", ["l_key"], target_rows=2).select("l_key", "strata", "split")
+
+
+def _split_facts(arms: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """What holds for every random split: all rows once, no key in two arms,
+    shares near the weights (within 5 standard deviations)."""
+    keys = arms.groupBy("o_orderkey").agg(F.count_distinct("split").alias("arms"))
+    over = keys.agg(F.count_if(F.col("arms") > 1).alias("overlap"), F.count(F.lit(1)).alias("n_keys"))
+    total = arms.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col("split") == n).alias(n) for n in weights])
+    near = F.lit(True)
+    for name, w in weights.items():
+        near = near & (F.abs(F.col(name) - w * F.col("n_rows")) <= 5 * F.sqrt(F.col("n_rows") * w * (1 - w)))
+    # one row each
+    return total.join(F.broadcast(over), F.lit(True)).select("n_rows", "n_keys", "overlap", near.alias("shares_near"))
+
+
+SPLIT_FACTS_SQL = (
+    "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, CAST(0 AS BIGINT) AS overlap, true AS shares_near FROM orders"
+)
+ARMS = {"train": 0.6, "validation": 0.2, "test": 0.2}
+
+
+@query("random_split", SPLIT_FACTS_SQL)
 def random_split(spark, sf):
     """Seeded random 60/20/20 in one pass (``randomSplit`` semantics:
     repeatable for the same partition layout only)."""
-    return split.random_split_column(table(spark, sf, "orders").select("o_orderkey"), seed=42)
+    drawn = split.random_split_column(table(spark, sf, "orders").select("o_orderkey"), seed=42)
+    return _split_facts(materialize(drawn, "random_split"), ARMS)
+
+
+@query("nested_random_split", SPLIT_FACTS_SQL)
+def nested_random_split(spark, sf):
+    """``randomSplit`` 80/20, then the larger part 75/25."""
+    parts = split.three_way(table(spark, sf, "orders").select("o_orderkey"), seed=42)
+    arms = [df.withColumn("split", F.lit(name)) for name, df in parts.items()]
+    return _split_facts(materialize(arms[0].unionByName(arms[1]).unionByName(arms[2]), "nested_split"), ARMS)
 
 
 @query(
@@ -620,6 +719,17 @@ def column_summary(spark, sf):
     return profile.summarize(table(spark, sf, "part"), ["p_size", "p_retailprice"], decimals=DEC)
 
 
+@query(
+    "exact_extremes",
+    "SELECT CAST(0 AS INTEGER) AS position, 'big' AS column_name, CAST(min(big) AS VARCHAR) AS min_exact, "
+    "CAST(max(big) AS VARCHAR) AS max_exact FROM (SELECT 9007199254740992 + l_orderkey AS big FROM lineitem)",
+)
+def exact_extremes(spark, sf):
+    """Extremes of integers that no double can tell apart."""
+    li = table(spark, sf, "lineitem").select((F.lit(9007199254740992) + F.col("l_orderkey")).alias("big"))
+    return profile.summarize(li, ["big"], exact=True).select("position", "column_name", "min_exact", "max_exact")
+
+
 @query("describe_profile", _summary_sql(MULTI, "lineitem", True))
 def describe_profile(spark, sf):
     return profile.describe(table(spark, sf, "lineitem"), MULTI, decimals=DEC)
@@ -721,6 +831,12 @@ def _run_log_sql() -> str:
     parts = []
     for name in OP.LAYER_NAMES:
         parts.append(f"SELECT '{name}' AS layer, 'rows_in' AS metric, CAST(count(*) AS BIGINT) AS value FROM {name}__built")
+        if name in OP.NULLS_DROPPED_FROM:
+            source = OP.NULLS_DROPPED_FROM[name]
+            parts.append(f"SELECT '{name}', 'rows_read', CAST(count(*) AS BIGINT) FROM {source}")
+            parts.append(
+                f"SELECT '{name}', 'null_rows', CAST((SELECT count(*) FROM {source}) - count(*) AS BIGINT) FROM {name}__built"
+            )
         parts.append(f"SELECT '{name}', 'rows_out', CAST(count(*) AS BIGINT) FROM {name}")
         for rn, rule in OP.LAYER_RULES[name].items():
             parts.append(
@@ -737,12 +853,7 @@ def layer_run_log(spark, sf):
     return L.run_log(spark, pipeline(spark, sf))
 
 
-REPORT_TYPES = {
-    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
-    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string", "prio_code": "int", "caseid": "bigint",
-    "prio_mapped": "string", "caseid_int": "int", "o_totalprice_normalized": "double",
-    "o_totalprice_standardized": "double", "strata": "string", "strata_index": "double", "split": "string",
-}
+REPORT_TYPES = OP.TYPES
 LAYER_COLS = {
     "bronze": OP.BRONZE_COLS, "silver_typed": OP.TYPED_COLS, "silver_scaled": OP.SCALED_COLS,
     "silver_split": OP.SPLIT_COLS, "gold_full": OP.GOLD_COLS, "gold_splits": OP.GOLD_SPLIT_COLS,

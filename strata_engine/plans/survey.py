@@ -28,7 +28,7 @@ from strata_engine.operators.split import stratified_split
 from strata_engine.operators.strata import add_strata, frequency_index, value_counts
 from strata_engine.operators.transform import id_suffix, map_codes
 from strata_engine.plans.layers import Layer, LayerResult, run_pipeline
-from strata_engine.sources.readers import read_csv
+from strata_engine.sources.readers import BAD_VALUES, read_csv, read_csv_by_name
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the survey's codebook and layout for right results)
@@ -74,8 +74,22 @@ CODE_LISTS = {
         -9: MISSING,
     },
 }
-# Rule name that does not follow the drop-"FLG" pattern of the others.
-RULE_NAME_EXCEPTIONS = {"TRAUSTREFLG": "valid_traustref_values"}
+# Names of the lower-bound rules that do not follow from the column name.
+RULE_NAMES = {
+    "TRAUSTREFLG": "valid_traustref_values",
+    "ANXIETYFLG": "valid_anxiety_values",
+    "ADHDFLG": "valid_adhd_values",
+    "CONDUCTFLG": "valid_conduct_values",
+    "DELIRDEMFLG": "valid_delirdem_values",
+    "BIPOLARFLG": "valid_bipolar_values",
+    "DEPRESSFLG": "valid_depress_values",
+    "ODDFLG": "valid_odd_values",
+    "PDDFLG": "valid_pdd_values",
+    "PERSONFLG": "valid_person_values",
+    "SCHIZOFLG": "valid_schizo_values",
+    "ALCSUBFLG": "valid_alcsub_values",
+    "OTHERDISFLG": "valid_otherdis_values",
+}
 UNKNOWN_LABEL = "Unknown"
 SEED = 42
 SPLIT_WEIGHTS = (0.6, 0.2, 0.2)
@@ -111,7 +125,7 @@ BASE_RULES = {
     **R.lossless_cast("AGE", "INT", name="valid_age_type"),
     **R.lossless_cast("YEAR", "INT", name="valid_year_type"),
     **R.lossless_cast(ID_COLUMN, "BIGINT", name="valid_caseid_type"),
-    **R.at_least(BOUNDED_COLUMNS, -9, RULE_NAME_EXCEPTIONS),
+    **R.at_least(BOUNDED_COLUMNS, -9, RULE_NAMES),
 }
 BRONZE_RULES = dict(BASE_RULES)
 SILVER_1_RULES = dict(BASE_RULES)
@@ -132,7 +146,7 @@ PARTITION_NOT_NULL = R.not_null(PARTITION_COLUMNS)
 
 
 def _bronze(inputs):
-    return drop_null_rows(inputs["raw"])
+    return inputs["raw"]
 
 
 def _silver_1(inputs):
@@ -141,15 +155,14 @@ def _silver_1(inputs):
 
 
 def _silver_2(inputs):
-    df = min_max_z(inputs["silver_1"], SCALED_COLUMNS, out_type="float")
-    return drop_null_rows(df)
+    return min_max_z(inputs["silver_1"], SCALED_COLUMNS, out_type="float")
 
 
 def _silver_3(inputs):
     df = add_strata(inputs["silver_2"], PARTITION_COLUMNS, STRATA_COL)
-    counts = value_counts(df, STRATA_COL)  # one count shared by index and split
+    counts = value_counts(df, STRATA_COL)
     df = frequency_index(df, STRATA_COL, INDEX_COL, counts=counts)
-    return stratified_split(df, STRATA_COL, [ID_COLUMN], SPLIT_WEIGHTS, seed=SEED, out=SPLIT_COL, sizes=counts)
+    return stratified_split(df, STRATA_COL, [ID_COLUMN], SPLIT_WEIGHTS, seed=SEED, out=SPLIT_COL)
 
 
 def _gold_full(inputs):
@@ -162,20 +175,24 @@ def _gold_splits(inputs):
 
 def layers() -> list[Layer]:
     return [
-        Layer("bronze", _bronze, BRONZE_RULES, BRONZE_SCHEMA, PARTITION_COLUMNS, warn_rules=PARTITION_NOT_NULL),
-        Layer("silver_1", _silver_1, SILVER_1_RULES, SILVER_1_SCHEMA, PARTITION_COLUMNS),
-        Layer("silver_2", _silver_2, SILVER_2_RULES, SILVER_2_SCHEMA, PARTITION_COLUMNS),
-        Layer("silver_3", _silver_3, SILVER_3_RULES, SILVER_3_SCHEMA, [SPLIT_COL], cluster=False),
-        Layer("gold_full", _gold_full, GOLD_RULES, GOLD_SCHEMA, PARTITION_COLUMNS),
-        Layer("gold_splits", _gold_splits, GOLD_RULES, GOLD_SPLITS_SCHEMA, [SPLIT_COL], cluster=False),
+        # one shuffle lays the table out by the five columns; every later
+        # layer reads files that are laid out so already
+        Layer("bronze", _bronze, BRONZE_RULES, BRONZE_SCHEMA, PARTITION_COLUMNS, warn_rules=PARTITION_NOT_NULL, drop_nulls=True),
+        Layer("silver_1", _silver_1, SILVER_1_RULES, SILVER_1_SCHEMA, PARTITION_COLUMNS, cluster=False),
+        Layer("silver_2", _silver_2, SILVER_2_RULES, SILVER_2_SCHEMA, PARTITION_COLUMNS, cluster=False, drop_nulls=True),
+        Layer("silver_3", _silver_3, SILVER_3_RULES, SILVER_3_SCHEMA, [*PARTITION_COLUMNS, SPLIT_COL], cluster=False),
+        Layer("gold_full", _gold_full, GOLD_RULES, GOLD_SCHEMA, PARTITION_COLUMNS, cluster=False),
+        Layer("gold_splits", _gold_splits, GOLD_RULES, GOLD_SPLITS_SCHEMA, [SPLIT_COL, *PARTITION_COLUMNS], cluster=False),
     ]
 
 
 def read_raw(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
-    """The survey CSV (a file, directory or glob) with a header line."""
+    """The survey CSV (a file, directory or glob) with a header line. Columns
+    are taken by their header names; a value that does not parse becomes NULL
+    and its column is named in ``BAD_VALUES`` (counted in the run log)."""
     if infer_schema:
         return read_csv(spark, path, header=True, infer_schema=True)
-    return read_csv(spark, path, schema=BRONZE_SCHEMA, header=True)
+    return read_csv_by_name(spark, path, BRONZE_SCHEMA, bad_values=BAD_VALUES)
 
 
 def run(spark: SparkSession, raw: DataFrame, root: str, upto: str | None = None) -> dict[str, LayerResult]:

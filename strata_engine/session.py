@@ -3,14 +3,20 @@ the size bound used before any broadcast."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # Conf key (read from the session) for the largest row count we broadcast.
 BROADCAST_ROWS_KEY = "strata.broadcast.maxRows"
-DEFAULT_BROADCAST_ROWS = 250_000  # ~20 MB for the narrow key tables we broadcast
+DEFAULT_BROADCAST_ROWS = 250_000
+# ... and for its largest size in bytes (rows are counted with their texts).
+BROADCAST_BYTES_KEY = "strata.broadcast.maxBytes"
+DEFAULT_BROADCAST_BYTES = 32_000_000
 
 
 # Key tables up to this many rows become a constant-folded map literal in
@@ -36,15 +42,24 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strat
     )
 
 
+class NoSharedFolder(RuntimeError):
+    pass
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we set our own.
+    Only a ``local[...]`` session without one (tests) gets a folder of its
+    own; on a cluster a temporary folder would be another one on every
+    machine, so that raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -71,24 +86,51 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_KEY, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: text and binary columns by their length, others 8 bytes
+    (nested ones by the length of their JSON text)."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.octet_length(c))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            parts.append(F.octet_length(F.to_json(F.struct(c))))
+        else:
+            parts.append(F.lit(8))
+    return sum((F.coalesce(p, F.lit(0)).cast("bigint") for p in parts), F.lit(16).cast("bigint"))
+
+
+def _byte_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES_KEY, str(DEFAULT_BROADCAST_BYTES)))
+
+
 def collect_small(df: DataFrame, limit: int | None = None) -> list | None:
     """Run ``df`` (an aggregate over keys) once and return its rows if there
-    are at most ``limit`` (the session broadcast bound), else None.
+    are at most ``limit`` (the session broadcast bound) and they are at most
+    the session's byte bound, else None.
 
     This is the build side of a broadcast join, which also passes through
     the driver; it is never used for data whose size is not checked here.
     """
-    limit = broadcast_row_limit(df.sparkSession) if limit is None else limit
-    # coalesce(1) keeps Spark from running the limit as incremental "take" jobs
-    rows = df.limit(limit + 1).coalesce(1).collect()
-    return rows if len(rows) <= limit else None
+    spark = df.sparkSession
+    limit = broadcast_row_limit(spark) if limit is None else limit
+    # coalesce(1) keeps Spark from running the limit as incremental "take"
+    # jobs; the running sum ends the result at the first row over the bound
+    some = df.limit(limit + 1).coalesce(1)
+    running = F.sum(_row_bytes(df)).over(Window.partitionBy(F.lit(1)).orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, 0))
+    some = some.withColumn("__running", running).where(F.col("__running") - _row_bytes(df) <= _byte_limit(spark))
+    rows = some.collect()
+    if len(rows) > limit or (rows and max(r["__running"] for r in rows) > _byte_limit(spark)):
+        return None
+    return [Row(**{c: r[c] for c in df.columns}) for r in rows]
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Size check before a broadcast: counts at most ``limit + 1`` rows.
-
-    ``df`` must already be small-by-construction (an aggregate over keys);
-    the ``limit`` keeps the count cheap even when it is not.
-    """
+    """Size check before a broadcast: at most ``limit`` rows (the session
+    bound) and the session's byte bound. ``df`` must already be
+    small-by-construction (an aggregate over keys) or written; at most
+    ``limit + 1`` rows are looked at."""
     limit = broadcast_row_limit(df.sparkSession) if limit is None else limit
-    return df.limit(limit + 1).count() <= limit
+    seen = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("bytes")).first()
+    return seen["n"] <= limit and (seen["bytes"] or 0) <= _byte_limit(df.sparkSession)

@@ -10,7 +10,6 @@ written table.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,6 @@ from strata_engine.operators.clean import drop_null_rows
 from strata_engine.operators.quality import enforce
 from strata_engine.operators.split import hash_split
 from strata_engine.operators.transform import id_suffix, map_codes
-from strata_engine.session import checkpoint_root
 
 
 def row_local_layer(
@@ -45,18 +43,16 @@ def row_local_layer(
 def start_file_sink(
     df: DataFrame,
     path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     partition_by: Sequence[str] = (),
     available_now: bool = True,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a parquet table; the checkpoint (default: under the
-    session's shared checkpoint folder) makes restarts exactly-once."""
-    spark = df.sparkSession
-    if checkpoint is None:
-        # stable across restarts: derived from the output path only
-        digest = hashlib.md5(path.encode()).hexdigest()[:16]
-        checkpoint = f"{checkpoint_root(spark)}/streams/{name or 'stream'}-{digest}"
+    """Append a stream to a parquet table. ``checkpoint`` is a folder on
+    shared storage, the same one on every restart: with it restarts are
+    exactly-once; with a new one the sink would take old batches for done."""
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder that outlives the session")
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -66,13 +62,13 @@ def start_file_sink(
     return w.start(path)
 
 
-def survey_stream(spark: SparkSession, csv_dir: str, out_path: str, checkpoint: str | None = None,
+def survey_stream(spark: SparkSession, csv_dir: str, out_path: str, checkpoint: str,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Survey CSV files arriving in ``csv_dir`` → bronze rules, code labels,
     identifier suffix and a key-hash split → parquet partitioned by split."""
     from strata_engine.plans import survey
 
-    reader = spark.readStream.schema(survey.BRONZE_SCHEMA).option("header", "true")
+    reader = spark.readStream.schema(survey.BRONZE_SCHEMA).option("header", "true").option("enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(csv_dir)

@@ -34,7 +34,7 @@ def test_lossless(spark):
 
 def test_rule_builders():
     assert R.in_range_or("AGE", 0, -9, name="non_negative_age") == {"non_negative_age": "`AGE` >= 0 OR `AGE` = -9"}
-    assert list(R.at_least(["EDUC", "ANXIETYFLG"], -9)) == ["valid_educ_values", "valid_anxiety_values"]
+    assert list(R.at_least(["EDUC", "X"], -9, {"X": "own_name"})) == ["valid_educ_values", "own_name"]
     assert list(R.at_least(["TRAUSTREFLG"], -9, {"TRAUSTREFLG": "valid_traustref_values"})) == ["valid_traustref_values"]
     assert R.not_blank("s", "v") == {"v": "`s` IS NOT NULL AND `s` != ''"}
     assert R.conjunction({"a": "x > 1 OR y", "b": "z"}) == "(x > 1 OR y) AND (z)"
@@ -89,3 +89,76 @@ def test_scratch_goes_under_session_checkpoint_dir(spark):
     from urllib.parse import urlparse
 
     assert m.count() == 5 and urlparse(m.inputFiles()[0]).path.startswith(urlparse(root).path)
+
+
+def test_round_half_away_large_and_special(spark):
+    from strata_engine.functions.numeric import round_half_away
+
+    values = [1e13, 2.5e15, 1e300, float("inf"), float("-inf"), 1.0000005, -2.5, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(round_half_away("x", 6)).collect()]
+    assert got[:5] == values[:5] and got[5] == 1.000001 and got[6:] == [-2.5, None]
+    nan = spark.createDataFrame([(float("nan"),)], "x double").select(round_half_away("x", 6)).first()[0]
+    assert nan != nan
+
+
+def test_code_types_on_both_sides_of_the_limit(spark):
+    import datetime
+    import decimal
+
+    from strata_engine.operators.transform import MAP_LITERAL_MAX, AmbiguousCode, map_codes, map_codes_lookup
+
+    day = datetime.date(2020, 1, 1)
+    kinds = {
+        "date": lambda i: day + datetime.timedelta(i),
+        "timestamp_ntz": lambda i: datetime.datetime(2020, 1, 1, i % 24, i // 24),
+        "decimal(10,2)": lambda i: decimal.Decimal(i) / 4,
+        "bigint": lambda i: i + 2**40,
+        "string": lambda i: f"it's {i}",
+        "double": lambda i: i + 0.5,
+    }
+    for kind, make in kinds.items():
+        rows = [(i, make(i)) for i in range(MAP_LITERAL_MAX + 40)] + [(-1, None)]
+        df = spark.createDataFrame(rows, f"n int, c {kind}")
+        for size in (3, MAP_LITERAL_MAX + 20):
+            codes = {make(i): f"L{i}" for i in range(size)}
+            got = {r.n: r.c_mapped for r in map_codes(df, {"c": codes}).collect()}
+            assert got == {i: (f"L{i}" if 0 <= i < size else "Unknown") for i, _ in rows}, (kind, size)
+    lookup = spark.createDataFrame([(1, "a"), (1, "b")], "code int, label string")
+    try:
+        map_codes_lookup(spark.createDataFrame([(1,)], "c int"), "c", lookup)
+        raise AssertionError("two labels for one code must raise")
+    except AmbiguousCode:
+        pass
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from strata_engine.session import BROADCAST_BYTES_KEY, collect_small, fits_broadcast
+
+    df = spark.createDataFrame([("x" * 1000, i) for i in range(50)], "s string, n int")
+    assert fits_broadcast(df) and sorted(r.n for r in collect_small(df)) == list(range(50))
+    spark.conf.set(BROADCAST_BYTES_KEY, "20000")
+    try:
+        assert not fits_broadcast(df) and collect_small(df) is None
+        assert fits_broadcast(df.limit(5)) and len(collect_small(df.limit(5))) == 5
+    finally:
+        spark.conf.unset(BROADCAST_BYTES_KEY)
+
+
+def test_no_temporary_folder_off_local_masters(spark, monkeypatch):
+    import pytest
+
+    from strata_engine import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = Context()
+
+    with pytest.raises(session.NoSharedFolder):
+        session.checkpoint_root(Session())

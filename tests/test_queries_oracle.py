@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata_engine.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -31,20 +32,16 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"random_split"}
+def test_every_query_of_the_library_has_an_oracle():
+    assert set(Q.QUERIES) == set(Q.ORACLE)
+    assert set(Q.QUERIES) <= set(E.queries()) and set(Q.ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = df.collect()
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) == spark.read.parquet(f"{SF}/orders.parquet").count()
-        return
-    rel = con.sql(sql)
+    rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, rows) == _rows(rel.columns, rel.fetchall())
 

@@ -112,8 +112,8 @@ def test_stratified_small_strata(spark):
     assert arms("four") == (2, 1, 1)
 
 
-@pytest.mark.parametrize("digits", [1, 2, 4])
-def test_stratified_skewed_matches_brute_force(spark, digits):
+@pytest.mark.parametrize("target", [1, 7, 100_000])
+def test_stratified_skewed_matches_brute_force(spark, target):
     rnd = random.Random(7)
     rows = []
     for i in range(6000):
@@ -121,10 +121,10 @@ def test_stratified_skewed_matches_brute_force(spark, digits):
         rows.append((s, i))
     rows.append((None, 99999))
     df = spark.createDataFrame(rows, "s string, k long").repartition(5)
-    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], bucket_digits=digits).collect()}
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=target).collect()}
     expected = _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
     assert got == expected
-    again = {r.k: r.split for r in split.stratified_split(df.repartition(3), "s", ["k"], bucket_digits=digits).collect()}
+    again = {r.k: r.split for r in split.stratified_split(df.repartition(3), "s", ["k"], target_rows=target).collect()}
     assert again == got
 
 
@@ -179,7 +179,7 @@ def test_frequency_index_over_bound_path(spark, tiny_broadcast_bound):
 def test_stratified_over_bound_path(spark, tiny_broadcast_bound):
     rows = [(f"s{i % 7}", i) for i in range(700)]
     df = spark.createDataFrame(rows, "s string, k long")
-    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], bucket_digits=2).collect()}
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=3).collect()}
     assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
 
 
@@ -199,17 +199,15 @@ def test_safe_casts_match_try_cast(spark):
 
 @pytest.fixture()
 def no_inline(monkeypatch):
-    import strata_engine.operators.split as S
     import strata_engine.operators.strata as T
 
-    monkeypatch.setattr(S, "INLINE_KEYS", 0)
     monkeypatch.setattr(T, "INLINE_KEYS", 0)
 
 
 def test_broadcast_join_paths(spark, no_inline):
     rows = [(None if i % 97 == 0 else f"s{i % 9}", i) for i in range(900)]
     df = spark.createDataFrame(rows, "s string, k long")
-    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], bucket_digits=2).collect()}
+    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=3).collect()}
     assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
     idx = {r.s: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep").collect()}
     assert idx[None] == 9.0 and sorted(v for k, v in idx.items() if k is not None) == [float(i) for i in range(9)]
@@ -238,30 +236,40 @@ def test_stratified_adaptive_broadcast_path(spark, no_inline):
     assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
 
 
-def test_digits_for():
-    assert split._digits_for(10, 100, 6) == 0
-    assert split._digits_for(1600, 100, 6) == 1
-    assert split._digits_for(1601, 100, 6) == 2
-    assert split._digits_for(10**15, 1, 6) == 6
-
-
 def test_shared_value_counts(spark):
     rows = [("hot" if i % 3 == 0 else f"s{i % 11}", i) for i in range(1200)] + [(None, 5555)]
     df = spark.createDataFrame(rows, "s string, k long")
     counts = strata.value_counts(df, "s")
     assert counts[None] == 1 and sum(counts.values()) == 1201
-    a = {r.k: (r.i, r.split) for r in split.stratified_split(
-        strata.frequency_index(df, "s", "i", on_null="keep", counts=counts), "s", ["k"], target_rows=40, sizes=counts
-    ).collect()}
-    b = {r.k: (r.i, r.split) for r in split.stratified_split(
-        strata.frequency_index(df, "s", "i", on_null="keep"), "s", ["k"], target_rows=40
-    ).collect()}
+    a = {r.k: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep", counts=counts).collect()}
+    b = {r.k: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep").collect()}
     assert a == b
 
 
-def test_stratified_sizes_missing_a_stratum_keeps_rows(spark):
-    rows = [(f"s{i % 4}", i) for i in range(400)]
-    df = spark.createDataFrame(rows, "s string, k long")
-    partial = {"s0": 100, "s1": 100}  # s2, s3 absent: their rows must still be split exactly
-    got = {r.k: r.split for r in split.stratified_split(df, "s", ["k"], target_rows=5, sizes=partial).collect()}
-    assert got == _brute_force_split(pd.DataFrame(rows, columns=["s", "k"]), "s", "k", (0.6, 0.2, 0.2))
+@pytest.mark.parametrize("n_values", [3, 200])
+def test_stratum_types(spark, n_values):
+    """Date, timestamp and decimal strata, few and many, split as their text does."""
+    df = spark.range(1200).select(F.col("id").alias("k"), (F.col("id") % n_values).cast("int").alias("v"))
+    df = df.withColumns({
+        "as_date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("v")),
+        "as_time": F.timestamp_seconds(F.col("v") * 3600),
+        "as_decimal": (F.col("v") / 4).cast("decimal(12,2)"),
+    })
+    want = {r.k: r.split for r in split.stratified_split(df, "v", ["k"]).collect()}
+    for c in ("as_date", "as_time", "as_decimal"):
+        assert {r.k: r.split for r in split.stratified_split(df, c, ["k"]).collect()} == want, c
+
+
+def test_stratified_reads_wide_table_once_without_shuffle(spark, tmp_path):
+    wide = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("s"), *[F.rand(i).alias(f"w{i}") for i in range(8)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    plan = split.stratified_split(spark.read.parquet(str(tmp_path / "wide")), "s", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("w7#") and sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 0
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and sum("w7" in line for line in scans) == 1  # the table, and the boundaries
+
+
+def test_duplicate_keys_stay_together(spark):
+    df = spark.createDataFrame([("a", i // 3) for i in range(300)], "s string, k long")
+    got = split.stratified_split(df, "s", ["k"], target_rows=5)
+    assert got.count() == 300 and got.groupBy("k").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0

@@ -65,6 +65,7 @@ def test_survey_pipeline_edge_rows(spark, survey_rows, tmp_path):
     assert res["bronze"].failed["non_negative_age"] == 2
     assert res["bronze"].failed["valid_educ_values"] == 2
     assert res["bronze"].rows_in == 9 and res["bronze"].rows_out == 6
+    assert res["bronze"].lost == {"rows_read": 10, "null_rows": 1}
     s1 = {r.CASEID: r for r in res["silver_1"].frame.collect()}
     assert s1[20210000007].GENDER_mapped == "Unknown"
     assert s1[20210000008].GENDER_mapped == "Missing/unknown/not collected/invalid"
@@ -161,3 +162,56 @@ def test_cli_runs_survey_plan(spark, survey_rows, tmp_path, capsys):
     assert res["gold_splits"].frame.count() == 29
     assert os.path.isdir(str(tmp_path / "out" / "gold_full"))
     assert "rows_out" in capsys.readouterr().out
+
+
+def test_csv_columns_by_header_name(spark, survey_rows, tmp_path):
+    import pytest
+
+    rows = [survey_rows(CASEID=20210000001, GENDER=1, RACE=5), survey_rows(CASEID=20210000002, GENDER=2, RACE=3)]
+    df = spark.createDataFrame(rows, survey.BRONZE_SCHEMA)
+    swapped = [c for c in df.columns if c not in ("GENDER", "RACE")] + ["RACE", "GENDER"]
+    bad = df.select(*swapped).withColumn("AGE", F.when(F.col("CASEID") == 20210000002, F.lit("old")).otherwise("5"))
+    writers.save_csv(bad, str(tmp_path / "swapped"), num_partitions=1)
+    got = survey.read_raw(spark, str(tmp_path / "swapped")).collect()
+    assert sorted((r.GENDER, r.RACE, r.AGE, r[readers.BAD_VALUES]) for r in got) == [(1, 5, 5, []), (2, 3, None, ["AGE"])]
+    res = survey.run(spark, survey.read_raw(spark, str(tmp_path / "swapped")), str(tmp_path / "l"), upto="bronze")["bronze"]
+    assert res.lost == {"rows_read": 2, "null_rows": 1, "bad:AGE": 1} and res.rows_out == 1
+    with pytest.raises(readers.HeaderMismatch):
+        readers.read_csv_by_name(spark, str(tmp_path / "swapped"), survey.SILVER_1_SCHEMA)
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path / "swapped"), schema=survey.BRONZE_SCHEMA).collect()
+
+
+def test_layer_with_a_wrong_type_stops(spark, tmp_path):
+    import pytest
+
+    from strata_engine.operators.schema import SchemaMismatch
+    from strata_engine.plans import orders
+
+    src = spark.createDataFrame([(1, 2, "F", "9.5", None, "1-URGENT")],
+                                "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice string, "
+                                "o_orderdate timestamp_ntz, o_orderpriority string")
+    with pytest.raises(SchemaMismatch):
+        orders.run(spark, src, str(tmp_path / "l"))
+    assert all(layer.schema for layer in orders.layers()) and all(layer.schema for layer in survey.layers())
+
+
+def test_survey_layout_and_pruning(spark, survey_rows, tmp_path):
+    rows = [survey_rows(CASEID=20210000000 + i, GENDER=1 + i % 2, NUMMHS=i % 4) for i in range(1, 60)]
+    _write_csv(spark, rows, str(tmp_path / "raw"))
+    res = survey.run(spark, survey.read_raw(spark, str(tmp_path / "raw")), str(tmp_path / "l"))
+    assert sum(layer.cluster for layer in survey.layers()) == 1  # one full shuffle in the plan
+    for name in ("silver_3", "gold_full", "gold_splits"):
+        plan = res[name].frame.where("GENDER = 1")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(GENDER" in plan, name
+    assert os.path.isdir(str(tmp_path / "l" / "gold_splits" / "split=train" / "GENDER=1"))
+
+
+def test_stream_needs_a_checkpoint(spark, tmp_path):
+    import pytest
+
+    from strata_engine.streaming.incremental import start_file_sink
+
+    stream = spark.readStream.schema("x int").csv(str(tmp_path))
+    with pytest.raises(ValueError):
+        start_file_sink(stream, str(tmp_path / "out"), "")
