@@ -114,7 +114,53 @@ _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + ((('0x' || substr(sha1(payload), 5 * (i // 4)::INT + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '')"""
 
+# Words as the contracts have them, with [text] for the text.
+_WORDS = r"list_filter(regexp_split_to_array([text], '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
+    "op5_substrings": f"""
+        WITH d AS (
+            SELECT doc_id, {_WORDS.replace("[text]", "coalesce(text, '')")} AS w FROM documents
+        ), starts AS (
+            SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20
+        ), numbered AS (
+            SELECT doc_id, s, row_number() OVER (PARTITION BY md5(array_to_string(w[s:s + 19], ' ')) ORDER BY doc_id, s) AS rn
+            FROM starts
+        ), hit AS (
+            SELECT DISTINCT doc_id, s + o AS p FROM numbered, range(0, 20) t(o) WHERE rn > 1
+        ), words AS (
+            SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+        ), kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+            FROM words ANTI JOIN hit USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
+    "op7_jaccard": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, {_WORDS.replace("[text]", _LOWER)} AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS x
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM d WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+            JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+            HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS id, doc_id AS low FROM documents
+            UNION SELECT links.a, reach.low FROM reach JOIN links ON links.b = reach.id AND reach.low < links.a
+        )
+        SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, min(reach.low) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.id = d.doc_id
+        GROUP BY d.doc_id, sizes.n
+    """,
     "op2_warc": f"""
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS payload FROM pages

@@ -101,10 +101,25 @@ def test_components_at_other_settings(documents, percent, k):
     assert got == label
 
 
-def test_small_segments_and_buckets_change_nothing(documents, monkeypatch):
-    monkeypatch.setattr(group_join, "SEGMENT_TOKENS", 50)
+def test_first_links_match_brute_force():
+    import numpy as np
+
+    rng = random.Random(3)
+    base = rng.sample(range(10**9), 60)
+    make = lambda: np.array(sorted(set(rng.sample(base, rng.randint(40, 60)) + rng.sample(range(10**9), rng.randint(0, 9)))))
+    left, right = [make() for _ in range(30)], [make() for _ in range(40)]
+    sets = lambda tokens, low: (np.arange(low, low + len(tokens)), np.array([len(t) for t in tokens]), tokens)
+    a, b = group_join._first_links(sets(left, 0), sets(right, 100), 80)
+    similar = lambda x, y: 100 * len(set(x) & set(y)) >= 80 * len(set(x) | set(y))
+    assert dict(zip(a, b)) == {
+        i: min(100 + j for j, y in enumerate(right) if similar(x, y)) for i, x in enumerate(left) if any(similar(x, y) for y in right)
+    }
+
+
+def test_small_buckets_and_blocks_change_nothing(documents, monkeypatch):
     monkeypatch.setattr(group_join, "BUCKET_TOKENS", 40)
-    monkeypatch.setattr(group_join, "MAX_CACHED_WORDS", 5)
+    monkeypatch.setattr(group_join, "ASKING_BLOCK", 3)
+    monkeypatch.setattr(group_join, "MEMBER_BLOCK", 4)
     pairs = corpus(4, 80)
     got = {r.doc_id: r.component_id for r in group_join.similar_components(documents(pairs).repartition(5)).collect()}
     assert got == brute_components(pairs)
@@ -181,10 +196,8 @@ def test_repeats_inside_one_text_and_few_words(documents):
     check_removed(documents(pairs), pairs, min_words=9, gram=4)
 
 
-def test_small_segments_and_buckets_remove_the_same(documents, monkeypatch):
-    monkeypatch.setattr(seed_extend, "SEGMENT_ENTRIES", 30)
+def test_small_buckets_remove_the_same(documents, monkeypatch):
     monkeypatch.setattr(seed_extend, "BUCKET_ENTRIES", 25)
-    monkeypatch.setattr(seed_extend, "MAX_CACHED_WORDS", 5)
     pairs = corpus(7, 90)
     check_removed(documents(pairs).repartition(4), pairs)
 
