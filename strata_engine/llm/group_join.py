@@ -32,15 +32,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import arrow_schema, named, slices, text_bytes
+from strata_engine.llm.common import arrow_schema, begin, give_back, named, slices, text_bytes
 from strata_engine.llm.components import connected
+from strata_engine.llm.packed import by_bucket, shared_here, shared_of_all, split_hits, unpack
 from strata_engine.session import fits_broadcast, materialize
 
 # Tokens that one bucket of the shared-token count holds about.
 BUCKET_TOKENS = 500_000
 # Tokens that a task gathers before it sends them off.
-SEGMENT_TOKENS = 3_000_000
-MAX_CACHED_WORDS = 300_000
+SEGMENT_TOKENS = 600_000
+MAX_CACHED_WORDS = 100_000
+
+# Sets that ask a group, and members of the group, that meet in one task.
+ASKING_BLOCK = 512
+MEMBER_BLOCK = 2_048
+# Owner of the tokens of a document without id.
+NOBODY = -1
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -87,8 +94,8 @@ def needed(n: np.ndarray | int, percent: int):
 def _sketch(docs: DataFrame, words: int, percent: int, share: int, buckets: int) -> DataFrame:
     """Step 1 per document: id, n, fp (digest of the set), short (how many
     more shared tokens it needs among every ``share``-th part of its tokens);
-    rows of kind 1 are (bucket, tokens, owners) for the count."""
-    schema = "kind int, bucket int, id bigint, n bigint, fp binary, short bigint, tokens binary, owners binary"
+    rows of kind 1 are (segment, bucket, tokens, owners) for the count."""
+    schema = "kind int, segment bigint, bucket int, id bigint, n bigint, fp binary, short bigint, tokens binary, owners binary"
     target = arrow_schema(schema)
 
     def batch_of(**columns):
@@ -99,16 +106,16 @@ def _sketch(docs: DataFrame, words: int, percent: int, share: int, buckets: int)
 
     def emit(ids, ns, fps, shorts, parts):
         index = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        unique, first, inverse, counts = np.unique(tokens, return_index=True, return_inverse=True, return_counts=True)
+        owners = np.array([NOBODY if i is None else i for i in ids], np.int64)[index]
+        distinct, owner, repeated = shared_here(np.concatenate(parts), owners)
         # shared inside this task: counted here, one ownerless entry tells the others
-        here = np.bincount(index, counts[inverse] >= 2, len(parts)).astype(np.int64)
+        here = np.bincount(index, repeated, len(parts)).astype(np.int64)
         yield batch_of(kind=[0] * len(ids), id=ids, n=ns, fp=fps, short=[s - int(c) for s, c in zip(shorts, here)])
-        owner_ids = np.array([-1 if i is None else i for i in ids], np.int64)
-        owners = np.where(counts == 1, owner_ids[index[first]] if len(ids) else 0, np.iinfo(np.int64).min)
-        yield from _by_bucket(unique, owners, buckets, batch_of)
+        for bucket, (t, o) in by_bucket(distinct, buckets, owner):
+            yield batch_of(kind=[1], segment=ids[:1], bucket=[bucket], tokens=[t], owners=[o])
 
     def run(batches):
+        begin("group_join")
         shingler = Shingler(words)
         ids, ns, fps, shorts, parts, held = [], [], [], [], [], 0
         for batch in batches:
@@ -127,85 +134,119 @@ def _sketch(docs: DataFrame, words: int, percent: int, share: int, buckets: int)
                     ids, ns, fps, shorts, parts, held = [], [], [], [], [], 0
         if ids:
             yield from emit(ids, ns, fps, shorts, parts)
+        give_back()
 
     return docs.select("id", "text").mapInArrow(run, schema)
 
 
-def _by_bucket(tokens, owners, buckets, batch_of):
-    """Rows (bucket, tokens, owners) of the packed entries of each bucket."""
-    if not len(tokens):
-        return
-    bucket = (tokens % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-    hit = [b for b in range(buckets) if ends[b] > (ends[b - 1] if b else 0)]
-    spans = [order[(ends[b - 1] if b else 0) : ends[b]] for b in hit]
-    yield batch_of(
-        kind=[1] * len(hit), bucket=hit, tokens=[tokens[s].tobytes() for s in spans], owners=[owners[s].tobytes() for s in spans]
-    )
-
-
 def _count_shared(packed: DataFrame) -> DataFrame:
     """id, shared: how many entries of each owner are tokens that some other
     document (of another task, or several of one) holds as well."""
-    schema = "id bigint, shared bigint"
+    schema = "segment bigint, owners binary"
     target = arrow_schema(schema)
 
+    def find(_, rows):
+        tokens, owners = unpack(rows.column("tokens"), np.uint64), unpack(rows.column("owners"), np.int64)
+        hit = shared_of_all(tokens, owners) & (owners != NOBODY)
+        (found,) = split_hits(rows, "tokens", hit, owners)
+        give_back()
+        return pa.table([rows.column("segment").combine_chunks(), pa.array(found, pa.binary())], schema=target)
+
+    out = "id bigint, shared bigint"
+    out_target = arrow_schema(out)
+
     def count(_, rows):
-        tokens = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("tokens")])
-        owners = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("owners")])
-        _, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-        alone = np.iinfo(np.int64).min
-        ownerless = np.bincount(inverse, owners == alone, len(counts)) > 0
-        hit = ((counts >= 2) | ownerless)[inverse] & (owners != alone)
-        ids, n = np.unique(owners[hit], return_counts=True)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], schema=target)
+        ids, n = np.unique(unpack(rows.column("owners"), np.int64), return_counts=True)
+        return pa.table([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], schema=out_target)
 
-    return packed.select("bucket", "tokens", "owners").groupBy("bucket").applyInArrow(count, schema)
+    found = packed.select("bucket", "segment", "tokens", "owners").groupBy("bucket").applyInArrow(find, schema)
+    return found.where(F.length("owners") > 0).groupBy("segment").applyInArrow(count, out)
 
 
-def _full_sets(docs: DataFrame, words: int, buckets: int) -> DataFrame:
-    """id, bucket, tokens (binary): the whole sets, cut by bucket."""
-    schema = "id bigint, bucket int, tokens binary"
+def _segments(docs: DataFrame, words: int, buckets: int) -> DataFrame:
+    """Rows of kind 0: the whole sets of a bounded segment of documents
+    (ids, sizes, tokens); of kind 1: per bucket the distinct tokens of a
+    segment and how many of its sets hold each."""
+    schema = "kind int, segment string, bucket int, ids array<bigint>, sizes array<int>, tokens binary, holders binary"
     target = arrow_schema(schema)
 
+    def batch_of(**columns):
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in target], schema=target
+        )
+
+    def emit(segment, ids, parts):
+        tokens = np.concatenate(parts)
+        yield batch_of(kind=[0], segment=[segment], ids=[ids], sizes=[[len(p) for p in parts]], tokens=[tokens.tobytes()])
+        distinct, counts = np.unique(tokens, return_counts=True)
+        for bucket, (t, n) in by_bucket(distinct, buckets, counts.astype(np.int64)):
+            yield batch_of(kind=[1], segment=[segment], bucket=[bucket], tokens=[t], holders=[n])
+
     def run(batches):
+        begin("group_join")
         shingler = Shingler(words)
+        segment, ids, parts, held = "", [], [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                    t = shingler.tokens(text)
-                    bucket = (t % np.uint64(buckets)).astype(np.int32)
-                    order = np.argsort(bucket, kind="stable")
-                    hit, start = np.unique(bucket[order], return_index=True)
-                    held = [p.tobytes() for p in np.split(t[order], start[1:])]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([i] * len(hit), pa.int64()), pa.array(hit, pa.int32()), pa.array(held, pa.binary())], schema=target
-                    )
+                    if not ids:
+                        segment = f"{i}:{xxhash.xxh3_128_hexdigest(text or b'')}"
+                    ids.append(i)
+                    parts.append(shingler.tokens(text))
+                    held += len(parts[-1])
+                    if held > SEGMENT_TOKENS:
+                        yield from emit(segment, ids, parts)
+                        ids, parts, held = [], [], 0
+        if ids:
+            yield from emit(segment, ids, parts)
+        give_back()
 
     return docs.select("id", "text").mapInArrow(run, schema)
 
 
-def _shared_parts(sets: DataFrame) -> DataFrame:
-    """id, tokens, holders: of each set the tokens of one bucket that another
-    set holds too, with the number of sets that hold each."""
-    schema = "id bigint, tokens array<bigint>, holders array<bigint>"
+def _shared_sets(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """Step 2: id, n, tokens (those that another set holds too, rarest
+    first) of the sets that share enough. Tokens are counted per bucket, and
+    each segment gets back the counts of its own."""
+    packed = materialize(_segments(docs, words, buckets), "join-segments")
+    schema = "segment string, tokens binary, holders binary"
     target = arrow_schema(schema)
 
-    def keep(_, rows):
-        parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("tokens")]
-        _, inverse, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        ids, tokens, holders, at = [], [], [], 0
-        for i, p in zip(rows.column("id").to_pylist(), parts):
-            n = counts[inverse[at : at + len(p)]]
-            at += len(p)
-            if (n >= 2).any():
-                ids.append(i)
-                tokens.append(p[n >= 2].view(np.int64))
-                holders.append(n[n >= 2])
-        return pa.table([pa.array(c, f.type) for c, f in zip((ids, tokens, holders), target)], schema=target)
+    def total(_, rows):
+        tokens, holders = unpack(rows.column("tokens"), np.uint64), unpack(rows.column("holders"), np.int64)
+        _, inverse = np.unique(tokens, return_inverse=True)
+        every = np.bincount(inverse, holders).astype(np.int64)[inverse]
+        kept = split_hits(rows, "tokens", every >= 2, tokens, every)
+        give_back()
+        return pa.table([rows.column("segment").combine_chunks(), *(pa.array(k, pa.binary()) for k in kept)], schema=target)
+
+    out = "id bigint, n bigint, tokens array<bigint>"
+    out_target = arrow_schema(out)
+
+    def finish(_, sets, counts):
+        tokens, holders = unpack(counts.column("tokens"), np.uint64), unpack(counts.column("holders"), np.int64)
+        tokens, first = np.unique(tokens, return_index=True)
+        holders = holders[first]
+        ids, ns, kept = [], [], []
+        for row_ids, sizes, data in zip(*(sets.column(c).to_pylist() for c in ("ids", "sizes", "tokens"))):
+            ends = np.cumsum(sizes)[:-1]
+            for i, own in zip(row_ids, np.split(np.frombuffer(data, np.uint64), ends)):
+                at = np.searchsorted(tokens, own)
+                known = np.flatnonzero(tokens[np.minimum(at, len(tokens) - 1)] == own) if len(tokens) else []
+                if len(own) and len(known) >= needed(len(own), percent):
+                    shared = own[known]
+                    ids.append(i)
+                    ns.append(len(own))
+                    kept.append(shared[np.lexsort((shared, holders[at[known]]))].view(np.int64))
+        made = pa.table([pa.array(c, f.type) for c, f in zip((ids, ns, kept), out_target)], schema=out_target)
+        del ids, ns, kept
+        give_back()
+        return made
 
-    return sets.groupBy("bucket").applyInArrow(keep, schema)
+    counts = packed.where("kind = 1").select("bucket", "segment", "tokens", "holders").groupBy("bucket").applyInArrow(total, schema)
+    sets = packed.where("kind = 0").select("segment", "ids", "sizes", "tokens")
+    return sets.groupBy("segment").cogroup(counts.groupBy("segment")).applyInArrow(finish, out)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -263,17 +304,72 @@ def link_sets(sets: DataFrame, percent: int) -> DataFrame:
         & _may_link(F.col("c"), F.col("n"), F.col("min_n"), percent)
         & _may_link(F.col("max_c"), F.col("min_n"), F.col("n"), percent)
     )
-    asked = materialize(asked.select("id", "to_g").distinct(), "join-asked")
-    opened = _qualifying(asked, sets, groups, percent)
-    mine = opened.join(placed.select("id", "token", "n", "c"), "id")
-    theirs = placed.select(F.col("id").alias("b"), F.col("g").alias("to_g"), "token", F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    pairs = mine.join(theirs, ["to_g", "token"]).where(
-        _may_link(F.col("c"), F.col("n"), F.col("n_b"), percent) & _may_link(F.col("c_b"), F.col("n_b"), F.col("n"), percent)
-    )
-    more = _linked(pairs.select(F.col("id").alias("a"), "b").distinct(), sets, percent)
+    asked = materialize(asked.select("id", "to_g", "to_members").distinct(), "join-asked")
+    # a group of one is its token union: compared at once
+    alone = asked.where("to_members = 1").select(F.col("id").alias("a"), F.col("to_g").alias("b"))
+    opened = materialize(_qualifying(asked.where("to_members > 1"), sets, groups, percent), "join-opened")
+    more = _linked(alone.distinct(), sets, percent).unionByName(_open(opened, sets, groups, percent))
     return materialize(star.unionByName(more), "join-links")
 
 
+def _open(opened: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the sets of ``opened`` (id, to_g) and members of
+    those groups: blocks of the ones meet blocks of the others, and a set
+    gives at most one link a block, which is enough to join the groups."""
+    asking = opened.groupBy("to_g").agg(F.count(F.lit(1)).alias("n_asking"))
+    held = groups.groupBy(F.col("component").alias("to_g")).agg(F.count(F.lit(1)).alias("n_held"))
+    blocks = asking.join(held, "to_g").select(
+        "to_g", F.ceil(F.col("n_asking") / ASKING_BLOCK).alias("ax"), F.ceil(F.col("n_held") / MEMBER_BLOCK).alias("mx")
+    )
+    blocks = materialize(blocks, "join-blocks")
+
+    def dealt(rows, own, other, own_name, other_name):
+        """Each row in its own block, once for every block of the others."""
+        rows = rows.join(blocks, "to_g").withColumn(own_name, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+        every = F.sequence(F.lit(0), F.col(other).cast("int") - 1)
+        columns = ["to_g", "x", "y", "id", "n", "tokens"]
+        # new columns for either side: both come from ``sets``
+        return rows.withColumn(other_name, F.explode(every)).select(*[F.col(c).alias(c, metadata={"side": own}) for c in columns])
+
+    xs = dealt(opened.join(sets, "id"), "ax", "mx", "x", "y")
+    members = groups.select("id", F.col("component").alias("to_g")).join(sets, "id")
+    ys = dealt(members, "mx", "ax", "y", "x")
+    schema = "a bigint, b bigint"
+    target = arrow_schema(schema)
+
+    def match(_, left, right):
+        found = _first_links(_sets_of(left), _sets_of(right), percent)
+        return pa.table([pa.array(c, pa.int64()) for c in found], schema=target)
+
+    keys = ("to_g", "x", "y")
+    return xs.groupBy(*keys).cogroup(ys.groupBy(*keys)).applyInArrow(match, schema)
+
+
+def _sets_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    tokens = [np.asarray(t, np.int64) for t in rows.column("tokens").to_pylist()]
+    return rows.column("id").to_numpy(), rows.column("n").to_numpy(), tokens
+
+
+def _first_links(left, right, percent: int) -> tuple[list[int], list[int]]:
+    """For each set on the left the first similar one on the right, if any."""
+    (ids, ns, sets), (other_ids, other_ns, others) = left, right
+    if not len(ids):
+        return [], []
+    tokens = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    partner = np.full(len(ids), -1)
+    for k, (i, n, t) in enumerate(zip(other_ids, other_ns, others)):
+        low, high = np.searchsorted(tokens, t, "left"), np.searchsorted(tokens, t, "right")
+        size = high - low
+        at = np.arange(size.sum()) + np.repeat(low - (np.cumsum(size) - size), size)
+        both = np.bincount(owner[at], minlength=len(ids))
+        partner[(partner < 0) & (ids != i) & (100 * both >= percent * (ns + n - both))] = k
+    hit = partner >= 0
+    return ids[hit].tolist(), other_ids[partner[hit]].tolist()
+
+
 def _qualifying(asked: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """The (id, to_g) whose token union overlaps the set enough."""
     wanted = asked.select(F.col("to_g").alias("g")).distinct()
@@ -317,14 +413,9 @@ def similar_components(
     # a copy is no partner: only a set that shares with others too goes on
     reps = materialize(reps.select(F.col("rep").alias("id"), "n"), "join-reps")
 
-    texts = src.join(F.broadcast(reps) if fits_broadcast(reps) else reps, "id", "left_semi").dropDuplicates(["id", "text"])
+    texts = src.join(F.broadcast(reps) if fits_broadcast(reps) else reps, "id", "left_semi")
     kept = reps.agg(F.sum("n")).first()[0] or 0
-    parts = _shared_parts(_full_sets(texts, words, int(max(8, kept // BUCKET_TOKENS))))
-    ordered = parts.groupBy("id").agg(
-        F.sort_array(F.flatten(F.collect_list(F.arrays_zip("holders", "tokens")))).alias("held")
-    )
-    sets = ordered.join(reps, "id").where(F.size("held") * 100 >= F.col("n") * percent)
-    sets = materialize(sets.select("id", "n", F.col("held.tokens").alias("tokens")), "join-sets")
+    sets = materialize(_shared_sets(texts, words, percent, int(max(8, kept // BUCKET_TOKENS))), "join-sets")
     component = connected(link_sets(sets, percent))
 
     repeated = classes.where("copies > 1").select("n", "fp", "rep")
@@ -334,5 +425,7 @@ def similar_components(
     component = F.broadcast(component) if fits_broadcast(component) else component
     rows = rows.join(component, "rep", "left")
     return rows.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"),
     )
