@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    target = int(sys.argv[2]) if len(sys.argv) > 2 else 1000
+    given = {"target_rows": int(sys.argv[2])} if len(sys.argv) > 2 else {}  # else the default
     log_dir = tempfile.mkdtemp(prefix="run-evlog-")
     from pyspark.sql import SparkSession, Window
     from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ def main() -> None:
     w = Window.partitionBy("strata").orderBy(hash_hex(["o_orderkey"], 42), "o_orderkey")
     o.withColumn("rn", F.row_number().over(w)).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("stratified_split", "ours")
-    split.stratified_split(o, "strata", ["o_orderkey"], target_rows=target).write.format("noop").mode("overwrite").save()
+    split.stratified_split(o, "strata", ["o_orderkey"], **given).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     path = glob.glob(f"{log_dir}/**/events_*", recursive=True)[0]
