@@ -36,14 +36,14 @@ class NullLabel(ValueError):
     pass
 
 
-def value_counts(df: DataFrame, col: str) -> dict | None:
-    """Rows per value of ``col`` (NULL included) as ``{value: n}`` — one
-    partial aggregate — when the number of distinct values is under the
-    session bound; None otherwise. Lets :func:`frequency_index` and
-    ``split.stratified_split`` share one count of the same column."""
-    counts = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+def value_counts(df: DataFrame, col: str) -> dict | DataFrame:
+    """Rows per value of ``col`` (NULL included) — one partial aggregate — as
+    ``{value: n}`` when its size is under the session bound, else as a table
+    (``__label``, ``__n``) written once. :func:`frequency_index` takes both,
+    so several indexes of one column share a count."""
+    counts = df.groupBy(F.col(col).alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
     rows = collect_small(counts)
-    return None if rows is None else {r["__v"]: int(r["__n"]) for r in rows}
+    return materialize(counts, "labels") if rows is None else {r["__label"]: int(r["__n"]) for r in rows}
 
 
 def frequency_index(
@@ -51,7 +51,7 @@ def frequency_index(
     col: str,
     out: str = "strataIndex",
     on_null: str = "error",
-    counts: dict | None = None,
+    counts: dict | DataFrame | None = None,
 ) -> DataFrame:
     """Index of each value by frequency: the most frequent value gets 0.0,
     ties go to the alphabetically first value (the ML ``StringIndexer``
@@ -71,7 +71,10 @@ def frequency_index(
     """
     spark = df.sparkSession
     key = F.col(col).cast("string")
-    if counts is not None and dict(df.dtypes)[col] == "string":
+    stored = counts if isinstance(counts, DataFrame) and dict(df.dtypes)[col] == "string" else None
+    if stored is not None:
+        rows = None
+    elif isinstance(counts, dict) and dict(df.dtypes)[col] == "string":
         rows = [{"__label": k, "__n": v} for k, v in counts.items()]
     else:
         counts = df.groupBy(key.alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
@@ -90,7 +93,7 @@ def frequency_index(
             [(r["__label"], float(i)) for i, r in enumerate(labels)], "__label string, __idx double"
         ))
     else:
-        stored = materialize(counts, "labels")
+        stored = materialize(counts, "labels") if stored is None else stored
         has_null = stored.filter(F.col("__label").isNull()).limit(1).count() > 0
         labels_df = stored.filter(F.col("__label").isNotNull())
         n_labels = labels_df.count()

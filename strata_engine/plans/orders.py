@@ -142,13 +142,42 @@ def run(spark: SparkSession, orders: DataFrame, root: str, upto: str | None = No
 # The same plan as SQL (DuckDB dialect), for the oracle.
 # ---------------------------------------------------------------------------
 
-def to_duckdb(sql: str) -> str:
-    """Spark SQL rule text → DuckDB: quoted identifiers use double quotes."""
-    return sql.replace("`", '"')
+# The rules written out by hand, not taken from the rule builders: an error
+# in a builder shows as a difference.
+_ORACLE_BASE = {
+    "non_negative_price": "o_totalprice >= 0 OR o_totalprice = -9",
+    "valid_custkey_type": "o_custkey BETWEEN -2147483648 AND 2147483647",
+    "valid_caseid_type": "caseid IS NOT NULL",
+    "valid_prio_code_values": "prio_code >= -9",
+    "valid_o_custkey_values": "o_custkey >= -9",
+    "price_floor": "o_totalprice >= 1500",
+}
+_ORACLE_SCALED = {
+    **_ORACLE_BASE,
+    "valid_o_totalprice_normalized": "o_totalprice_normalized IS NOT NULL",
+    "valid_o_totalprice_standardized": "o_totalprice_standardized IS NOT NULL",
+}
+_ORACLE_GOLD = {
+    **_ORACLE_SCALED,
+    "valid_prio_mapped": "prio_mapped IS NOT NULL",
+    "valid_caseid_int": "caseid_int IS NOT NULL",
+}
+ORACLE_RULES = {
+    "bronze": _ORACLE_BASE,
+    "silver_typed": _ORACLE_BASE,
+    "silver_scaled": _ORACLE_SCALED,
+    "silver_split": {
+        **_ORACLE_SCALED,
+        "valid_strata": "strata IS NOT NULL AND strata <> ''",
+        "valid_strata_index": "strata_index IS NOT NULL",
+    },
+    "gold_full": _ORACLE_GOLD,
+    "gold_splits": _ORACLE_GOLD,
+}
 
 
 def _sql_rules(rules: dict[str, str]) -> str:
-    return to_duckdb(" AND ".join(f"({r})" for r in rules.values())) or "TRUE"
+    return " AND ".join(f"({r})" for r in rules.values()) or "TRUE"
 
 
 def _not_null(cols: list[str]) -> str:
@@ -217,7 +246,7 @@ def oracle_chain(upto: str) -> str:
     ctes = []
     for name in LAYER_NAMES:
         ctes.append(f"{name}__built AS ({built[name]})")
-        ctes.append(f"{name} AS (SELECT * FROM {name}__built WHERE {_sql_rules(LAYER_RULES[name])})")
+        ctes.append(f"{name} AS (SELECT * FROM {name}__built WHERE {_sql_rules(ORACLE_RULES[name])})")
         if name == upto:
             break
     return "WITH " + ",\n".join(ctes) + "\n"

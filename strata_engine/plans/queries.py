@@ -838,9 +838,9 @@ def _run_log_sql() -> str:
                 f"SELECT '{name}', 'null_rows', CAST((SELECT count(*) FROM {source}) - count(*) AS BIGINT) FROM {name}__built"
             )
         parts.append(f"SELECT '{name}', 'rows_out', CAST(count(*) AS BIGINT) FROM {name}")
-        for rn, rule in OP.LAYER_RULES[name].items():
+        for rn, rule in OP.ORACLE_RULES[name].items():
             parts.append(
-                f"SELECT '{name}', 'failed:{rn}', CAST(count(*) FILTER (WHERE NOT coalesce(({OP.to_duckdb(rule)}), false)) AS BIGINT) "
+                f"SELECT '{name}', 'failed:{rn}', CAST(count(*) FILTER (WHERE NOT coalesce(({rule}), false)) AS BIGINT) "
                 f"FROM {name}__built"
             )
     return OP.oracle_chain(OP.LAYER_NAMES[-1]) + " UNION ALL ".join(parts)

@@ -67,7 +67,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/strata_scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/strata_scratch/{spark.sparkContext.applicationId}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under ``scratch_path``: call it when
+    no result that reads from there is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

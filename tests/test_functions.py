@@ -162,3 +162,17 @@ def test_no_temporary_folder_off_local_masters(spark, monkeypatch):
 
     with pytest.raises(session.NoSharedFolder):
         session.checkpoint_root(Session())
+
+
+def test_clean_scratch_removes_this_applications_tables(spark, tmp_path):
+    import os
+    from urllib.parse import urlparse
+
+    from strata_engine import session
+
+    written = session.materialize(spark.range(5), "gone")
+    folder = urlparse(os.path.dirname(os.path.dirname(written.inputFiles()[0]))).path
+    other = os.path.join(os.path.dirname(folder), "another-application")
+    os.makedirs(other)
+    session.clean_scratch(spark)
+    assert not os.path.exists(folder) and os.path.isdir(other)

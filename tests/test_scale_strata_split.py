@@ -273,3 +273,11 @@ def test_duplicate_keys_stay_together(spark):
     df = spark.createDataFrame([("a", i // 3) for i in range(300)], "s string, k long")
     got = split.stratified_split(df, "s", ["k"], target_rows=5)
     assert got.count() == 300 and got.groupBy("k").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+
+
+def test_value_counts_over_bound_are_shared(spark, tiny_broadcast_bound):
+    df = spark.createDataFrame([(s,) for s in "aabbbcdddde"] + [(None,)], "s string")
+    counts = strata.value_counts(df, "s")
+    assert not isinstance(counts, dict)
+    idx = {r.s: r.i for r in strata.frequency_index(df, "s", "i", on_null="keep", counts=counts).collect()}
+    assert idx == {"d": 0.0, "b": 1.0, "a": 2.0, "c": 3.0, "e": 4.0, None: 5.0}
