@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import arrow_schema
+from strata_engine.llm.common import arrow_schema, give_back
 from strata_engine.session import fits_broadcast, materialize
 
 
@@ -140,5 +140,6 @@ def pack(pieces: DataFrame, capacity: int, group_rows: int = 200_000) -> DataFra
                 ],
                 schema=target,
             )
+        give_back()
 
     return ranked.mapInArrow(place, schema)

@@ -70,7 +70,7 @@ _words: dict[str, int] = {}
 def _word_bucket(word: str) -> int:
     found = _words.get(word)
     if found is None:
-        if len(_words) > 200_000:
+        if len(_words) > 100_000:
             _words.clear()
         found = _words[word] = bucket(word, WORD_DIMS)
     return found

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import arrow_schema, map_texts, named, slices
+from strata_engine.llm.common import arrow_schema, give_back, keeps, map_texts, named, slices
 from strata_engine.session import fits_broadcast, materialize
 
 CHUNK_CHARS = 16_384
@@ -41,6 +41,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def _encoding(path: str, pattern: str):
     import tiktoken
 
+    keeps("byte_bpe", _forget)
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
@@ -53,6 +54,11 @@ def _token_bytes(path: str) -> list[bytes]:
     return table
 
 
+def _forget() -> None:
+    _encoding.cache_clear()
+    _token_bytes.cache_clear()
+
+
 def boundaries(chunk: str, pattern) -> list[int]:
     """Ends of the chunk's pre-tokens at which a word ends and a space
     follows, as offsets into it; the end of the chunk is not among them."""
@@ -68,7 +74,7 @@ def _encode_map(df: DataFrame, keep: list[str], path: str, pattern: str) -> Data
         encode = _encoding(path, pattern).encode_to_numpy  # there are no special tokens to allow
         return lambda texts: [[encode(t or "", disallowed_special=()).astype(np.int32) for t in texts]]
 
-    return map_texts(df, keep, "text", "ids array<int>", make)
+    return map_texts(df, keep, "text", "ids array<int>", make, owner="byte_bpe")
 
 
 def _chunks(long_texts: DataFrame, chunk_chars: int, overlap: int) -> DataFrame:
@@ -188,6 +194,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1).cast(target.field("ids").type), pa.array(data, pa.binary())], schema=target
                 )
+        give_back()
 
     return src.mapInArrow(run, schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -16,6 +17,32 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 1_000_000
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers are used again by
+    later tasks; without this an idle one keeps the most it ever needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+
+
+# What a worker keeps between tasks of one operator: {operator: clear it}.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, clear: Callable[[], None]) -> None:
+    _kept[owner] = clear
+
+
+def begin(owner: str = "") -> None:
+    """Call at the start of a task: what other operators' tasks have left in
+    this worker goes, so their caches do not add up along a pipeline."""
+    for other, clear in _kept.items():
+        if other != owner:
+            clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,13 +62,13 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into row ranges of about SLICE_BYTES of ``column``; a row
-    larger than that forms a slice of its own."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into row ranges of about ``size`` bytes of ``column``; a
+    row larger than that forms a slice of its own."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
-        if i > start and held + n > SLICE_BYTES:
+        if i > start and held + n > size:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(n)
@@ -55,6 +82,7 @@ def map_texts(
     text: str,
     schema: str,
     make: Callable[[], Callable[[list], Sequence[Sequence]]],
+    owner: str = "",
 ) -> DataFrame:
     """Apply a per-task function to the texts of ``df``, no shuffle.
 
@@ -72,6 +100,7 @@ def map_texts(
     target = arrow_schema(out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(owner)
         f = make()
         for batch in batches:
             for part in slices(batch, text):
@@ -79,6 +108,7 @@ def map_texts(
                 columns = [part.column(c).cast(target.field(c).type) for c in keep]
                 columns += [pa.array(v, type=target.field(len(keep) + i).type) for i, v in enumerate(made)]
                 yield pa.RecordBatch.from_arrays(columns, schema=target)
+        give_back()
 
     return picked.mapInArrow(run, out_schema)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import bounded_sample, filter_texts, map_texts, named
+from strata_engine.llm.common import begin, bounded_sample, filter_texts, map_texts, named
 
 DIMS = 1 << 15
 UNDETERMINED = "und"
@@ -79,6 +79,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
     src = named(docs, text=text_col).withColumn("text", F.col("text").cast("string"))
 
     def count(batches):
+        begin()
         df, n = np.zeros(DIMS, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():

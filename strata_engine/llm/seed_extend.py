@@ -26,15 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import arrow_schema, named, slices, text_bytes
+from strata_engine.llm.common import arrow_schema, begin, give_back, named, slices, text_bytes
 from strata_engine.llm.packed import by_bucket, shared_here, shared_of_all, split_hits, spread, unpack
 from strata_engine.session import fits_broadcast, materialize
 
 MIN_WORDS = 20
 GRAM = 8
 BUCKET_ENTRIES = 500_000
-SEGMENT_ENTRIES = 1_500_000
-MAX_CACHED_WORDS = 300_000
+SEGMENT_ENTRIES = 400_000
+MAX_CACHED_WORDS = 100_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -99,6 +99,7 @@ def _by_owner(replies: DataFrame, kind, out: str) -> DataFrame:
     target = arrow_schema(out)
 
     def run(_, rows):
+        give_back()
         return _table(target, spread(unpack(rows.column("owners"), np.int64), unpack(rows.column("values"), kind)))
 
     replies = replies.where(F.length("owners") > 0).select("segment", "owners", "values")
@@ -126,6 +127,7 @@ def _seeds(docs: DataFrame, min_words: int, gram: int, buckets: int) -> DataFram
             yield _batch(target, bucket=[b], segment=numbers[:1], anchors=[k], owners=[o])
 
     def run(batches):
+        begin("seed_extend")
         tool = Windows(min_words, gram)
         ids, ns, fps, parts, held, seen = [], [], [], [], 0, set()
         for batch in batches:
@@ -149,6 +151,7 @@ def _seeds(docs: DataFrame, min_words: int, gram: int, buckets: int) -> DataFram
                     ids, ns, fps, parts, held, seen = [], [], [], [], 0, set()
         if ids:
             yield from emit(ids, ns, fps, parts)
+        give_back()
 
     out = "owner bigint, id bigint, n_words bigint, fp binary, anchors binary, segment bigint, owners binary, values binary"
     out_target = arrow_schema(out)
@@ -161,6 +164,7 @@ def _seeds(docs: DataFrame, min_words: int, gram: int, buckets: int) -> DataFram
         found_owners, found_keys = split_hits(entries, "anchors", hit, owners, keys)
         found = _batch(out_target, segment=entries.column("segment").combine_chunks(), owners=found_owners, values=found_keys)
         documents = _batch(out_target, **{c: documents.column(c).combine_chunks() for c in documents.column_names})
+        give_back()
         return pa.Table.from_batches([documents, found])
 
     return docs.select("id", "text").mapInArrow(run, schema).groupBy("bucket").applyInArrow(join, out)
@@ -207,6 +211,7 @@ def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> D
             yield _batch(target, bucket=[b], segment=owners[:1], keys=[k], checks=[c], owners=[o], starts=[s])
 
     def run(batches):
+        begin("seed_extend")
         tool = Windows(min_words, gram)
         parts, held = [], 0
         for batch in batches:
@@ -229,6 +234,7 @@ def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> D
                     parts, held = [], 0
         if parts:
             yield from emit(parts)
+        give_back()
 
     def settle(_, rows):
         known = rows.filter(rows.column("id").is_valid()).select(["id", "starts"])
@@ -239,6 +245,7 @@ def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> D
         found_owners, found_starts = split_hits(entries, "keys", late, owners, starts)
         found = _batch(out_target, segment=entries.column("segment").combine_chunks(), owners=found_owners, values=found_starts)
         known = _batch(out_target, **{c: known.column(c).combine_chunks() for c in known.column_names})
+        give_back()
         return pa.Table.from_batches([known, found])
 
     made = seeded.select("id", "fp", "text", "held").mapInArrow(run, schema).groupBy("bucket").applyInArrow(settle, out)
@@ -350,6 +357,7 @@ def deduplicate(
         return len(words), len(words) - len(kept), [{"low": a, "high": b} for a, b in zip(low, high)], b" ".join(kept)
 
     def run(batches):
+        begin("seed_extend")
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = list(map(apply, *(part.column(c).to_pylist() for c in ("text", "fp", "low", "high"))))
@@ -359,5 +367,6 @@ def deduplicate(
                 if with_carried:
                     columns.append(part.column("carried").cast(target.field("carried").type))
                 yield pa.RecordBatch.from_arrays(columns, schema=target)
+            give_back()
 
     return src.mapInArrow(run, schema)

@@ -15,10 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strata_engine.llm.common import arrow_schema, named, slices, text_bytes
+from strata_engine.llm.common import arrow_schema, begin, give_back, keeps, named, slices, text_bytes
 
 # Words whose ids a Python worker keeps; beyond that they are asked for anew.
-MAX_CACHED_WORDS = 800_000
+MAX_CACHED_WORDS = 600_000
+# ASCII signs that the tokenizer's pattern takes as one run (an apostrophe
+# may belong to a contraction).
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Bytes of text whose words are looked up together.
+SLICE = 3_000_000
 
 
 class WordEncoder:
@@ -68,18 +73,24 @@ class WordEncoder:
         return made
 
     def _learn_all(self, new: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of new words. A word that ends in one comma or full stop after
-        a letter is the word without it, then that sign."""
-        ends = {w: w[:-1] for w in new if w[-1] in b".," and w[-2:-1].isalpha()}
-        plain = new.difference(ends).union(ends.values(), {w[-1:] for w in ends}).difference(self.cache)
+        """Ids of new words. Signs that end a word after an ASCII letter are
+        one pre-token of their own: such a word is the word without them,
+        then the signs."""
+        ends = {}
+        for w in new:
+            stem = w.rstrip(SIGNS)
+            if len(stem) < len(w) and stem[-1:].isalpha():
+                ends[w] = (stem, w[len(stem) :])
+        plain = new.difference(ends).union(*ends.values()).difference(self.cache)
         learned = self._learn(list(plain)) if plain else {}
-        for w, stem in ends.items():
-            learned[w] = (learned.get(stem) or self.cache[stem]) + (learned.get(w[-1:]) or self.cache[w[-1:]])
+        for w, parts in ends.items():
+            learned[w] = b"".join([learned[x] if x in learned else self.cache[x] for x in parts])
         return learned
 
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> WordEncoder:
+    keeps("word_bpe", _encoder.cache_clear)
     return WordEncoder(path)
 
 
@@ -105,9 +116,10 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
+        begin("word_bpe")
         encode = _encoder(path).encode
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
                 for row, data in enumerate(encode(part.column("text").to_pylist())):
                     data += end
@@ -124,5 +136,6 @@ def token_pieces(
                 columns += [ids] if with_ids else []
                 columns = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, target)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target)], schema=target)
+        give_back()
 
     return src.mapInArrow(cut, schema)
