@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import bounded_sample, map_texts, named
+from strata_engine.llm.common import map_texts, named, sample_keys
 from strata_engine.llm.html_blocks import Block, blocks, bucket
 
 PATH_DIMS, TAG_DIMS, WORD_DIMS, SIZE_DIMS = 96, 16, 48, 6
@@ -309,10 +309,13 @@ def training_pages(pages: list[str], layouts: int = 3, seed: int = 2) -> list[tu
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_rows: int = 250) -> Labeller:
-    """Train on at most ``sample_rows`` pages (smallest id hash)."""
+    """Train on at most ``sample_rows`` pages (smallest id hash, at most
+    ``common.SAMPLE_BYTES``)."""
     src = named(pages, page_id=id_col, html=html_col).where("page_id is not null and html is not null")
-    rows = bounded_sample(src.select("page_id", F.col("html").cast("string").alias("html")), "page_id", sample_rows)
-    return train(training_pages(sorted(r["html"] for r in rows.collect())))
+    src = src.withColumn("html", F.col("html").cast("string"))
+    keys = sample_keys(src, "page_id", "html", sample_rows)
+    rows = src.join(F.broadcast(keys), "page_id", "left_semi").limit(2 * sample_rows).collect()
+    return train(training_pages(sorted(r["html"] for r in rows)))
 
 
 def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

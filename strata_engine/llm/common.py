@@ -142,6 +142,23 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(rows)
 
 
+# Bytes of text that a training sample may have.
+SAMPLE_BYTES = 64_000_000
+
+
+def sample_keys(df: DataFrame, key: str, text: str, rows: int, max_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """The keys of a training sample: at most ``rows`` of those with the
+    smallest hashes, leaving out any whose texts would take the sample over
+    ``max_bytes``. Only keys and sizes come to the driver."""
+    sizes = df.groupBy(key).agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0))).alias("size"))
+    kept, held = [], 0
+    for r in bounded_sample(sizes.where(F.col(key).isNotNull()), key, rows).collect():
+        if held + r["size"] <= max_bytes:
+            kept.append((r[key],))
+            held += r["size"]
+    return df.sparkSession.createDataFrame(kept, f"`{key}` {df.schema[key].dataType.simpleString()}")
+
+
 def fold(key: str, modulus: int) -> Column:
     """crc32 of the key's decimal text, modulo ``modulus``."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(modulus))

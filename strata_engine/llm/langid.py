@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import begin, bounded_sample, filter_texts, map_texts, named
+from strata_engine.llm.common import begin, filter_texts, map_texts, named, sample_keys
 
 DIMS = 1 << 15
 UNDETERMINED = "und"
@@ -163,12 +163,13 @@ def fit(
 ) -> LanguageModel:
     """Learn from the rows of ``docs`` with a non-null language for which
     ``training`` (a condition on column ``doc_id``) holds. The weights and
-    the temperature see at most ``sample_rows`` of them, disjoint parts."""
+    the temperature see at most ``sample_rows`` of them (and at most
+    ``common.SAMPLE_BYTES`` of text), disjoint parts."""
     src = named(docs, doc_id=id_col, text=text_col, lang=lang_col).withColumn("text", F.col("text").cast("string"))
     src = src.where(F.col("lang").isNotNull() & (F.lit(True) if training is None else training))
     df, total = document_frequencies(src)
     idf = np.log((1 + total) / (1 + df)) + 1.0
-    ids = bounded_sample(src.select("doc_id").where("doc_id is not null").distinct(), "doc_id", sample_rows)
+    ids = sample_keys(src, "doc_id", "text", sample_rows)
     rows = src.join(F.broadcast(ids), "doc_id", "left_semi").orderBy("doc_id", "lang", "text").limit(sample_rows)
     vectors, names = [], []
     for r in rows.toLocalIterator():  # a few texts at a time; only their n-grams are kept

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import bounded_sample, map_texts, named
+from strata_engine.llm.common import bounded_sample, map_texts, named, sample_keys
 
 # Group mentions; the terms of one line are swapped for one another.
 IDENTITY_GROUPS = (
@@ -167,12 +167,15 @@ def fit(
     training: Column | None = None,
     sample_rows: int = 6_000,
 ) -> ToxicityModel:
-    """Learn from at most ``sample_rows`` labelled rows (smallest id hash)
-    for which ``training`` (a condition on ``doc_id``) holds."""
+    """Learn from at most ``sample_rows`` labelled rows (smallest id hash,
+    at most ``common.SAMPLE_BYTES`` of text) for which ``training`` (a condition on ``doc_id``) holds."""
     wanted = named(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
-    chosen = bounded_sample(wanted.where(F.lit(True) if training is None else training).distinct(), "doc_id", sample_rows)
-    rows = named(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen), "doc_id")
-    rows = rows.select("doc_id", "toxic", F.col("text").cast("string").alias("text")).orderBy("doc_id", "toxic", "text")
+    wanted = wanted.where(F.lit(True) if training is None else training).distinct()
+    chosen = F.broadcast(bounded_sample(wanted, "doc_id", sample_rows))
+    rows = named(docs, doc_id=id_col, text=text_col).join(chosen, "doc_id")
+    rows = rows.select("doc_id", "toxic", F.col("text").cast("string").alias("text"))
+    rows = rows.join(F.broadcast(sample_keys(rows, "doc_id", "text", sample_rows)), "doc_id", "left_semi")
+    rows = rows.orderBy("doc_id", "toxic", "text")
     texts, toxic = [], []
     for r in rows.limit(sample_rows).toLocalIterator():  # only the word sets are kept
         texts.append(words_of(r["text"]))
