@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata_engine.functions.hashing import hash_hex, unit_hash
-from strata_engine.session import fits_broadcast, materialize
+from strata_engine.session import collect_small, fits_broadcast, materialize
 
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
 DEFAULT_NAMES = ("train", "validation", "test")
@@ -131,10 +131,9 @@ def stratified_split(
         hash_hex(key_cols, seed).alias("__h"),
         *[F.col(c).alias(k) for c, k in zip(key_cols, keys)],
     )
-    buckets = _cut_buckets(narrow, cuts, target_rows)
-    bounds = _boundaries(narrow, buckets, keys, len(cuts))
-    bounds = materialize(bounds, "strata_bounds")
-    bounds = F.broadcast(bounds) if fits_broadcast(bounds) else bounds
+    buckets, digits = _cut_buckets(narrow, cuts, target_rows)
+    bounds, small = _settled(_boundaries(narrow, buckets, keys, len(cuts), digits), "strata_bounds")
+    bounds = F.broadcast(bounds) if small is not None else bounds
     # left: a row is never dropped; a cut without boundary lies before all rows
     joined = df.join(bounds, F.col(strata_col).eqNullSafe(bounds["__s"]), "left")
     position = F.struct(hash_hex(key_cols, seed).alias("__h"), *[F.col(c).alias(k) for c, k in zip(key_cols, keys)])
@@ -142,10 +141,19 @@ def stratified_split(
     return joined.withColumn(out, _label(arm, names)).select(*[c for c in df.columns if c != out], out)
 
 
-def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> DataFrame:
+def _settled(df: DataFrame, name: str) -> tuple[DataFrame, list | None]:
+    """``df`` computed once: a local table and its rows when its size is under
+    the session bound, else a written table and None."""
+    rows = collect_small(df)
+    if rows is None:
+        return materialize(df, name), None
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], df.schema), rows
+
+
+def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> tuple[DataFrame, int]:
     """One row per stratum and cut that lies behind some row: __cut, the hash
     prefix of the rows around it (__p), how many rows of that prefix come up
-    to it (__want), and how many there are (__c)."""
+    to it (__want), and how many there are (__c); and the prefix's length."""
     digits = ROUND_DIGITS[0]
     counts = narrow.groupBy("__s", F.substring("__h", 1, digits).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
     within = Window.partitionBy("__s")
@@ -159,8 +167,11 @@ def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> Data
     buckets = buckets.select(
         "__s", F.col("__at.cut").alias("__cut"), "__p", (F.col("__at.at") - F.col("__before")).alias("__want"), "__c"
     )
-    buckets = materialize(buckets, "strata_buckets")
-    while digits < HASH_DIGITS and (buckets.agg(F.max("__c")).first()[0] or 0) > target_rows:
+    buckets, rows = _settled(buckets, "strata_buckets")
+    while digits < HASH_DIGITS:
+        largest = buckets.agg(F.max("__c")).first()[0] if rows is None else max((r["__c"] for r in rows), default=0)
+        if largest <= target_rows:
+            break
         finer = min(HASH_DIGITS, digits + ROUND_DIGITS[1])
         counts = _rows_of(narrow, buckets, digits).groupBy(
             "__s", "__p", F.substring("__h", 1, finer).alias("__q")
@@ -175,8 +186,8 @@ def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> Data
         ).select(
             "__s", "__cut", F.col("__q").alias("__p"), (F.col("__want") - F.col("__before")).alias("__want"), F.col("__d").alias("__c")
         )
-        buckets, digits = materialize(buckets, "strata_buckets"), finer
-    return buckets
+        (buckets, rows), digits = _settled(buckets, "strata_buckets"), finer
+    return buckets, digits
 
 
 def _rows_of(narrow: DataFrame, buckets: DataFrame, digits: int) -> DataFrame:
@@ -187,10 +198,9 @@ def _rows_of(narrow: DataFrame, buckets: DataFrame, digits: int) -> DataFrame:
     return rows.join(wanted, F.col("__s").eqNullSafe(F.col("__s1")) & (F.col("__p") == F.col("__p1")), "left_semi")
 
 
-def _boundaries(narrow: DataFrame, buckets: DataFrame, keys: list[str], n_cuts: int) -> DataFrame:
+def _boundaries(narrow: DataFrame, buckets: DataFrame, keys: list[str], n_cuts: int, digits: int) -> DataFrame:
     """One row per stratum: __s and, per cut, the position (hash, keys) of
     the last row before it (__b0, ...); no row for a stratum without any."""
-    digits = buckets.agg(F.max(F.length("__p"))).first()[0] or ROUND_DIGITS[0]
     rows = _rows_of(narrow, buckets, digits)
     position = F.struct("__h", *keys)
     ranked = rows.select("__s", "__p", position.alias("__at")).withColumn(
