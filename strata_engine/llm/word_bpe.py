@@ -1,9 +1,8 @@
 """Token ids of whole texts by a word-level BPE tokenizer file.
 
 The tokenizer drops white space and never merges across it, so a text's ids
-are those of its words in order. Words recur, so each task keeps the ids of
-the words it has met (up to a bound) and asks the tokenizer only for new
-ones.
+are those of its words in order. Words recur, so a worker keeps the ids of the
+words it has met (up to a bound) and asks the tokenizer only for new ones.
 """
 
 from __future__ import annotations
@@ -13,28 +12,30 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from strata_engine.llm.common import arrow_schema, begin, give_back, keeps, named, slices, text_bytes
+from strata_engine.llm.common import arrow_schema, begin, give_back, keeps, named, slices
 
 # Words whose ids a Python worker keeps; beyond that they are asked for anew.
-MAX_CACHED_WORDS = 600_000
+MAX_CACHED_WORDS = 300_000
 # ASCII signs that the tokenizer's pattern takes as one run (an apostrophe
 # may belong to a contraction).
-SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Bytes of text whose words are looked up together.
-SLICE = 3_000_000
+SLICE = 2_000_000
 
 
 class WordEncoder:
-    """Little-endian 32-bit ids of UTF-8 texts, with a cache by word."""
+    """Ids of texts, with a cache by word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[bytes, bytes] = {}
+        self.cache: dict[str, bytes] = {}
         mark = self._ask(["\0"])[0]
         # between two marks stand the ids of one word; none holds a mark itself
         self.mark = int(np.frombuffer(mark, "<u4")[0]) if len(mark) == 4 else None
@@ -43,16 +44,16 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        plain = [w for w in words if b"\0" not in w] if self.mark is not None else []
-        odd = set(words).difference(plain)
-        out = dict(zip(odd, self._ask([w.decode() for w in odd]))) if odd else {}
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        plain = [w for w in words if w and "\0" not in w] if self.mark is not None else []
+        odd = list(set(words).difference(plain))
+        out = dict(zip(odd, self._ask(odd))) if odd else {}
         for i in range(0, len(plain), 2_000):
             part = plain[i : i + 2_000]
-            ids = np.frombuffer(self._ask([" \0 ".join(w.decode() for w in part)])[0], "<u4")
+            ids = np.frombuffer(self._ask([" \0 ".join(part)])[0], "<u4")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
             if len(ends) != len(part):  # not a tokenizer that takes marks apart: word by word
-                out.update(zip(part, self._ask([w.decode() for w in part])))
+                out.update(zip(part, self._ask(part)))
                 continue
             data, start = ids.tobytes(), 0
             for w, end in zip(part, ends.tolist()):
@@ -60,26 +61,14 @@ class WordEncoder:
                 start = end + 1
         return out
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        # ASCII case does not matter to a lower-casing tokenizer: fewer words to keep
-        words = [(t or b"").lower().split() for t in texts]
-        known = self.cache
-        learned = self._learn_all(set().union(*words).difference(known))
-        known.update(learned)
-        made = [b"".join(map(known.__getitem__, ws)) for ws in words]
-        if len(known) > MAX_CACHED_WORDS:
-            for w in learned:
-                del known[w]
-        return made
-
-    def _learn_all(self, new: set[bytes]) -> dict[bytes, bytes]:
+    def _learn_all(self, new: set[str]) -> dict[str, bytes]:
         """Ids of new words. Signs that end a word after an ASCII letter are
         one pre-token of their own: such a word is the word without them,
         then the signs."""
         ends = {}
         for w in new:
             stem = w.rstrip(SIGNS)
-            if len(stem) < len(w) and stem[-1:].isalpha():
+            if len(stem) < len(w) and "a" <= stem[-1:] <= "z":
                 ends[w] = (stem, w[len(stem) :])
         plain = new.difference(ends).union(*ends.values()).difference(self.cache)
         learned = self._learn(list(plain)) if plain else {}
@@ -87,6 +76,31 @@ class WordEncoder:
             learned[w] = b"".join([learned[x] if x in learned else self.cache[x] for x in parts])
         return learned
 
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's end).
+        Words are split, lower-cased and numbered by Arrow; only the distinct
+        ones of ``texts`` become Python objects. ASCII case and white space do
+        not matter to the tokenizer."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        numbered = lists.flatten().dictionary_encode()
+        words, number = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
+        known = self.cache
+        learned = self._learn_all(set(words).difference(known))
+        known.update(learned)
+        data = list(map(known.__getitem__, words))
+        if len(known) > MAX_CACHED_WORDS:
+            for w in learned:
+                del known[w]
+        sizes = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[number]
+        ends = np.cumsum(each)
+        # ids of the k-th word: sizes[k] places from starts[k] on
+        at = np.repeat(starts[number] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(data), "<u4")[at]
+        last = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        return ids, np.append(0, ends)[last]
+
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> WordEncoder:
@@ -108,7 +122,7 @@ def token_pieces(
     longer ones are cut, into pieces of ``max_tokens``. A null or empty text
     is one piece holding ``end_id``. The tokenizer must lower-case and drop
     white space; other columns are ignored."""
-    src = named(docs, doc_id=id_col, text=text_col).withColumn("text", text_bytes("text"))
+    src = named(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     kind = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     schema += ", ids array<int>" if with_ids else ""
@@ -121,8 +135,9 @@ def token_pieces(
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
-                for row, data in enumerate(encode(part.column("text").to_pylist())):
-                    data += end
+                found, ends = encode(part.column("text"))
+                for row, (a, b) in enumerate(zip(np.append(0, ends).tolist(), ends.tolist())):
+                    data = found[a:b].tobytes() + end
                     for n, at in enumerate(range(0, len(data), 4 * max_tokens)):
                         held = data[at : at + 4 * max_tokens]
                         rows.append(row)

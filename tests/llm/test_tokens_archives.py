@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -95,7 +96,9 @@ def test_full_cache_changes_nothing(monkeypatch, word_ids):
     encoder = word_bpe.WordEncoder(WORDS)
     texts = ["one two, three. four", "two, five six seven", "a\0b \0 one", "one two, three. four"]
     for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])] == list(map(word_ids, texts))
+        ids, ends = encoder.encode(pa.array(["skipped", *texts, None, " \t a  b "])[1:])
+        got = [ids[a:b].tolist() for a, b in zip([0, *ends], ends)]
+        assert got == [*map(word_ids, texts), [], word_ids("a b")]
 
 
 def brute_fullest(counts, space):
