@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 # Texts of a batch handled at once inside a task; bounds what a Python
 # worker holds besides the Arrow batch itself.
 SLICE_BYTES = 1_000_000
+# Rows of an Arrow batch.
+TEXT_BATCH_ROWS = 1_000
 
 
 def give_back() -> None:
@@ -47,9 +49,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower (never raise) the session's Arrow batch size. Rows here are whole
+    documents: a batch of 10,000 would be tens of MB, held several times over
+    by every task and its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_BATCH_ROWS:
+        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+
+
 def named(df: DataFrame, **columns: str) -> DataFrame:
     """Keep only ``columns`` (new name = old name): extra columns of the
-    caller's table, whatever their names, never meet our own."""
+    caller's table, whatever their names, never meet our own. Every operator
+    starts here, so here the batch size is lowered, too."""
+    small_batches(df.sparkSession)
     return df.select(*[df[f"`{old}`"].alias(new) for new, old in columns.items()])
 
 
@@ -124,6 +137,7 @@ def free_name(df: DataFrame, wanted: str) -> str:
 def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable[[list], Sequence]], binary: bool = False) -> DataFrame:
     """The rows of ``df``, all columns as they are, for whose texts the
     per-task function gives true; no join, no shuffle."""
+    small_batches(df.sparkSession)
     copy, verdict = free_name(df, "text_copy"), free_name(df, "verdict")
     kind = F.col(f"`{text}`").cast("string")
     with_copy = df.withColumn(copy, kind.cast("binary") if binary else kind)

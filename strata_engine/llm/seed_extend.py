@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata_engine.llm.common import arrow_schema, begin, give_back, named, slices, text_bytes
+from strata_engine.llm.common import arrow_schema, begin, give_back, named, slices, small_batches, text_bytes
 from strata_engine.llm.packed import by_bucket, shared_here, shared_of_all, split_hits, spread, unpack
 from strata_engine.session import fits_broadcast, materialize
 
@@ -333,6 +333,7 @@ def deduplicate(
     (of the smallest digest) is compared, the others are returned whole;
     alike rows get the same. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     spans = repeats(docs, id_col, text_col, min_words, gram)
     carried = F.struct(*[docs[f"`{c}`"].alias(c) for c in carry] or [F.lit(None).cast("int").alias("none")])
     src = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].alias("text"), carried.alias("carried"))

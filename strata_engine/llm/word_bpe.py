@@ -30,9 +30,11 @@ SLICE = 2_000_000
 class WordEncoder:
     """Ids of texts, with a cache by word."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = MAX_CACHED_WORDS):
         from tokenizers import Tokenizer
 
+        self.cached_words = cached_words
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.cache: dict[str, bytes] = {}
@@ -88,7 +90,7 @@ class WordEncoder:
         learned = self._learn_all(set(words).difference(known))
         known.update(learned)
         data = list(map(known.__getitem__, words))
-        if len(known) > MAX_CACHED_WORDS:
+        if len(known) > self.cached_words:
             for w in learned:
                 del known[w]
         sizes = np.fromiter(map(len, data), np.int64, len(data)) // 4
@@ -103,9 +105,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, cached_words: int) -> WordEncoder:
     keeps("word_bpe", _encoder.cache_clear)
-    return WordEncoder(path)
+    return WordEncoder(path, cached_words)
 
 
 def token_pieces(
@@ -116,12 +118,15 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    cached_words: int = MAX_CACHED_WORDS,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, unless ``with_ids`` is
     off, ids (array<int>): the ids of every whole text, then ``end_id``; only
     longer ones are cut, into pieces of ``max_tokens``. A null or empty text
     is one piece holding ``end_id``. The tokenizer must lower-case and drop
-    white space; other columns are ignored."""
+    white space; other columns are ignored. ``cached_words`` and
+    ``slice_bytes`` trade a worker's memory for time, nothing else."""
     src = named(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     kind = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -131,9 +136,9 @@ def token_pieces(
 
     def cut(batches):
         begin("word_bpe")
-        encode = _encoder(path).encode
+        encode = _encoder(path, cached_words).encode
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in slices(batch, "text", slice_bytes):
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
                 found, ends = encode(part.column("text"))
                 for row, (a, b) in enumerate(zip(np.append(0, ends).tolist(), ends.tolist())):

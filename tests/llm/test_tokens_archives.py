@@ -91,9 +91,8 @@ def test_word_ids_equal_the_tokenizers(documents, awkward, word_ids):
     assert word_bpe.token_pieces(documents([]), WORDS, 100).count() == 0
 
 
-def test_full_cache_changes_nothing(monkeypatch, word_ids):
-    monkeypatch.setattr(word_bpe, "MAX_CACHED_WORDS", 3)
-    encoder = word_bpe.WordEncoder(WORDS)
+def test_full_cache_changes_nothing(word_ids):
+    encoder = word_bpe.WordEncoder(WORDS, cached_words=3)
     texts = ["one two, three. four", "two, five six seven", "a\0b \0 one", "one two, three. four"]
     for _ in range(2):
         ids, ends = encoder.encode(pa.array(["skipped", *texts, None, " \t a  b "])[1:])
