@@ -49,7 +49,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the token pieces of all texts into sequences."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bin_slack.pack(word_bpe.token_pieces(docs, path, SEQUENCE_TOKENS, with_ids=False), SEQUENCE_TOKENS)
+    # a smaller word cache: executors still hold what earlier stages needed
+    pieces = word_bpe.token_pieces(
+        docs, path, SEQUENCE_TOKENS, with_ids=False, cached_words=50_000, slice_bytes=500_000
+    )
+    return bin_slack.pack(pieces, SEQUENCE_TOKENS)
 
 
 STAGES = [
