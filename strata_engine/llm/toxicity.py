@@ -100,9 +100,12 @@ def train(
         share = float(toxic.mean()) if len(texts) else 0.0
         return ToxicityModel({}, float(np.clip(np.log((share + 1e-3) / (1 - share + 1e-3)), -7, 7)))
 
-    held = [features_of(t) for t in texts]
-    known = Counter(f for h in held for f in h)
-    in_toxic = Counter(f for h, bad in zip(held, toxic) if bad for f in h)
+    known, in_toxic = Counter(), Counter()
+    for t, bad in zip(texts, toxic):
+        features = features_of(t)
+        known.update(features)
+        if bad:
+            in_toxic.update(features)
     often = sorted(f for f, n in known.items() if n >= min_docs)
 
     def association(f: str) -> float:
@@ -112,13 +115,16 @@ def train(
 
     often = sorted(often, key=association, reverse=True)[:max_features]
     vocabulary = {f: i for i, f in enumerate(sorted(often))}
+    del known, in_toxic
+    # only features of the vocabulary are kept per text
+    held = [features_of(t).intersection(vocabulary) for t in texts]
     def sparse(sets):
         """Row and column numbers of the ones of a 0/1 matrix."""
         pairs = [(r, vocabulary[w]) for r, s in enumerate(sets) for w in sorted(s) if w in vocabulary]
         return (np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
 
     rows, cols = sparse(held)
-    swaps = [(h, features_of(c)) for t, h in zip(texts, held) for c in counterfactuals(t)]
+    swaps = [(h, features_of(c).intersection(vocabulary)) for t, h in zip(texts, held) for c in counterfactuals(t)]
     gone, come = sparse([b - a for b, a in swaps]), sparse([a - b for b, a in swaps])
     d_rows, d_cols = np.concatenate([gone[0], come[0]]), np.concatenate([gone[1], come[1]])
     d_sign = np.concatenate([np.ones(len(gone[0])), -np.ones(len(come[0]))])
@@ -176,9 +182,9 @@ def fit(
     rows = rows.select("doc_id", "toxic", F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(sample_keys(rows, "doc_id", "text", sample_rows)), "doc_id", "left_semi")
     rows = rows.orderBy("doc_id", "toxic", "text")
-    texts, toxic = [], []
+    texts, toxic, shared = [], [], {}
     for r in rows.limit(sample_rows).toLocalIterator():  # only the word sets are kept
-        texts.append(words_of(r["text"]))
+        texts.append({shared.setdefault(w, w) for w in words_of(r["text"])})
         toxic.append(r["toxic"] == 1)
     return train(texts, np.array(toxic, bool))
 
