@@ -172,7 +172,7 @@ def test_clean_scratch_removes_this_applications_tables(spark, tmp_path):
 
     written = session.materialize(spark.range(5), "gone")
     folder = urlparse(os.path.dirname(os.path.dirname(written.inputFiles()[0]))).path
-    other = os.path.join(os.path.dirname(folder), "another-application")
+    other = os.path.join(os.path.dirname(folder), f"another-{os.path.basename(str(tmp_path))}-{os.getpid()}")
     os.makedirs(other)
     session.clean_scratch(spark)
     assert not os.path.exists(folder) and os.path.isdir(other)
