@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from strata_engine.llm import bin_slack, block_lstm, byte_bpe, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
+from strata_engine.llm import bin_slack, block_lstm, byte_bpe, filter_audit, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
 from strata_engine.session import scratch_path
 
@@ -97,6 +97,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -108,6 +112,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
@@ -174,4 +179,45 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM d
     """,
+    "op11_filter_audit": f"""
+        WITH l AS (
+            SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+        ), d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS.replace("[text]", "coalesce(text, '')")} AS w
+            FROM documents
+        ), f AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+                   || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+                   || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+                   || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                   || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+            FROM d LEFT JOIN l USING (doc_id)
+        ), m AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails
+        ), x AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+        ), orders AS (
+            SELECT filter_order, unnest(range(1, 6)) AS step
+            FROM (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e)
+            WHERE len(list_distinct(string_split(filter_order, ''))) = 5
+        ), cells AS (
+            SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter, n, good, toxic, fails,
+                   contains(fails, letter) AS hit,
+                   translate(substr(filter_order, 1, step - 1), fails, '') <> substr(filter_order, 1, step - 1) AS gone
+            FROM m, orders
+        ), sums AS (
+            SELECT part, filter_order, step, letter,
+                   coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (fails = letter), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+            FROM cells GROUP BY part, filter_order, step, letter
+        )
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+        FROM sums
+    """,
 }

@@ -48,7 +48,7 @@ def awkward_tables(spark, awkward, tmp_path_factory):
     return write(spark, tmp_path_factory.mktemp("awkward"), documents=docs, labels=labels, pages=pages, embeddings=vectors), docs
 
 
-ROWS = {"op1": "documents", "op2": "pages", "op3": "pages", "op4": "documents", "op5": "documents", "op7": "documents", "op8": "documents", "op10": "documents"}
+ROWS = {"op1": "documents", "op2": "pages", "op3": "pages", "op4": "documents", "op5": "documents", "op7": "documents", "op8": "documents", "op10": "documents", "op12": "documents", "op13": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
@@ -92,7 +92,7 @@ def test_query_on_empty_tables(spark, tmp_path, name):
 def test_query_matches_its_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     expected = con.sql(Q.ORACLE[name])
     got = Q.QUERIES[name](spark, folder)
