@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from strata_engine.llm import bin_slack, block_lstm, byte_bpe, filter_audit, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
+from strata_engine.llm import bin_slack, block_lstm, byte_bpe, filter_audit, fim_wavelet, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
 from strata_engine.session import scratch_path
 
@@ -101,6 +101,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim_wavelet.restore(fim_wavelet.transform(table(spark, sf_dir, "documents"), seed="1", plain_percent=10, spm_percent=20))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -113,6 +126,7 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_filter_audit": op11_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
@@ -220,4 +234,26 @@ ORACLE: dict[str, str] = {
                (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
         FROM sums
     """,
+    "op13_fill_in_middle": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+                   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+            FROM documents
+        ), c AS (
+            SELECT doc_id, t, n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                        WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM d
+        ), p AS (
+            SELECT doc_id, t, n, form, least(a, b) AS x, greatest(a, b) AS y,
+                   substr(t, 1, x) AS prefix, substr(t, x + 1, y - x) AS middle, substr(t, y + 1) AS suffix
+            FROM c
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p
+    """,
 }

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
 import pytest
 
-from strata_engine.llm import filter_audit
+from strata_engine.llm import filter_audit, fim_wavelet
 
 
 def test_lehmer_rank_is_the_position_among_all_permutations():
@@ -101,3 +103,68 @@ def test_audit_of_documents_equals_brute_force(spark, documents, awkward):
         assert r.good_lost == sum(n for k, n in hit.items() if k[2]) and r.toxic_lost == sum(n for k, n in hit.items() if k[3])
         assert r.redundant == sum(n for k, n in here.items() if f in k[1] and before & set(k[1]))
         assert r.unique_fails == sum(n for k, n in here.items() if k[1] == f)
+
+
+def test_wavelet_matrix_counts_and_selects():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 7, 8, 9, 300):
+        codes = rng.integers(0, 6, size).astype(np.uint8)
+        matrix = fim_wavelet.WaveletMatrix(codes, 3)
+        ends = np.arange(size + 1)
+        for wanted in ((0,), (5,), (1, 2, 4), (7,)):
+            held = np.isin(codes, wanted)
+            assert matrix.count(wanted, ends).tolist() == np.append(0, np.cumsum(held)).tolist()
+            places = np.flatnonzero(held)
+            assert matrix.select(wanted, np.arange(len(places) + 1)).tolist() == [*places.tolist(), size]
+
+
+def brute_units(text, unit):
+    """Where each unit begins, in code points."""
+    space = " \t\n\v\f\r"
+    if unit == "code_point":
+        return list(range(len(text)))
+    if unit == "word":
+        return [i for i, c in enumerate(text) if c not in space and (i == 0 or text[i - 1] in space)]
+    return [i for i in range(len(text)) if i == 0 or text[i - 1] == "\n"]
+
+
+def brute_fim(doc_id, text, unit, plain, spm):
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i : 8 * i + 8], 16) for i in range(4))
+    text = text or ""
+    begins = brute_units(text, unit)
+    n = len(begins)
+    if text == "" or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 100 - plain:
+        return n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    at = lambda k: 0 if k == 0 else len(text) if k == n else begins[k]
+    x, y, z = text[: at(a)], text[at(a) : at(b)], text[at(b) :]
+    if h4 % 100 < spm:
+        return n, "spm", a, b - a, f"<S>{z}<P>{x}<M>{y}"
+    return n, "psm", a, b - a, f"<P>{x}<S>{z}<M>{y}"
+
+
+@pytest.mark.parametrize("unit, plain, spm", [("code_point", 10, 20), ("word", 0, 50), ("line", 30, 100)])
+def test_fill_in_middle_equals_brute_force(documents, awkward, unit, plain, spm):
+    rng = random.Random(9)
+    docs = awkward + [(50, "a<P>b"), (51, "<S>"), (52, "x <M"), (53, "<P <S <M>")]
+    docs += [(1000 + i, "".join(rng.choice("aé中😀 \n<PSM>") for _ in range(rng.randrange(60)))) for i in range(300)]
+    made = fim_wavelet.transform(documents(docs), unit=unit, plain_percent=plain, spm_percent=spm)
+    rows = fim_wavelet.restore(made).collect()
+    assert Counter((r.doc_id, r.n, r.form, r.prefix_units, r.middle_units, r.output) for r in rows) == Counter(
+        (i, *brute_fim(i, t, unit, plain, spm)) for i, t in docs
+    )
+    assert Counter((r.doc_id, r.restored) for r in rows) == Counter((i, t or "") for i, t in docs)
+    assert {"psm", "spm", "plain"} >= {r.form for r in rows} and len({r.form for r in rows}) > 1
+    assert fim_wavelet.transform(documents([])).count() == 0
+
+
+def test_fill_in_middle_cuts_many_texts_of_one_slice_and_refuses_other_units(documents):
+    text = "über alles\nund é " * 9_000  # many slices' worth in one batch
+    docs = [(i, text[i:]) for i in range(12)]
+    rows = fim_wavelet.transform(documents(docs, extra=False).repartition(1)).collect()
+    assert Counter((r.doc_id, r.n, r.form, r.prefix_units, r.middle_units, r.output) for r in rows) == Counter(
+        (i, *brute_fim(i, t, "code_point", 10, 20)) for i, t in docs
+    )
+    with pytest.raises(ValueError):
+        fim_wavelet.transform(documents([]), unit="token")
