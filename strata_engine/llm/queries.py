@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from strata_engine.llm import bin_slack, block_lstm, byte_bpe, filter_audit, fim_wavelet, group_join, langid, quality_forest, seed_extend, toxicity, vantage_tree, warc_chain, word_bpe
+from strata_engine.llm import bin_slack, block_lstm, byte_bpe, filter_audit, fim_wavelet, group_join, langid, quality_forest, seed_extend, toxicity, trie_bpe, vantage_tree, warc_chain, word_bpe
 from strata_engine.llm.common import fold, table
 from strata_engine.session import scratch_path
 
@@ -101,6 +101,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return trie_bpe.decode(trie_bpe.encode(table(spark, sf_dir, "documents"), path, packed=True), path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim_wavelet.restore(fim_wavelet.transform(table(spark, sf_dir, "documents"), seed="1", plain_percent=10, spm_percent=20))
     return made.select(
@@ -126,6 +136,7 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_filter_audit": op11_filter_audit,
+    "op12_word_bpe": op12_word_bpe,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 

@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 
-from strata_engine.llm import filter_audit, fim_wavelet
+from strata_engine.llm import filter_audit, fim_wavelet, trie_bpe
+from strata_engine.llm import queries as Q
+
+from .conftest import words
+from .test_tokens_archives import awkward_runs
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def test_lehmer_rank_is_the_position_among_all_permutations():
@@ -168,3 +178,112 @@ def test_fill_in_middle_cuts_many_texts_of_one_slice_and_refuses_other_units(doc
     )
     with pytest.raises(ValueError):
         fim_wavelet.transform(documents([]), unit="token")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(WORDS)
+
+
+def odd_texts():
+    rng = random.Random(31)
+    special = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>"]
+    out = ["Stop. stop, STOP., it's, 1. 2, é. İ. K, ß.", "́a é, Å. Å", "Σας ΟΔΟΣ. ΟΔΟΣ", "a b c\x85d\x1ce", "it's we'LL <|endoftext|>'s"]
+    out += ["".join(rng.choice([*special, *"aAé.'s 1\n中"]) for _ in range(40)) for _ in range(200)]
+    out += ["".join(rng.choice("abcdefghinorst.,'!12é") for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    return out + awkward_runs()
+
+
+def test_trie_ids_equal_the_tokenizers_plain_call(documents, awkward, tokenizer):
+    texts = awkward + [(1000 + i, t) for i, t in enumerate(odd_texts())]
+    expected = Counter()
+    for i, t in texts:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids
+        expected[i, tuple(ids), tokenizer.decode(ids, skip_special_tokens=False)] += 1
+    assert any(49407 in k[1] for k in expected)
+    for packed in (False, True):
+        rows = trie_bpe.decode(trie_bpe.encode(documents(texts), WORDS, packed=packed), WORDS).collect()
+        ids = lambda r: np.frombuffer(bytes(r.ids), "<u4").tolist() if packed else r.ids  # noqa: E731, B023
+        assert Counter((r.doc_id, tuple(ids(r)), r.text) for r in rows) == expected
+    assert trie_bpe.decode(trie_bpe.encode(documents([]), WORDS), WORDS).count() == 0
+
+
+def test_special_strings_can_be_ordinary_text(tokenizer):
+    plain = Tokenizer.from_file(WORDS)
+    plain.encode_special_tokens = True
+    encoder = trie_bpe.TrieEncoder(WORDS, special_tokens=False)
+    texts = odd_texts()
+    ids, ends = encoder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_full_caches_and_small_tries_change_nothing(tokenizer, monkeypatch):
+    for name, value in (("CACHED_WORDS", 5), ("CACHED_PIECES", 3), ("CACHED_PAIRS", 7), ("TRIE_CHARS", 20), ("JOINED_WORDS", 2)):
+        monkeypatch.setattr(trie_bpe, name, value)
+    encoder = trie_bpe.TrieEncoder(WORDS)
+    texts = [*odd_texts()[:60], None, ""]
+    for _ in range(2):
+        ids, ends = encoder.encode(pa.array(["skipped", *texts])[1:])
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_shared_prefixes_are_computed_once(tokenizer):
+    encoder = trie_bpe.TrieEncoder(WORDS)
+    shared = "internationaliz"
+    trie = trie_bpe.Trie()
+    inserted = [shared + x for x in ("ed", "es", "ing", "ation", "ations")]
+    for w in inserted:
+        trie.insert(w)
+    assert len(trie.children) == 1 + len({w[:k] for w in inserted for k in range(1, len(w))})
+    got = trie.encode(encoder.merges)
+    assert got == {w: tokenizer.encode(w, add_special_tokens=False).ids for w in inserted}
+
+
+def test_trie_on_random_vocabularies():
+    """Any merge list learned in order: the trie equals plain BPE."""
+    rng = random.Random(17)
+    for trial in range(60):
+        alphabet = "abc"[: rng.randint(2, 3)]
+        vocab = {x: i for i, x in enumerate([*alphabet, *(c + "</w>" for c in alphabet)])}
+        merges, tokens = [], list(vocab)
+        for _ in range(rng.randint(1, 14)):
+            a, b = rng.choice([t for t in tokens if not t.endswith("</w>")]), rng.choice(tokens)
+            if a + b not in vocab:
+                vocab[a + b] = len(vocab)
+                tokens.append(a + b)
+                merges.append((a, b))
+        plain = Tokenizer(models.BPE(vocab, merges, end_of_word_suffix="</w>"))
+        model = trie_bpe.Merges({"type": "BPE", "vocab": vocab, "merges": [list(m) for m in merges], "end_of_word_suffix": "</w>"})
+        # tokens that their own merges do not give are never reached
+        trie, some = trie_bpe.Trie(), {"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(80)}
+        for w in some:
+            trie.insert(w)
+        assert trie.encode(model) == {w: plain.encode(w).ids for w in some}, trial
+
+
+def test_decoding_odd_ids_and_files_with_a_decoder(spark, tokenizer, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [320, 49407, 10**6, 530, -1]), (4, [-1])], "doc_id bigint, ids array<int>")
+    got = {r.doc_id: r.text for r in trie_bpe.decode(df, WORDS).collect()}
+    assert got == {1: None, 2: "", 3: tokenizer.decode([320, 49407, 530], skip_special_tokens=False), 4: ""}
+    other = Tokenizer(models.BPE({"a": 0, "b": 1, "a</w>": 2, "b</w>": 3, "ab</w>": 4}, [("a", "b</w>")], end_of_word_suffix="</w>"))
+    other.pre_tokenizer, other.decoder = pre_tokenizers.Whitespace(), decoders.BPEDecoder()
+    other.save(str(tmp_path / "t.json"))
+    docs = spark.createDataFrame([(1, "ab ba b")], "doc_id bigint, text string")
+    made = trie_bpe.decode(trie_bpe.encode(docs, str(tmp_path / "t.json")), str(tmp_path / "t.json")).first()
+    assert made.ids == other.encode("ab ba b").ids and made.text == other.decode(made.ids)
+    spec = json.loads((tmp_path / "t.json").read_text())["model"]
+    for change in ({"type": "WordPiece"}, {"dropout": 0.1}, {"continuing_subword_prefix": "##"}):
+        with pytest.raises(ValueError):
+            trie_bpe.Merges(spec | change)
+
+
+def test_query_op12_equals_the_library(spark, tmp_path, tokenizer):
+    rng = random.Random(2)
+    docs = [(i, words(rng, rng.randrange(80)) + rng.choice(["", " <|endoftext|> x", " É'S"])) for i in range(60)] + [(99, None)]
+    for name, schema in (("documents", "doc_id bigint, text string"),):
+        spark.createDataFrame(docs, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    for r in Q.QUERIES["op12_word_bpe"](spark, str(tmp_path)).collect():
+        ids = tokenizer.encode(dict(docs)[r.doc_id] or "", add_special_tokens=False).ids
+        text = tokenizer.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
