@@ -21,6 +21,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from strata_engine.operators.quality import enforce, observe_rules, report
 from strata_engine.operators.schema import check
+from strata_engine.operators.verdicts import KEPT, VERDICT, judge, observe_counts, read_kept, read_quarantined
 from strata_engine.sources.readers import BAD_VALUES
 from strata_engine.sources.writers import cluster_for_write, save_parquet
 
@@ -44,6 +45,12 @@ class Layer:
     # drop rows with a NULL in any column after counting them (run log:
     # rows_read, null_rows, and bad:<column> for a frame with BAD_VALUES)
     drop_nulls: bool = False
+    # keep the rows that fail a rule beside the layer, with the rules they
+    # fail (one write, see operators.verdicts); they stay out of ``frame``
+    quarantine: bool = False
+    # part of a published layer's identity: change it when what ``build``
+    # calls has changed (its own source text is looked at anyway)
+    revision: str = ""
 
 
 def layer(
@@ -55,6 +62,8 @@ def layer(
     schema_mode: str = "names_types",
     cluster: bool = True,
     drop_nulls: bool = False,
+    quarantine: bool = False,
+    revision: str = "",
 ) -> Callable[[Callable[[Mapping[str, DataFrame]], DataFrame]], Layer]:
     """Declare a layer on its build function::
 
@@ -66,7 +75,8 @@ def layer(
     """
     def wrap(fn: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Layer:
         return Layer(name, fn, dict(rules or {}), schema, list(partition_by), schema_mode,
-                     warn_rules=dict(warn_rules or {}), cluster=cluster, drop_nulls=drop_nulls)
+                     warn_rules=dict(warn_rules or {}), cluster=cluster, drop_nulls=drop_nulls,
+                     quarantine=quarantine, revision=revision)
     return wrap
 
 
@@ -80,9 +90,15 @@ class LayerResult:
     failed: dict[str, int]
     warned: dict[str, int] = field(default_factory=dict)
     lost: dict[str, int] = field(default_factory=dict)  # rows_read, null_rows, bad:<column>
+    quarantined: DataFrame | None = None  # with ``failed_rules``, if the layer keeps them
+    version: int | None = None  # of a published layer
+    resumed: bool = False  # a published layer that was up to date and not run
 
 
-def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame], root: str) -> LayerResult:
+def run_layer(
+    spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame], root: str, path: str | None = None
+) -> LayerResult:
+    """Run one layer into ``path`` (default: the folder of its name in ``root``)."""
     built = layer.build(inputs)
     columns = [c for c in built.columns if c != BAD_VALUES]
     warn = {f"warn:{k}": v for k, v in layer.warn_rules.items()}
@@ -103,13 +119,21 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
     if layer.schema is not None:
         declared = StructType.fromDDL(layer.schema) if isinstance(layer.schema, str) else layer.schema
         check(kept, declared, layer.schema_mode)
-    kept, obs_out = observe_rules(kept, {}, f"{layer.name}_out")
-    path = f"{root}/{layer.name}"
-    save_parquet(kept, path, partition_by=layer.partition_by, compression=layer.compression, cluster_by=())
-    # read with the written schema: no inference (an empty layer has no
-    # files), partition values keep their types; partition columns come
-    # back last, so restore the declared order
-    frame = spark.read.schema(kept.schema).parquet(path).select(*columns)
+    path = path or f"{root}/{layer.name}"
+    quarantined = None
+    if layer.quarantine:
+        judged = judge(observed, layer.rules)
+        judged, obs_out = observe_counts(judged, f"{layer.name}_out", rows=F.count_if(F.col(VERDICT) == KEPT))
+        save_parquet(judged, path, [VERDICT, *layer.partition_by], compression=layer.compression, cluster_by=())
+        frame = read_kept(spark, path, kept.schema)
+        quarantined = read_quarantined(spark, path, kept.schema)
+    else:
+        kept, obs_out = observe_rules(kept, {}, f"{layer.name}_out")
+        save_parquet(kept, path, partition_by=layer.partition_by, compression=layer.compression, cluster_by=())
+        # read with the written schema: no inference (an empty layer has no
+        # files), partition values keep their types; partition columns come
+        # back last, so restore the declared order
+        frame = spark.read.schema(kept.schema).parquet(path).select(*columns)
     m_in, m_out = obs_in.get, obs_out.get
     if "rows" in m_in and "rows" in m_out:
         counts = {k.split(":", 1)[1]: int(v) for k, v in m_in.items() if k.startswith("failed:")}
@@ -121,7 +145,7 @@ def run_layer(spark: SparkSession, layer: Layer, inputs: Mapping[str, DataFrame]
         rows_out = int(frame.count())
     failed = {k: v for k, v in counts.items() if not k.startswith("warn:")}
     warned = {k[len("warn:"):]: v for k, v in counts.items() if k.startswith("warn:")}
-    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed, warned, _losses(obs_read))
+    return LayerResult(layer.name, frame, path, rows_in, rows_out, failed, warned, _losses(obs_read), quarantined)
 
 
 def _losses(obs: Observation | None) -> dict[str, int]:

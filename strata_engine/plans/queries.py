@@ -30,6 +30,7 @@ from strata_engine.functions.numeric import round_half_away
 from strata_engine.operators import clean, profile, quality, report, scale, schema, split, strata, transform
 from strata_engine.plans import layers as L
 from strata_engine.plans import orders as OP
+from strata_engine.plans.publish import source_identity
 from strata_engine.session import materialize, scratch_path
 from strata_engine.sources import readers, writers
 
@@ -785,18 +786,20 @@ def group_summary(spark, sf):
 # 2.8 layers (the orders plan), run log, pipeline report, SQL over layers
 # ---------------------------------------------------------------------------
 
-_RUNS: dict[tuple[str, str], dict[str, L.LayerResult]] = {}
+_RUNS: dict[tuple[str, str, str], dict[str, L.LayerResult]] = {}
 _RUNS_LOCK = threading.Lock()
 
 
 def pipeline(spark: SparkSession, sf: str, fresh: bool = False) -> dict[str, L.LayerResult]:
-    """Run the orders plan once per (session, input) and reuse its saved
-    layers across queries; ``fresh`` forces a new run."""
-    key = (spark.sparkContext.applicationId, sf)
+    """Run the orders plan once per session, input path and state of its
+    files, and reuse its saved layers across queries; ``fresh`` forces a new
+    run."""
+    orders = table(spark, sf, "orders")
+    key = (spark.sparkContext.applicationId, sf, source_identity(orders))
     with _RUNS_LOCK:
         if fresh or key not in _RUNS:
             root = scratch_path(spark, "orders_layers")
-            _RUNS[key] = OP.run(spark, table(spark, sf, "orders"), root)
+            _RUNS[key] = OP.run(spark, orders, root)
         return _RUNS[key]
 
 
@@ -930,3 +933,7 @@ def category_proportions(spark, sf):
 def proportion_drift(spark, sf):
     p = quality.proportions(table(spark, sf, "customer"), "c_mktsegment", SEGMENT_EXPECTED, tolerance=0.01)
     return p.withColumns({"share": round_half_away("share", DEC), "abs_diff": round_half_away("abs_diff", DEC)})
+
+
+# further queries register themselves in the tables above
+from strata_engine.plans import queries_layers  # noqa: E402, F401
