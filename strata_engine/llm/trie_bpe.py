@@ -33,14 +33,27 @@ from pyspark.sql.types import BinaryType
 
 from strata_engine.llm.common import arrow_schema, begin, give_back, keeps, named, slices
 
-# Words, pieces and pairs of tokens a Python worker keeps; time only.
-CACHED_WORDS = 100_000
-CACHED_PIECES = 50_000
+# Words, pre-tokens, pairs of tokens and trie nodes that a Python worker keeps
+# between slices; they trade memory for time, nothing else.
+CACHED_WORDS = 200_000
+CACHED_PIECES = 200_000
 CACHED_PAIRS = 400_000
-# Characters of words that one trie takes.
-TRIE_CHARS = 200_000
+TRIE_NODES = 300_000
+# Pre-tokens inserted between two looks at the trie's size.
+PIECE_BLOCK = 5_000
 # Words given to the pre-tokenizer at once.
 JOINED_WORDS = 2_000
+# Bytes of text whose words are looked up together.
+SLICE = 2_000_000
+CODE_POINTS = 1 << 21
+
+# The normalizer and pre-tokenizer for which it is plain how an
+# ASCII word of signs, letters and signs comes apart (no apostrophes, as those
+# may belong to a contraction). With any other the library is asked.
+PLAIN_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*"""
+PLAIN_WORD = re.compile(rf"({SIGNS})([A-Za-z]+)({SIGNS})")
 
 
 class Merges:
@@ -74,6 +87,7 @@ class Merges:
             self.final = self.inner
         self.longest = max(map(len, text.values()), default=1)
         self._apart: dict[tuple[int | None, int], bool] = {}
+        self.known = self._apart.get
 
     def merged(self, symbols: tuple[int, ...]) -> list[int]:
         """Plain BPE: the pair of lowest rank, leftmost first, is merged until
@@ -103,69 +117,78 @@ class Merges:
 
 
 class Trie:
-    """Distinct words, character by character; a word's last character is
-    kept apart, as it is encoded with the end-of-word mark."""
-
-    def __init__(self):
-        self.children: list[dict[str, int] | None] = [None]
-        self.lasts: list[set[str] | None] = [None]
-
-    def insert(self, word: str) -> None:
-        node = 0
-        for c in word[:-1]:
-            below = self.children[node]
-            if below is None:
-                below = self.children[node] = {}
-            after = below.get(c)
-            if after is None:
-                after = below[c] = len(self.children)
-                self.children.append(None)
-                self.lasts.append(None)
-            node = after
-        if self.lasts[node] is None:
-            self.lasts[node] = set()
-        self.lasts[node].add(word[-1])
-
-    def encode(self, merges: Merges) -> dict[str, list[int]]:
-        """{word: ids} of all words, by one depth-first walk."""
-        inner, final, apart, longest = merges.inner, merges.final, merges.apart, merges.longest
-        # of the prefix of each length on the path: last token, its length
-        path: list[str] = []
-        tokens: list[int | None] = [None]
-        sizes = [0]
-
-        def last(window: str, depth: int, ends: dict[str, int]) -> tuple[int, int]:
-            """(last token, its length) of a prefix of ``depth`` characters."""
-            for size in range(len(window), 0, -1):
-                token = ends.get(window[-size:])
-                if token is not None and apart(tokens[depth - size], token):
-                    return token, size
-            raise ValueError(f"the vocabulary has no tokens for {window!r}")
-
-        out: dict[str, list[int]] = {}
-        stack = [(0, 0, "")]
-        while stack:
-            node, depth, c = stack.pop()
-            if depth:
-                del path[depth - 1 :], tokens[depth:], sizes[depth:]
-                path.append(c)
-                token, size = last("".join(path[-longest:]), depth, inner)
-                tokens.append(token)
-                sizes.append(size)
-            for end in self.lasts[node] or ():
-                window = "".join(path[1 - longest :] if longest > 1 else ()) + end
-                token, size = last(window, depth + 1, final)
-                ids, at = [token], depth + 1 - size
-                while at:
-                    ids.append(tokens[at])
-                    at -= sizes[at]
-                ids.reverse()
-                out["".join(path) + end] = ids
-            for c, after in (self.children[node] or {}).items():
-                stack.append((after, depth + 1, c))
+    """Prefixes of words, character by character, each with its state: the
+    last token and how many characters that has. A word's last character is
+    no node, as it is encoded with the end-of-word mark."""
+
+    def __init__(self, merges: Merges):
+        self.merges = merges
+        self.below: dict[int, int] = {}  # node * CODE_POINTS + character -> node
+        self.tokens: list[int | None] = [None]  # of each node; the root has none
+        self.sizes = [0]
+
+    def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
+        """{word: ids}. The words are inserted in sorted order, which walks
+        the trie depth first: the path from the root down to where a word
+        leaves the one before it stays, and only prefixes that no word had
+        before get a state of their own."""
+        merges, below, longest = self.merges, self.below, self.merges.longest
+        inner, final, known, apart = merges.inner.get, merges.final.get, merges.known, merges.apart
+        all_tokens, all_sizes = self.tokens, self.sizes
+        nodes, tokens, sizes = [0], [None], [0]  # along the path, by length of the prefix
+        out, before = {}, ""
+        for word in sorted(words):
+            n = len(word)
+            shared, most = 0, min(len(nodes), n) - 1
+            while shared < most and word[shared] == before[shared]:
+                shared += 1
+            del nodes[shared + 1 :], tokens[shared + 1 :], sizes[shared + 1 :]
+            for depth in range(shared + 1, n + 1):
+                if depth < n:
+                    edge = nodes[-1] * CODE_POINTS + ord(word[depth - 1])
+                    node = below.get(edge)
+                    if node is not None:
+                        nodes.append(node)
+                        tokens.append(all_tokens[node])
+                        sizes.append(all_sizes[node])
+                        continue
+                ends = inner if depth < n else final
+                for at in range(max(0, depth - longest), depth):
+                    token = ends(word[at:depth])
+                    if token is not None:
+                        fits = known((tokens[at], token))
+                        if apart(tokens[at], token) if fits is None else fits:
+                            break
+                else:
+                    raise ValueError(f"the vocabulary has no tokens for {word[:depth]!r}")
+                if depth < n:
+                    below[edge] = len(all_tokens)
+                    nodes.append(len(all_tokens))
+                    tokens.append(token)
+                    sizes.append(depth - at)
+                    all_tokens.append(token)
+                    all_sizes.append(depth - at)
+            ids = [token]
+            while at:
+                ids.append(tokens[at])
+                at -= sizes[at]
+            ids.reverse()
+            out[word] = ids
+            before = word
         return out
 
 
+def _comes_apart_plainly(spec: dict) -> bool:
+    normalizer, splitter = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    kinds = [x.get("type") for x in normalizer.get("normalizers", [])]
+    steps = splitter.get("pretokenizers", [])
+    if kinds != PLAIN_NORMALIZERS or [x.get("type") for x in steps] != ["Split", "ByteLevel"]:
+        return False
+    split, level = steps
+    whole = split["behavior"] == "Removed" and split["invert"] and not level["add_prefix_space"] and not level["use_regex"]
+    return whole and split["pattern"] == {"Regex": PLAIN_PATTERN} and normalizer["normalizers"][1]["pattern"] == {"Regex": "\\s+"}
+
+
 class TrieEncoder:
     """Ids of texts as the tokenizer file has them. Words (runs without ASCII
     white space) must not influence each other: true of normalizers and
@@ -176,7 +199,10 @@ class TrieEncoder:
 
         tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.merges = Merges(json.load(f)["model"])
+            spec = json.load(f)
+        self.merges = Merges(spec["model"])
+        self.trie = Trie(self.merges)
+        self.plain_word = PLAIN_WORD.fullmatch if _comes_apart_plainly(spec) else lambda word: None
         self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
         added = tokenizer.get_added_tokens_decoder() if special_tokens else {}
         if any(t.normalized or t.single_word for t in added.values()):
@@ -198,7 +224,15 @@ class TrieEncoder:
         """Pre-tokens and special ids of each word, in order."""
         out: dict[str, list[str | int]] = {}
         special = self.special_pattern
-        plain = [w for w in words if special is None or not special.search(w)]
+        asked = []
+        for w in words:
+            if special is None or not special.search(w):
+                if found := self.plain_word(w):
+                    head, stem, tail = found.groups()
+                    out[w] = [x for x in (head, stem.lower(), tail) if x]
+                else:
+                    asked.append(w)
+        plain = asked
         for i in range(0, len(plain), JOINED_WORDS):
             some = plain[i : i + JOINED_WORDS]
             joined = self._normal(" ".join(some))
@@ -211,7 +245,7 @@ class TrieEncoder:
                     out[some[k]].append(piece)
             else:  # some word holds other white space
                 out.update((w, [piece for piece, _ in self._pre_tokens(self._normal(w))]) for w in some)
-        for w in set(words).difference(plain):
+        for w in set(words).difference(out):
             parts: list[str | int] = []
             for text in special.split(w):
                 if text in self.special:
@@ -221,22 +255,16 @@ class TrieEncoder:
             out[w] = parts
         return out
 
-    def _encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Ids of distinct pre-tokens, by tries of bounded size. Sorted, so
-        pieces that begin alike meet in one trie."""
+    def _encode_pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of distinct pre-tokens by the trie; a full one is given up
+        before the next block of pieces."""
         out: dict[str, bytes] = {}
-        trie, held = Trie(), 0
-
-        def walk() -> None:
-            out.update((w, np.array(ids, "<u4").tobytes()) for w, ids in trie.encode(self.merges).items())
-
-        for piece in sorted(pieces):
-            if held and held + len(piece) > TRIE_CHARS:
-                walk()
-                trie, held = Trie(), 0
-            trie.insert(piece)
-            held += len(piece)
-        walk()
+        some = sorted(pieces)  # blocks of neighbours share most prefixes
+        for i in range(0, len(some), PIECE_BLOCK):
+            if len(self.trie.tokens) > TRIE_NODES:
+                self.trie = Trie(self.merges)
+            for word, ids in self.trie.encode(some[i : i + PIECE_BLOCK]).items():
+                out[word] = np.array(ids, "<u4").tobytes()
         return out
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
@@ -298,7 +326,7 @@ def encode(
         begin("trie_bpe")
         encoder = _encoder(path, special_tokens)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 flat, ends = encoder.encode(part.column("text"))
                 bounds = np.append(0, ends)
                 if packed:

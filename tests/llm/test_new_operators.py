@@ -218,7 +218,7 @@ def test_special_strings_can_be_ordinary_text(tokenizer):
 
 
 def test_full_caches_and_small_tries_change_nothing(tokenizer, monkeypatch):
-    for name, value in (("CACHED_WORDS", 5), ("CACHED_PIECES", 3), ("CACHED_PAIRS", 7), ("TRIE_CHARS", 20), ("JOINED_WORDS", 2)):
+    for name, value in (("CACHED_WORDS", 5), ("CACHED_PIECES", 3), ("CACHED_PAIRS", 7), ("TRIE_NODES", 20), ("PIECE_BLOCK", 3), ("JOINED_WORDS", 2)):
         monkeypatch.setattr(trie_bpe, name, value)
     encoder = trie_bpe.TrieEncoder(WORDS)
     texts = [*odd_texts()[:60], None, ""]
@@ -230,13 +230,14 @@ def test_full_caches_and_small_tries_change_nothing(tokenizer, monkeypatch):
 def test_shared_prefixes_are_computed_once(tokenizer):
     encoder = trie_bpe.TrieEncoder(WORDS)
     shared = "internationaliz"
-    trie = trie_bpe.Trie()
-    inserted = [shared + x for x in ("ed", "es", "ing", "ation", "ations")]
-    for w in inserted:
-        trie.insert(w)
-    assert len(trie.children) == 1 + len({w[:k] for w in inserted for k in range(1, len(w))})
-    got = trie.encode(encoder.merges)
-    assert got == {w: tokenizer.encode(w, add_special_tokens=False).ids for w in inserted}
+    some = [shared + x for x in ("ed", "es", "ing", "ation", "ations")]
+    trie = trie_bpe.Trie(encoder.merges)
+    got = trie.encode(some)
+    assert len(trie.tokens) == 1 + len({w[:k] for w in some for k in range(1, len(w))})
+    assert got == {w: tokenizer.encode(w, add_special_tokens=False).ids for w in some}
+    more = [shared + "er", "international", "i"]
+    assert trie.encode(more) == {w: tokenizer.encode(w, add_special_tokens=False).ids for w in more}
+    assert len(trie.tokens) == 1 + len({w[:k] for w in some + more for k in range(1, len(w))})
 
 
 def test_trie_on_random_vocabularies():
@@ -255,10 +256,8 @@ def test_trie_on_random_vocabularies():
         plain = Tokenizer(models.BPE(vocab, merges, end_of_word_suffix="</w>"))
         model = trie_bpe.Merges({"type": "BPE", "vocab": vocab, "merges": [list(m) for m in merges], "end_of_word_suffix": "</w>"})
         # tokens that their own merges do not give are never reached
-        trie, some = trie_bpe.Trie(), {"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(80)}
-        for w in some:
-            trie.insert(w)
-        assert trie.encode(model) == {w: plain.encode(w).ids for w in some}, trial
+        some = {"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(80)}
+        assert trie_bpe.Trie(model).encode(some) == {w: plain.encode(w).ids for w in some}, trial
 
 
 def test_decoding_odd_ids_and_files_with_a_decoder(spark, tokenizer, tmp_path):
