@@ -46,3 +46,33 @@ def dense_index(df: DataFrame, order: Sequence[Column], out: str = "index", smal
         .withColumn(out, (F.col("__off") + local).cast("bigint"))
         .drop("__pid", "__mid", "__off")
     )
+
+
+def running_sum(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, out: str = "upto", small: bool | None = None
+) -> DataFrame:
+    """Add ``out``, the sum of ``value`` over the rows of the same ``by`` up
+    to and with this one in ``order`` (a total order within ``by``).
+
+    ``df`` should be written already; it is read twice. Few rows (checked)
+    take one window. More are range-sorted over all tasks: a task sums its
+    own rows, and what earlier tasks hold of the same ``by`` is added."""
+    if small is None:
+        small = fits_broadcast(df)
+    if small:
+        return df.withColumn(out, F.sum(value).over(Window.partitionBy(*by).orderBy(*order)))
+    sorted_df = materialize(df.orderBy(*by, *order).withColumn("__pid", F.spark_partition_id()), "running_sum")
+    within = Window.partitionBy("__pid", *by)
+    # one row per task and group that it holds a part of
+    sums = sorted_df.groupBy("__pid", *by).agg(F.sum(value).alias("__sum"))
+    before = F.sum("__sum").over(Window.partitionBy(*by).orderBy("__pid")) - F.col("__sum")
+    sums = materialize(sums.withColumn("__before", before).drop("__sum"), "task_sums")
+    names = {c: f"__by{i}" for i, c in enumerate(["__pid", *by])}
+    sums = sums.withColumnsRenamed(names)
+    sums = F.broadcast(sums) if fits_broadcast(sums) else sums
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    own = F.sum(value).over(within.orderBy(*order))
+    return (
+        sorted_df.withColumn(out, own).join(sums, same).withColumn(out, F.col(out) + F.col("__before"))
+        .drop("__pid", "__before", *names.values())
+    )

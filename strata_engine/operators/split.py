@@ -7,15 +7,17 @@
   approximate shares.
 * :func:`stratified_split` – exact shares per stratum: the rows of each
   stratum are ordered by the key hash and cut at rounded cumulative weights;
-  only the boundary rows are searched for, the table is read once.
+  only the boundary rows are searched for, among few candidates.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from strata_engine.functions.hashing import hash_hex, unit_hash
 from strata_engine.session import collect_small, fits_broadcast, materialize
@@ -110,19 +112,22 @@ def stratified_split(
     in all key columns go to the same arm, that of the first of them. NULL
     strata form a stratum.
 
-    Plan: the last row of each arm (the boundary) is found per stratum, then
-    one pass over ``df`` compares every row with its stratum's boundaries.
+    Plan: the last row of each arm (the boundary) is selected per stratum,
+    then one pass over ``df`` compares every row with its stratum's
+    boundaries. The selection reads ``df`` twice, stratum and key columns
+    only, however many rounds it takes:
 
     1. Rows are counted per stratum and leading hash digits (a partial
-       aggregate over stratum and key columns only, at most 256 rows per
-       stratum from each task); a running sum finds the bucket that holds
-       each cut.
-    2. While a cut's bucket has more than ``target_rows`` rows, the rows of
-       such buckets are counted by three more digits.
-    3. The rows of those small buckets are ranked, and the boundary row of
-       each cut is picked: one row per stratum.
-    4. ``df`` is joined with the boundaries. They are broadcast when their
-       size is under the session bound; only beyond it ``df`` is shuffled.
+       aggregate, at most 256 rows per stratum from each task). The counts
+       tell the bucket that holds each cut, and how far into it.
+    2. The rows of those buckets (about cuts / 256 of the table) are the
+       candidates. If no bucket has more than ``target_rows`` of them they
+       are ranked at once; else they are written, and rounds of counting by
+       three more digits narrow the buckets on what was written.
+
+    Counts and boundaries stay local when their size is under the session
+    bound, else they are written and joined; only beyond the bound for the
+    boundaries ``df`` is shuffled.
     """
     cuts = _cuts(weights)
     keys = [f"__k{i}" for i in range(len(key_cols))]
@@ -131,9 +136,12 @@ def stratified_split(
         hash_hex(key_cols, seed).alias("__h"),
         *[F.col(c).alias(k) for c, k in zip(key_cols, keys)],
     )
-    buckets, digits = _cut_buckets(narrow, cuts, target_rows)
-    bounds, small = _settled(_boundaries(narrow, buckets, keys, len(cuts), digits), "strata_bounds")
-    bounds = F.broadcast(bounds) if small is not None else bounds
+    narrow, buckets, rows, digits = _cut_buckets(narrow, cuts, target_rows)
+    if rows is not None and max((r[4] for r in rows), default=0) <= target_rows:  # local, bounded buckets
+        bounds = F.broadcast(_local_boundaries(narrow, rows, keys, len(cuts), digits))
+    else:
+        bounds, small = _settled(_boundaries(narrow, buckets, keys, len(cuts), digits), "strata_bounds")
+        bounds = F.broadcast(bounds) if small is not None else bounds
     # left: a row is never dropped; a cut without boundary lies before all rows
     joined = df.join(bounds, F.col(strata_col).eqNullSafe(bounds["__s"]), "left")
     position = F.struct(hash_hex(key_cols, seed).alias("__h"), *[F.col(c).alias(k) for c, k in zip(key_cols, keys)])
@@ -150,28 +158,29 @@ def _settled(df: DataFrame, name: str) -> tuple[DataFrame, list | None]:
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], df.schema), rows
 
 
-def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> tuple[DataFrame, int]:
-    """One row per stratum and cut that lies behind some row: __cut, the hash
-    prefix of the rows around it (__p), how many rows of that prefix come up
-    to it (__want), and how many there are (__c); and the prefix's length."""
+def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> tuple[DataFrame, DataFrame | None, list | None, int]:
+    """The rows among which the boundaries are (``narrow`` itself, or the
+    candidates of it, written), one row per stratum and cut that lies behind
+    some row: __cut, the hash prefix of the rows around it (__p), how many
+    rows of that prefix come up to it (__want), and how many there are
+    (__c), as a table, as local rows, or both; and the prefix's length."""
     digits = ROUND_DIGITS[0]
     counts = narrow.groupBy("__s", F.substring("__h", 1, digits).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
-    within = Window.partitionBy("__s")
-    upto = F.sum("__c").over(within.orderBy("__p"))
-    places = F.array(*[
-        F.struct(F.lit(i).alias("cut"), F.floor(F.lit(c) * F.col("__n") + F.lit(0.5)).alias("at")) for i, c in enumerate(cuts)
-    ]) if cuts else F.array().cast("array<struct<cut:int,at:bigint>>")
-    found = counts.select("__s", "__p", "__c", (upto - F.col("__c")).alias("__before"), F.sum("__c").over(within).alias("__n"))
-    found = found.select("__s", "__p", "__c", "__before", F.explode(places).alias("__at"))
-    buckets = found.where((F.col("__at.at") > F.col("__before")) & (F.col("__at.at") <= F.col("__before") + F.col("__c")))
-    buckets = buckets.select(
-        "__s", F.col("__at.cut").alias("__cut"), "__p", (F.col("__at.at") - F.col("__before")).alias("__want"), "__c"
-    )
-    buckets, rows = _settled(buckets, "strata_buckets")
+    rows = collect_small(counts)
+    if rows is not None:
+        rows = _local_buckets(rows, cuts)
+        if max((r[4] for r in rows), default=0) <= target_rows:
+            return narrow, None, rows, digits
+        buckets = narrow.sparkSession.createDataFrame(rows, _bucket_schema(narrow))
+    else:
+        buckets, rows = _settled(_buckets(materialize(counts, "strata_counts"), cuts), "strata_buckets")
+    narrowed = False
     while digits < HASH_DIGITS:
-        largest = buckets.agg(F.max("__c")).first()[0] if rows is None else max((r["__c"] for r in rows), default=0)
+        largest = buckets.agg(F.max("__c")).first()[0] or 0 if rows is None else max((r[4] for r in rows), default=0)
         if largest <= target_rows:
             break
+        if not narrowed:
+            narrow, narrowed = materialize(_rows_of(narrow, buckets, digits).drop("__p"), "strata_candidates"), True
         finer = min(HASH_DIGITS, digits + ROUND_DIGITS[1])
         counts = _rows_of(narrow, buckets, digits).groupBy(
             "__s", "__p", F.substring("__h", 1, finer).alias("__q")
@@ -187,7 +196,46 @@ def _cut_buckets(narrow: DataFrame, cuts: list[float], target_rows: int) -> tupl
             "__s", "__cut", F.col("__q").alias("__p"), (F.col("__want") - F.col("__before")).alias("__want"), F.col("__d").alias("__c")
         )
         (buckets, rows), digits = _settled(buckets, "strata_buckets"), finer
-    return buckets, digits
+    return narrow, buckets, rows, digits
+
+
+def _bucket_schema(narrow: DataFrame) -> StructType:
+    more = StructType.fromDDL("__cut int, __p string, __want bigint, __c bigint")
+    return StructType([StructField("__s", narrow.schema["__s"].dataType), *more.fields])
+
+
+def _local_buckets(counts: list, cuts: list[float]) -> list[tuple]:
+    """Rows (__s, __cut, __p, __want, __c) from counts on the driver."""
+    by_stratum: dict = {}
+    for r in counts:
+        by_stratum.setdefault(r["__s"], []).append((r["__p"], r["__c"]))
+    out = []
+    for stratum, held in by_stratum.items():
+        held.sort()
+        n = sum(c for _, c in held)
+        places = iter([(i, at) for i, c in enumerate(cuts) if 0 < (at := math.floor(c * n + 0.5))])
+        cut, before = next(places, None), 0
+        for prefix, c in held:
+            while cut is not None and cut[1] <= before + c:
+                out.append((stratum, cut[0], prefix, cut[1] - before, c))
+                cut = next(places, None)
+            before += c
+    return out
+
+
+def _buckets(counts: DataFrame, cuts: list[float]) -> DataFrame:
+    """The same from a table of counts beyond the session bound."""
+    within = Window.partitionBy("__s")
+    upto = F.sum("__c").over(within.orderBy("__p"))
+    places = F.array(*[
+        F.struct(F.lit(i).alias("cut"), F.floor(F.lit(c) * F.col("__n") + F.lit(0.5)).alias("at")) for i, c in enumerate(cuts)
+    ]) if cuts else F.array().cast("array<struct<cut:int,at:bigint>>")
+    found = counts.select("__s", "__p", "__c", (upto - F.col("__c")).alias("__before"), F.sum("__c").over(within).alias("__n"))
+    found = found.select("__s", "__p", "__c", "__before", F.explode(places).alias("__at"))
+    found = found.where((F.col("__at.at") > F.col("__before")) & (F.col("__at.at") <= F.col("__before") + F.col("__c")))
+    return found.select(
+        "__s", F.col("__at.cut").alias("__cut"), "__p", (F.col("__at.at") - F.col("__before")).alias("__want"), "__c"
+    )
 
 
 def _rows_of(narrow: DataFrame, buckets: DataFrame, digits: int) -> DataFrame:
@@ -198,6 +246,33 @@ def _rows_of(narrow: DataFrame, buckets: DataFrame, digits: int) -> DataFrame:
     return rows.join(wanted, F.col("__s").eqNullSafe(F.col("__s1")) & (F.col("__p") == F.col("__p1")), "left_semi")
 
 
+def _local_boundaries(narrow: DataFrame, buckets: list, keys: list[str], n_cuts: int, digits: int) -> DataFrame:
+    """As :func:`_boundaries`, for buckets on the driver that hold a bounded
+    number of rows each: a bucket's positions are sorted as one array."""
+    spark = narrow.sparkSession
+    wants: dict = {}
+    for stratum, cut, prefix, want, _ in buckets:
+        wants.setdefault((stratum, prefix), []).append((cut, want))
+    stratum = narrow.schema["__s"]
+    schema = StructType([
+        StructField("__s1", stratum.dataType), *StructType.fromDDL("__p1 string, __wants array<struct<cut:int,want:int>>").fields
+    ])
+    wanted = F.broadcast(spark.createDataFrame([(s, p, w) for (s, p), w in wants.items()], schema))
+    rows = narrow.withColumn("__p", F.substring("__h", 1, digits)).join(
+        wanted, F.col("__s").eqNullSafe(F.col("__s1")) & (F.col("__p") == F.col("__p1"))
+    )
+    sorted_rows = rows.groupBy("__s", "__p").agg(
+        F.array_sort(F.collect_list(F.struct("__h", *keys))).alias("__at"), F.first("__wants").alias("__wants")
+    )
+    found = sorted_rows.select("__s", "__at", F.explode("__wants").alias("__w"))
+    found = found.select("__s", F.col("__w.cut").alias("__cut"), F.element_at("__at", F.col("__w.want")).alias("__b"))
+    bounds: dict = {}
+    for r in found.collect():  # at most one row per bucket given
+        bounds.setdefault(r["__s"], [None] * n_cuts)[r["__cut"]] = r["__b"]
+    fields = [StructField(f"__b{i}", found.schema["__b"].dataType) for i in range(n_cuts)]
+    return spark.createDataFrame([(s, *b) for s, b in bounds.items()], StructType([StructField("__s", stratum.dataType), *fields]))
+
+
 def _boundaries(narrow: DataFrame, buckets: DataFrame, keys: list[str], n_cuts: int, digits: int) -> DataFrame:
     """One row per stratum: __s and, per cut, the position (hash, keys) of
     the last row before it (__b0, ...); no row for a stratum without any."""

@@ -128,9 +128,10 @@ def collect_small(df: DataFrame, limit: int | None = None) -> list | None:
     limit = broadcast_row_limit(spark) if limit is None else limit
     # coalesce(1) keeps Spark from running the limit as incremental "take"
     # jobs; the running sum ends the result at the first row over the bound
-    some = df.limit(limit + 1).coalesce(1)
-    running = F.sum(_row_bytes(df)).over(Window.partitionBy(F.lit(1)).orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, 0))
-    some = some.withColumn("__running", running).where(F.col("__running") - _row_bytes(df) <= _byte_limit(spark))
+    some = df.limit(limit + 1).coalesce(1).withColumn("__bytes", _row_bytes(df))
+    rest = Window.partitionBy(F.lit(1)).orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, 0)
+    some = some.withColumn("__running", F.sum("__bytes").over(rest))
+    some = some.where(F.col("__running") - F.col("__bytes") <= _byte_limit(spark)).drop("__bytes")
     rows = some.collect()
     if len(rows) > limit or (rows and max(r["__running"] for r in rows) > _byte_limit(spark)):
         return None
