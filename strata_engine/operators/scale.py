@@ -15,13 +15,16 @@ A NULL input gives NULL (the ML library would fail instead).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.functions.numeric import round_half_away
 
+# Per column min, max, mean and sd (None: undefined), as ``fit`` finds them.
+Fit = Mapping[str, Mapping[str, float | None]]
+
 KINDS = ("min_max", "z_score", "min_max_z")
 
 
@@ -44,11 +47,12 @@ def fit(df: DataFrame, cols: Sequence[str], missing: float | None = None) -> lis
             F.stddev_samp(x).alias(f"sd{i}"),
         ]
     row = df.agg(*aggs).first() if aggs else None
+    return _literals({c: {k: row[f"{k}{i}"] for k in ("min", "max", "mean", "sd")} for i, c in enumerate(cols)}, cols)
+
+
+def _literals(fitted: Fit, cols: Sequence[str]) -> list[dict[str, Column]]:
     lit = lambda v: F.lit(v).cast("double")  # noqa: E731 - NULL stays typed
-    return [
-        {k: lit(row[f"{k}{i}"]) for k in ("min", "max", "mean", "sd")}
-        for i in range(len(cols))
-    ]
+    return [{k: lit(fitted[c][k]) for k in ("min", "max", "mean", "sd")} for c in cols]
 
 
 def _null_if_null(x: Column, value: Column) -> Column:
@@ -81,8 +85,11 @@ def scale(
     decimals: int | None = None,
     missing: float | None = None,
     with_mean: bool = True,
+    fitted: Fit | None = None,
 ) -> DataFrame:
-    """Add scaled columns for every column and kind, from ONE fit.
+    """Add scaled columns for every column and kind, from ONE fit: one
+    aggregate over ``df``, or ``fitted`` (e.g. ``moments.to_fit``), which
+    takes no job.
 
     ``min_max`` → ``<col><norm_suffix>``; ``z_score`` (of the raw value) and
     ``min_max_z`` (of the min-max output, the production chain) →
@@ -92,7 +99,7 @@ def scale(
     if bad:
         raise ValueError(f"unknown kinds {bad}")
     out = {}
-    for c, s in zip(cols, fit(df, cols, missing)):
+    for c, s in zip(cols, fit(df, cols, missing) if fitted is None else _literals(fitted, cols)):
         x = _value(c, missing)
         span = s["max"] - s["min"]
         norm = _min_max_expr(x, s)

@@ -5,8 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata_engine.operators import summary
+from strata_engine.functions.numeric import round_half_away
+from strata_engine.operators import moments, scale, summary
 from strata_engine.plans.queries import DEC, LINEITEM_COLS, query, table
+from strata_engine.session import materialize, scratch_path
+from strata_engine.sources import writers
 
 # ---------------------------------------------------------------------------
 # 2.7 summary of all columns with exact quantiles
@@ -66,3 +69,71 @@ def summary_tails(spark, sf):
     are many."""
     cols = ["o_totalprice", "o_custkey", "o_orderkey"]
     return summary.summary(table(spark, sf, "orders"), cols, list(_TAILS.values()), decimals=DEC, accuracy=50)
+
+
+# ---------------------------------------------------------------------------
+# 2.5 fits that merge
+# ---------------------------------------------------------------------------
+
+_MOMENT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "far"]
+_FAR = "1000000000 + l_quantity"
+
+
+def _moments_sql(source: str, extra: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), {DEC}) AS mean, round(stddev_samp({c}), {DEC}) AS stddev, "
+        f"min({c}) AS min, max({c}) AS max{extra} FROM {source}"
+        for c in _MOMENT_COLS
+    )
+
+
+_MOMENT_SOURCE = f"(SELECT l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, {_FAR} AS far FROM lineitem)"
+
+
+def _moment_rows(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.withColumns({"l_discount": F.nullif("l_discount", F.lit(0.0)), "far": F.expr(_FAR)})
+
+
+def _told(merged):
+    rounded = {c: round_half_away(c, DEC) for c in ("mean", "stddev")}
+    return merged.withColumns(rounded).select("column_name", "n", "mean", "stddev", "min", "max")
+
+
+@query("moments_merge", _moments_sql(_MOMENT_SOURCE))
+def moments_merge(spark, sf):
+    """Moments fitted on two halves apart, saved, and merged: those of the
+    whole, also of a column whose mean is large against its spread."""
+    li = _moment_rows(spark, sf)
+    halves = [materialize(moments.moments(li.where(w), _MOMENT_COLS), "half") for w in ("l_orderkey % 3 = 0", "l_orderkey % 3 <> 0")]
+    return _told(moments.merge(halves[0].unionByName(halves[1])))
+
+
+@query("moments_update", _moments_sql(_MOMENT_SOURCE, ", 0 AS old_files_read"))
+def moments_update(spark, sf):
+    """A folder of files is fitted, more files come in, and the fit is brought
+    up to date from those alone (``old_files_read``)."""
+    li, data = _moment_rows(spark, sf), scratch_path(spark, "moment_files")
+    store = moments.MomentStore(spark, scratch_path(spark, "moment_store"), _MOMENT_COLS)
+    writers.save_parquet(li.where("l_linenumber <= 2"), data, ["l_linenumber"], cluster_by=())
+    store.update(data)
+    old = set(store.last_read)
+    writers.save_parquet(li.where("l_linenumber > 2"), data, ["l_linenumber"], mode="append", cluster_by=())
+    merged = store.update(data)
+    return _told(merged).withColumn("old_files_read", F.lit(len(old & set(store.last_read))))
+
+
+@query(
+    "scale_from_moments",
+    "SELECT o_orderkey, round((o_totalprice - mn) / (mx - mn), 6) AS o_totalprice_normalized, "
+    "round((o_totalprice - mean) / sd, 6) AS o_totalprice_standardized FROM orders, "
+    "(SELECT min(o_totalprice) AS mn, max(o_totalprice) AS mx, avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS sd FROM orders)",
+)
+def scale_from_moments(spark, sf):
+    """Min-max and z-score by a fit that was merged from one part per order
+    status; the table itself is read once, for the result."""
+    o = table(spark, sf, "orders")
+    parts = materialize(moments.moments(o, ["o_totalprice"], part="o_orderstatus"), "status_moments")
+    fitted = moments.to_fit(moments.merge(parts), ["o_totalprice"])
+    out = scale.scale(o, ["o_totalprice"], ("min_max", "z_score"), decimals=DEC, fitted=fitted)
+    return out.select("o_orderkey", "o_totalprice_normalized", "o_totalprice_standardized")
