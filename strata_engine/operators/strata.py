@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.operators.ranking import dense_index
@@ -32,6 +33,45 @@ def add_strata(
     return df.withColumn(out, strata_expr(cols, sep, null_token))
 
 
+ESCAPE = "\\"
+NULL_PART = ESCAPE + "N"
+
+
+def exact_strata_expr(cols: Sequence[str], sep: str = "_") -> Column:
+    """A stratum key from which its parts can be told again: inside a part
+    the separator and the escape sign are escaped, NULL is ``\\N``. Different
+    parts always give different keys, also where values hold the separator."""
+    if len(sep) != 1 or sep in (ESCAPE, "N"):
+        raise ValueError("the separator must be one character, neither a backslash nor N")
+    if not cols:
+        raise ValueError("a stratum needs at least one column")
+    parts = []
+    for c in cols:
+        text = F.replace(F.col(c).cast("string"), F.lit(ESCAPE), F.lit(ESCAPE * 2))
+        text = F.replace(text, F.lit(sep), F.lit(ESCAPE + sep))
+        parts.append(F.coalesce(text, F.lit(NULL_PART)))
+    return F.concat_ws(sep, *parts)
+
+
+def add_exact_strata(df: DataFrame, cols: Sequence[str], out: str = "demographic_strata", sep: str = "_") -> DataFrame:
+    """``out``: the key of :func:`exact_strata_expr`. Keys of values without
+    separator, backslash or NULL are those of :func:`add_strata`."""
+    return df.withColumn(out, exact_strata_expr(cols, sep))
+
+
+def split_strata(df: DataFrame, key: str, names: Sequence[str], sep: str = "_") -> DataFrame:
+    """Add the parts of an exact key as text columns ``names`` (NULL where a
+    part was NULL, and where the key has no such part)."""
+    quoted = re.escape(sep)
+    each = f"(?s){quoted}((?:\\\\.|[^\\\\{quoted}])*)"
+    parts = F.regexp_extract_all(F.concat(F.lit(sep), F.col(key)), F.lit(each), F.lit(1))
+    out = {}
+    for i, name in enumerate(names):
+        part = F.get(parts, F.lit(i))
+        out[name] = F.when(part != NULL_PART, F.regexp_replace(part, r"(?s)\\(.)", "$1"))
+    return df.withColumns(out)
+
+
 class NullLabel(ValueError):
     pass
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata_engine.operators import verdicts
+from strata_engine.operators import strata, verdicts
 from strata_engine.plans import orders as OP
 from strata_engine.plans import publish
 from strata_engine.plans.layers import Layer
-from strata_engine.plans.queries import LINEITEM_COLS, ORDERS_COLS, query, table
+from strata_engine.plans.queries import LINEITEM_COLS, ORDERS_COLS, PART_SCHEMA, query, table
 from strata_engine.session import scratch_path
+from strata_engine.sources import drift, readers, writers
 
 # ---------------------------------------------------------------------------
 # 2.3 one write, two sinks
@@ -126,3 +127,113 @@ def layer_resume(spark, sf):
         one = publish.read(spark, root, n).agg(F.count(F.lit(1)).alias("rows_out")).select(F.lit(n).alias("layer"), "rows_out")
         counts = one if counts is None else counts.unionByName(one)
     return told.join(counts, "layer")
+
+
+# ---------------------------------------------------------------------------
+# 2.1 clustered save with measured salts; files of differing layouts
+# ---------------------------------------------------------------------------
+
+ROWS_PER_FILE = 2000
+_SKEWED = "CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE concat('k', l_suppkey % 25) END"
+
+
+@query(
+    "salted_write",
+    f"SELECT {_SKEWED} AS k, count(*) AS n_rows, sum(l_orderkey)::BIGINT AS key_sum, true AS bounded_files, true AS few_files, "
+    f"true AS small_keys_whole FROM lineitem GROUP BY k",
+)
+def salted_write(spark, sf):
+    """A third of all rows under one key, written by as many tasks as the key
+    needs files; keys that fit into a file stay in one."""
+    li = table(spark, sf, "lineitem").withColumn("k", F.expr(_SKEWED))
+    path = scratch_path(spark, "salted")
+    writers.save_salted(li, path, ["k"], ROWS_PER_FILE)
+    files = readers.read_parquet(spark, path).groupBy("k", F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum")
+    )
+    n, needed = F.sum("n"), F.ceil(F.sum("n") / (writers.FILL * ROWS_PER_FILE))
+    return files.groupBy("k").agg(
+        n.alias("n_rows"),
+        F.sum("key_sum").alias("key_sum"),
+        (F.max("n") <= ROWS_PER_FILE).alias("bounded_files"),
+        (F.count(F.lit(1)) <= 2 * needed).alias("few_files"),
+        ((n > ROWS_PER_FILE) | (F.count(F.lit(1)) == 1)).alias("small_keys_whole"),
+    )
+
+
+def _drifted_files(spark, sf):
+    """`part` as CSV files of three layouts: as declared; columns in another
+    order with sizes that are no numbers; one column less and one more."""
+    part, root = table(spark, sf, "part"), scratch_path(spark, "drift")
+    names = PART_SCHEMA.fieldNames()
+    writers.save_csv(part.where("p_partkey % 3 = 0").select(*names), f"{root}/a")
+    odd = F.when(F.col("p_size") % 7 == 0, F.lit("n/a")).otherwise(F.col("p_size").cast("string")).alias("p_size")
+    writers.save_csv(part.where("p_partkey % 3 = 1").select(odd, *[n for n in reversed(names) if n != "p_size"]), f"{root}/b")
+    more = [n for n in names if n != "p_brand"]
+    writers.save_csv(part.where("p_partkey % 3 = 2").select(*more, F.lit("new, and quoted").alias("note, more")), f"{root}/c")
+    return f"{root}/*/*.csv"
+
+
+_MOVED_B = {"p_size": 1, "p_retailprice": 2, "p_type": 3, "p_brand": 4, "p_name": 5, "p_partkey": 6}
+_PLACES = [(n, i) for i, n in enumerate(PART_SCHEMA.fieldNames(), 1)]
+_DRIFT_SQL = " UNION ALL ".join(
+    [f"SELECT 'a' AS layout, '{n}' AS column_name, 'ok' AS status, {i} AS position, {i} AS expected_position, "
+     "count(*) FILTER (p_partkey % 3 = 0) AS n_rows, 0::BIGINT AS n_unparsed FROM part" for n, i in _PLACES]
+    + [f"SELECT 'b', '{n}', '{'ok' if _MOVED_B[n] == i else 'moved'}', {_MOVED_B[n]}, {i}, count(*) FILTER (p_partkey % 3 = 1), "
+       + ("count(*) FILTER (p_partkey % 3 = 1 AND p_size % 7 = 0)" if n == "p_size" else "0::BIGINT") + " FROM part" for n, i in _PLACES]
+    + [f"SELECT 'c', '{n}', '{'missing' if n == 'p_brand' else 'ok' if i < 3 else 'moved'}', "
+       f"{'NULL' if n == 'p_brand' else i if i < 3 else i - 1}, {i}, count(*) FILTER (p_partkey % 3 = 2), 0::BIGINT FROM part"
+       for n, i in _PLACES]
+    + ["SELECT 'c', 'note, more', 'extra', 6, NULL, count(*) FILTER (p_partkey % 3 = 2), 0::BIGINT FROM part"]
+)
+
+
+@query("csv_drift", _DRIFT_SQL)
+def csv_drift(spark, sf):
+    """Per-file report over a glob, summed by layout: columns missing, extra,
+    moved, and values that do not parse."""
+    report = drift.file_drift(spark, _drifted_files(spark, sf), PART_SCHEMA)
+    layout = F.regexp_extract("file", r"/([abc])/[^/]*$", 1).alias("layout")
+    return report.groupBy(layout, "column_name", "status", "position", "expected_position").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_unparsed").alias("n_unparsed")
+    )
+
+
+@query(
+    "csv_drift_read",
+    "SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 = 2 THEN NULL ELSE p_brand END AS p_brand, p_type, "
+    "CASE WHEN p_partkey % 3 = 1 AND p_size % 7 = 0 THEN NULL ELSE p_size END AS p_size, p_retailprice, "
+    "CASE WHEN p_partkey % 3 = 1 AND p_size % 7 = 0 THEN 'p_size' ELSE '' END AS bad FROM part",
+)
+def csv_drift_read(spark, sf):
+    """The same files as one table, each by its own header."""
+    back = drift.read_csv_drifted(spark, _drifted_files(spark, sf), PART_SCHEMA, bad_values="bad")
+    return back.withColumn("bad", F.array_join("bad", ","))
+
+
+# ---------------------------------------------------------------------------
+# 2.2 stratum keys that never collide
+# ---------------------------------------------------------------------------
+
+_A = "replace(o_orderpriority, '5-LOW', 'a\\-')"
+_B = "nullif(o_orderstatus, 'F')"
+
+
+def _escaped_sql(x: str) -> str:
+    return f"coalesce(replace(replace({x}, '\\', '\\\\'), '-', '\\-'), '\\N')"
+
+
+@query(
+    "strata_key_exact",
+    f"SELECT o_orderkey, concat({_escaped_sql(_A)}, '-', {_escaped_sql(_B)}) AS strata, {_A} AS part_a, {_B} AS part_b FROM orders",
+)
+def strata_key_exact(spark, sf):
+    """Keys of values that hold the separator, the escape sign and NULL; the
+    parts are read back off the key."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.replace("o_orderpriority", F.lit("5-LOW"), F.lit("a\\-")).alias("a"),
+        F.nullif("o_orderstatus", F.lit("F")).alias("b"),
+    )
+    keyed = strata.add_exact_strata(o, ["a", "b"], "strata", sep="-").drop("a", "b")
+    return strata.split_strata(keyed, "strata", ["part_a", "part_b"], sep="-")

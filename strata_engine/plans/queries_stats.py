@@ -3,12 +3,14 @@ merge, and the frequency index beyond the broadcast bound."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from strata_engine.functions.numeric import round_half_away
-from strata_engine.operators import moments, scale, summary
+from strata_engine.operators import moments, scale, strata, summary
 from strata_engine.plans.queries import DEC, LINEITEM_COLS, query, table
-from strata_engine.session import materialize, scratch_path
+from strata_engine.session import BROADCAST_ROWS_KEY, materialize, scratch_path
 from strata_engine.sources import writers
 
 # ---------------------------------------------------------------------------
@@ -137,3 +139,36 @@ def scale_from_moments(spark, sf):
     fitted = moments.to_fit(moments.merge(parts), ["o_totalprice"])
     out = scale.scale(o, ["o_totalprice"], ("min_max", "z_score"), decimals=DEC, fitted=fitted)
     return out.select("o_orderkey", "o_totalprice_normalized", "o_totalprice_standardized")
+
+
+# ---------------------------------------------------------------------------
+# 2.5 the frequency index beyond the broadcast bound
+# ---------------------------------------------------------------------------
+
+
+@contextmanager
+def _setting(spark, key, value):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+@query(
+    "string_index_wide",
+    "SELECT l_orderkey, l_linenumber, l_partkey, part_index FROM lineitem JOIN (SELECT l_partkey, "
+    "(row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) - 1)::DOUBLE AS part_index FROM lineitem GROUP BY l_partkey) "
+    "USING (l_partkey)",
+)
+def string_index_wide(spark, sf):
+    """The frequency index of a column with more values than the session's
+    broadcast bound (lowered here): labels are ranked across tasks and
+    joined by a shuffle."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    with _setting(spark, BROADCAST_ROWS_KEY, "100"):
+        return strata.frequency_index(li, "l_partkey", "part_index")
