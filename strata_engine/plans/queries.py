@@ -936,4 +936,4 @@ def proportion_drift(spark, sf):
 
 
 # further queries register themselves in the tables above
-from strata_engine.plans import queries_layers, queries_stats  # noqa: E402, F401
+from strata_engine.plans import queries_layers, queries_stats, queries_survey  # noqa: E402, F401
