@@ -267,4 +267,17 @@ ORACLE: dict[str, str] = {
                sha256(t) AS restored_sha256
         FROM p
     """,
+    "op9_neighbours": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20
+    """,
 }
