@@ -36,7 +36,7 @@ class WordEncoder:
         self.cached_words = cached_words
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         mark = self._ask(["\0"])[0]
         # between two marks stand the ids of one word; none holds a mark itself
@@ -70,7 +70,7 @@ class WordEncoder:
         ends = {}
         for w in new:
             stem = w.rstrip(SIGNS)
-            if len(stem) < len(w) and "a" <= stem[-1:] <= "z":
+            if len(stem) < len(w) and "a" <= stem[-1:] <= "z" and not any(x in w for x in self.special):
                 ends[w] = (stem, w[len(stem) :])
         plain = new.difference(ends).union(*ends.values()).difference(self.cache)
         learned = self._learn(list(plain)) if plain else {}
@@ -78,13 +78,30 @@ class WordEncoder:
             learned[w] = b"".join([learned[x] if x in learned else self.cache[x] for x in parts])
         return learned
 
+    def _case_matters(self, texts: pa.StringArray) -> bool:
+        marks = pc.match_substring(texts.cast(pa.binary()), b"\xcc")  # how U+0300 to U+033F begin
+        found = [marks, *(pc.match_substring(texts, x, ignore_case=True) for x in self.special)]
+        return any(pc.any(f).as_py() for f in found)
+
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text's end).
         Words are split, lower-cased and numbered by Arrow; only the distinct
         ones of ``texts`` become Python objects. ASCII case and white space do
-        not matter to the tokenizer."""
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-        numbered = lists.flatten().dictionary_encode()
+        not matter to the tokenizer, but for the strings of special tokens,
+        which are matched as they stand, and for letters that a combining
+        mark follows."""
+        texts = pc.fill_null(texts, "")
+        if self._case_matters(texts):
+            lists = pc.ascii_split_whitespace(texts)
+            words = lists.flatten()
+            as_it_is = pc.invert(pc.string_is_ascii(words))
+            for x in self.special:
+                as_it_is = pc.or_(as_it_is, pc.match_substring(words, x, ignore_case=True))
+            words = pc.if_else(as_it_is, words, pc.ascii_lower(words))
+        else:
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+            words = lists.flatten()
+        numbered = words.dictionary_encode()
         words, number = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
         known = self.cache
         learned = self._learn_all(set(words).difference(known))
@@ -124,8 +141,9 @@ def token_pieces(
     """doc_id, piece, start, length, ids_crc32 and, unless ``with_ids`` is
     off, ids (array<int>): the ids of every whole text, then ``end_id``; only
     longer ones are cut, into pieces of ``max_tokens``. A null or empty text
-    is one piece holding ``end_id``. The tokenizer must lower-case and drop
-    white space; other columns are ignored. ``cached_words`` and
+    is one piece holding ``end_id``. The strings of special tokens become those
+    tokens, as in the library's plain call. The tokenizer must lower-case and
+    drop white space; other columns are ignored. ``cached_words`` and
     ``slice_bytes`` trade a worker's memory for time, nothing else."""
     src = named(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     kind = src.schema["doc_id"].dataType.simpleString()

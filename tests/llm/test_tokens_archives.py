@@ -5,9 +5,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +72,6 @@ def word_ids():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -93,7 +94,7 @@ def test_word_ids_equal_the_tokenizers(documents, awkward, word_ids):
 
 def test_full_cache_changes_nothing(word_ids):
     encoder = word_bpe.WordEncoder(WORDS, cached_words=3)
-    texts = ["one two, three. four", "two, five six seven", "a\0b \0 one", "one two, three. four"]
+    texts = ["one two, three. four", "two, five six seven", "a\0b \0 one", "one two, three. four", "One<|endoftext|>. TWO <|endofTEXT|>"]
     for _ in range(2):
         ids, ends = encoder.encode(pa.array(["skipped", *texts, None, " \t a  b "])[1:])
         got = [ids[a:b].tolist() for a, b in zip([0, *ends], ends)]
@@ -286,9 +287,9 @@ def test_relaxed_search_keeps_recall(spark):
     centres = rng.normal(0, 1, (20, 16))
     x = centres[rng.integers(0, 20, 3000)] + rng.normal(0, 0.2, (3000, 16))
     ids = np.arange(3000)
-    tree = vantage_tree.Tree.build(ids, x, float(np.linalg.norm(x, axis=1).max()) + 1e-9)
-    exact, _ = tree.search(ids[:100], x[:100], 10, 1.0)
-    loose, _ = tree.search(ids[:100], x[:100], 10, 1.2)
+    tree = vantage_tree.Tree.build(ids, x)
+    exact = tree.search(ids[:100], x[:100], 10, 1.0)[0]
+    loose = tree.search(ids[:100], x[:100], 10, 1.2)[0]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(exact.tolist(), loose.tolist())]) >= 0.9
     again = vantage_tree.Tree.load(tree.dump())
     assert (again.search(ids[:100], x[:100], 10, 1.0)[0] == exact).all()
@@ -305,6 +306,25 @@ def test_neighbours_defined_results(spark):
         (0, 1, 1, 1.0), (0, 2, 1, 1.0), (0, 3, 20, 0.5), (0, 4, 9, -1.0),
         (20, 1, 0, 0.5), (20, 2, 1, 0.5), (20, 3, 1, 0.5), (20, 4, 9, -1.0),
     ]
+    # huge finite vectors, several dimensions, negative ids: each served
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.normal(size=3)]) for i in range(-700, 700)]
+    rows += [(1000 + i, [1e200 * (i % 3 - 1), 1e-200, -1e200]) for i in range(40)]
+    rows += [(2000 + i, [float(v) for v in rng.normal(size=5)]) for i in range(50)] + [(2020, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in vantage_tree.search(df, df.where("vec_id % 20 = 0"), k=7, shard_rows=300, task_queries=16).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    asked = {}
+    for i, v in rows:
+        if i % 20 == 0:
+            asked[i] = min(asked.get(i, v), v, key=lambda x: (len(x), x))
+    assert asked.pop(2020) == [1.0] and got.keys() == asked.keys()  # nothing else has one component
+    for i, q in asked.items():
+        scores = [(reduce(lambda s, x: s + x[0] * x[1], zip(q, v), 0.0), j) for j, v in rows if j != i and len(v) == len(q)]
+        scores.sort(key=lambda x: (math.isnan(x[0]), 0 if math.isnan(x[0]) else -x[0], x[1]))
+        assert [got[i][n][0] for n in sorted(got[i])] == [j for _, j in scores[:7]], i
+        assert [got[i][n][1] for n in sorted(got[i])] == [s for s, _ in scores[:7]], i
     empty = df.where("vec_id > 100")
     assert vantage_tree.search(empty, empty).count() == 0
     assert vantage_tree.search(df, empty).count() == 0
