@@ -3,9 +3,12 @@
 Logistic regression over the words a text holds and the beginnings that its
 words share (present or not, so length is no evidence; inflected insults
 meet in their stem), with an L1 penalty that leaves only features which
-matter, and a counterfactual penalty: for every labelled text that mentions a group, the
-same text with the mention swapped for another group must get the same
-score. Neutral mentions then carry no weight of their own.
+matter, and a counterfactual penalty: a labelled text and the same text with
+its group mentions swapped for others of their kind must get the same score.
+Labelled texts seldom mention a group, and where they do the mentions may go
+with the label. So every text is also used with a neutral mention put in,
+label unchanged, and the swaps are taken of that, too. Neutral mentions then
+carry no weight of their own, nor do the stems that they share with insults.
 """
 
 from __future__ import annotations
@@ -73,10 +76,28 @@ def counterfactuals(words: set[str], groups=IDENTITY_GROUPS) -> list[set[str]]:
     return out
 
 
+def put_in(words: set[str], number: int, groups=IDENTITY_GROUPS) -> tuple[set[str], list[set[str]]]:
+    """(the words with one neutral mention put in, the same with each other
+    term of its group in its place). ``number`` picks group and term in turn;
+    terms that the text holds already are left to :func:`counterfactuals`."""
+    group = groups[number % len(groups)]
+    free = [t for t in group if t not in words]
+    if len(free) < 2:
+        return words, []
+    term = free[number // len(groups) % len(free)]
+    return words | {term}, [words | {t} for t in free if t != term]
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
+    """``swaps``: pairs of texts that the counterfactual penalty has compared;
+    ``gap``: the root mean square of what is left of their difference, before
+    the logistic function."""
+
     weights: dict[str, float]
     bias: float
+    swaps: int = 0
+    gap: float = 0.0
 
     def score(self, text: str | None) -> float:
         """Probability of label 1; an empty or null text gets the bias alone."""
@@ -95,11 +116,22 @@ def train(
     steps: int = 200,
 ) -> ToxicityModel:
     """Accelerated proximal gradient on log loss + counterfactual penalty,
-    soft-thresholded for the L1 part. Classes weigh the same in all."""
+    soft-thresholded for the L1 part. Classes weigh the same in all, and a
+    text as it is as much as with a mention put in. Features are those of at
+    least ``min_docs`` training texts: the ``max_features`` that go most with
+    the label, and besides them all that a swap changes, so that the penalty
+    reaches them."""
     if not len(texts) or toxic.all() or not toxic.any():
         share = float(toxic.mean()) if len(texts) else 0.0
         return ToxicityModel({}, float(np.clip(np.log((share + 1e-3) / (1 - share + 1e-3)), -7, 7)))
 
+    plain, changed = texts, []
+    texts, toxic = list(plain), np.concatenate([toxic, toxic])
+    for i, t in enumerate(plain):
+        mentioned, others = put_in(t, i)
+        texts.append(mentioned)
+        changed += [(mentioned, o) for o in others]
+        changed += [(t, c) for c in counterfactuals(t)]
     known, in_toxic = Counter(), Counter()
     for t, bad in zip(texts, toxic):
         features = features_of(t)
@@ -113,7 +145,9 @@ def train(
         n, share = known[f], toxic.mean()
         return abs(in_toxic[f] - n * share) / np.sqrt(n * share * (1 - share))
 
-    often = sorted(often, key=association, reverse=True)[:max_features]
+    mentions = features_of({x for g in IDENTITY_GROUPS for x in g})
+    often = sorted(often, key=association, reverse=True)[:max_features] + [f for f in often if f in mentions]
+    often = list(dict.fromkeys(often))
     vocabulary = {f: i for i, f in enumerate(sorted(often))}
     del known, in_toxic
     # only features of the vocabulary are kept per text
@@ -124,8 +158,10 @@ def train(
         return (np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
 
     rows, cols = sparse(held)
-    swaps = [(h, features_of(c).intersection(vocabulary)) for t, h in zip(texts, held) for c in counterfactuals(t)]
-    gone, come = sparse([b - a for b, a in swaps]), sparse([a - b for b, a in swaps])
+    # of a swap only the features that differ are kept
+    swaps = [_differing(a, b, vocabulary) for a, b in changed]
+    del changed
+    gone, come = sparse([a for a, _ in swaps]), sparse([b for _, b in swaps])
     d_rows, d_cols = np.concatenate([gone[0], come[0]]), np.concatenate([gone[1], come[1]])
     d_sign = np.concatenate([np.ones(len(gone[0])), -np.ones(len(come[0]))])
 
@@ -161,7 +197,19 @@ def train(
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, vb = new + (t - 1) / nt * (new - w), new_b + (t - 1) / nt * (new_b - b)
         w, b, t = new, new_b, nt
-    return ToxicityModel({x: float(w[i]) for x, i in vocabulary.items() if w[i] != 0.0}, float(b))
+    left = np.bincount(d_rows, d_sign * w[d_cols], len(swaps)) if len(swaps) else np.zeros(1)
+    weights = {x: float(w[i]) for x, i in vocabulary.items() if w[i] != 0.0}
+    return ToxicityModel(weights, float(b), len(swaps), float(np.sqrt(np.mean(left * left))))
+
+
+def _differing(before: set[str], after: set[str], vocabulary: dict[str, int]) -> tuple[set[str], set[str]]:
+    """(features gone, features come) of a swap, of those in the vocabulary.
+    Only stems of words that have gone or come can change their count."""
+    gone, come = before - after, after - before
+    stems = {w[:k] for w in gone | come for k in STEMS if len(w) >= k}
+    near = gone | come | {w for w in before | after if any(w[:k] in stems for k in STEMS)}
+    a, b = (features_of(near & x).intersection(vocabulary) for x in (before, after))
+    return a - b, b - a
 
 
 def fit(
@@ -174,7 +222,8 @@ def fit(
     sample_rows: int = 6_000,
 ) -> ToxicityModel:
     """Learn from at most ``sample_rows`` labelled rows (smallest id hash,
-    at most ``common.SAMPLE_BYTES`` of text) for which ``training`` (a condition on ``doc_id``) holds."""
+    at most ``common.SAMPLE_BYTES`` of text) for which ``training`` (a
+    condition on ``doc_id``) holds; see :func:`train` for its parameters."""
     wanted = named(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
     wanted = wanted.where(F.lit(True) if training is None else training).distinct()
     chosen = F.broadcast(bounded_sample(wanted, "doc_id", sample_rows))

@@ -194,6 +194,44 @@ def test_counterfactuals_swap_within_groups():
     assert toxicity.counterfactuals({"the", "doctor"}) == []
 
 
+def test_mentions_put_in_are_swapped():
+    base, others = toxicity.put_in({"the", "doctor"}, 3)
+    term = (base - {"the", "doctor"}).pop()
+    group = next(g for g in toxicity.IDENTITY_GROUPS if term in g)
+    assert {frozenset(o) for o in others} == {frozenset({"the", "doctor", t}) for t in group if t != term}
+    for k in range(200):
+        a, swapped = toxicity.put_in({"muslim", "home"}, k)
+        for b in swapped:
+            whole = toxicity.features_of(a) - toxicity.features_of(b), toxicity.features_of(b) - toxicity.features_of(a)
+            assert toxicity._differing(a, b, {f: 0 for x in whole for f in x}) == whole
+
+
+def test_counterfactual_penalty_acts_on_the_given_documents(spark):
+    """No labelled text of the given tables mentions a group; the penalty has
+    swaps all the same, and narrows the scores of neutral sentences that
+    differ in the mention alone."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(labels, "doc_id").where(fold("doc_id", 5) != 0).select("text", "toxic").collect()
+    texts, toxic = [toxicity.words_of(r.text) for r in rows], np.array([r.toxic == 1 for r in rows])
+    model, free = (toxicity.train(texts, toxic, counterfactual=c) for c in (1.0, 0.0))
+    assert model.swaps > len(texts) and model.swaps == free.swaps and model.gap < free.gap
+
+    def spread(m):
+        clean = [" ".join(sorted(t)) for t, bad in zip(texts, toxic) if not bad][:40]
+        gaps = []
+        for group in toxicity.IDENTITY_GROUPS:
+            for t in clean:
+                z = [m.bias + sum(m.weights.get(f, 0.0) for f in toxicity.features_of(toxicity.words_of(f"{t} {x}"))) for x in group]
+                gaps.append(max(z) - min(z))
+        return float(np.mean(gaps))
+
+    assert spread(model) < 0.5 * spread(free)
+    held = docs.join(labels, "doc_id").where(fold("doc_id", 5) == 0).select("text", "toxic").collect()
+    right = [(model.score(r.text) >= 0.5) == (r.toxic == 1) for r in held if r.toxic is not None]
+    assert np.mean(right) > 0.9
+
+
 def test_toxicity_defined_results(documents, awkward):
     pairs, toxic = make_toxic(100)
     df = documents(pairs, toxic=toxic)
