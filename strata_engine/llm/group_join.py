@@ -41,6 +41,8 @@ from strata_engine.session import fits_broadcast, materialize
 BUCKET_TOKENS = 500_000
 # Tokens that a task gathers before it sends them off.
 SEGMENT_TOKENS = 600_000
+# Documents gathered at most before they are sent off (those without words have no tokens).
+SEGMENT_ROWS = 50_000
 MAX_CACHED_WORDS = 100_000
 
 # Sets that ask a group, and members of the group, that meet in one task.
@@ -129,7 +131,7 @@ def _sketch(docs: DataFrame, words: int, percent: int, share: int, buckets: int)
                     shorts.append(int(needed(len(t), percent)) - (len(t) - len(some)))
                     parts.append(some)
                     held += len(some)
-                if held > SEGMENT_TOKENS:
+                if held > SEGMENT_TOKENS or len(ids) > SEGMENT_ROWS:
                     yield from emit(ids, ns, fps, shorts, parts)
                     ids, ns, fps, shorts, parts, held = [], [], [], [], [], 0
         if ids:

@@ -34,6 +34,8 @@ MIN_WORDS = 20
 GRAM = 8
 BUCKET_ENTRIES = 500_000
 SEGMENT_ENTRIES = 400_000
+# Documents gathered at most before they are sent off (short ones have no entries).
+SEGMENT_ROWS = 50_000
 MAX_CACHED_WORDS = 100_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -146,7 +148,7 @@ def _seeds(docs: DataFrame, min_words: int, gram: int, buckets: int) -> DataFram
                     fps.append(fp)
                     parts.append(found)
                     held += len(found)
-                if held > SEGMENT_ENTRIES:
+                if held > SEGMENT_ENTRIES or len(ids) > SEGMENT_ROWS:
                     yield from emit(ids, ns, fps, parts)
                     ids, ns, fps, parts, held, seen = [], [], [], [], 0, set()
         if ids:
@@ -200,14 +202,15 @@ def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> D
         return late
 
     def emit(parts):
-        keys, checks, owners, starts, anchors = (np.concatenate(x) for x in zip(*parts))
+        keys, checks, owners, starts = (np.concatenate(x) for x in zip(*parts))
         late = later(keys, checks, owners, starts)
         ids, held = spread(owners[late], starts[late])
         if len(ids):
             yield _batch(target, bucket=[int(i) % buckets for i in ids], id=ids, starts=held)
         first = ~late
-        # windows of one anchor go to one bucket, next to one another
-        for b, (_, k, c, o, s) in by_bucket(anchors[first], buckets, keys[first], checks[first], owners[first], starts[first]):
+        # dealt by the window's own hash: only equal windows have to meet, and
+        # the windows of a common anchor are many
+        for b, (k, c, o, s) in by_bucket(keys[first], buckets, checks[first], owners[first], starts[first]):
             yield _batch(target, bucket=[b], segment=owners[:1], keys=[k], checks=[c], owners=[o], starts=[s])
 
     def run(batches):
@@ -227,7 +230,7 @@ def _extensions(seeded: DataFrame, min_words: int, gram: int, buckets: int) -> D
                     if not len(at):
                         continue
                     checks = (anchors[at] >> np.uint64(32)).astype(np.uint32)
-                    parts.append((tool.windows(h)[at], checks, np.full(len(at), i, np.int64), at.astype(np.int32), anchors[at]))
+                    parts.append((tool.windows(h)[at], checks, np.full(len(at), i, np.int64), at.astype(np.int32)))
                     held += len(at)
                 if held > SEGMENT_ENTRIES:
                     yield from emit(parts)
