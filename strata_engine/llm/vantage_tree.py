@@ -73,9 +73,7 @@ class Tree:
     def build(cls, ids: np.ndarray, points: np.ndarray, seed: int = 11) -> Tree:
         by_id = np.argsort(ids, kind="stable")
         ids, points = ids[by_id], points[by_id]
-        scaled, _ = _down(points, None)
-        norm2 = np.einsum("pd,pd->p", scaled, scaled)
-        extra = np.sqrt(np.maximum(norm2.max(initial=0.0) * (1 + 1e-12) - norm2, 0.0))
+        scaled, extra = cls._space(points)
         rng = np.random.default_rng(seed)
         order = np.arange(len(ids))
         pivot, radius, inner, outer, low, high = [], [], [], [], [], []
@@ -111,15 +109,24 @@ class Tree:
         as_ints = [np.array(v, np.int64) for v in (pivot, inner, outer, low, high)]
         return cls(ids, points, scaled, extra, as_ints[0], np.array(radius, float), *as_ints[1:], order)
 
+    @staticmethod
+    def _space(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(points scaled down, their extra coordinate)."""
+        scaled, _ = _down(points, None)
+        norm2 = np.einsum("pd,pd->p", scaled, scaled)
+        return scaled, np.sqrt(np.maximum(norm2.max(initial=0.0) * (1 + 1e-12) - norm2, 0.0))
+
     def dump(self) -> bytes:
+        """Without what follows from the points: half the bytes to shuffle."""
         out = io.BytesIO()
-        np.savez(out, **vars(self))
+        np.savez(out, **{k: v for k, v in vars(self).items() if k not in ("scaled", "extra")})
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> Tree:
         with np.load(io.BytesIO(data)) as held:
-            return cls(**{k: held[k] for k in held.files})
+            scaled, extra = cls._space(held["points"])
+            return cls(scaled=scaled, extra=extra, **{k: held[k] for k in held.files})
 
     def search(
         self, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float
