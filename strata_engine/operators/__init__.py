@@ -2,6 +2,7 @@
 
 from strata_engine.operators import (  # noqa: F401
     clean,
+    moments,
     profile,
     quality,
     ranking,
@@ -10,5 +11,7 @@ from strata_engine.operators import (  # noqa: F401
     schema,
     split,
     strata,
+    summary,
     transform,
+    verdicts,
 )

@@ -27,7 +27,7 @@ PRIORITY_LABELS = {
     3: "Medium",
     4: "Not specified",
     5: "Low",
-    -9: "Missing/unknown/not collected/invalid",
+    -9: "No answer",
 }
 ID_BASE = 20210000000
 PRICE_FLOOR = 1500

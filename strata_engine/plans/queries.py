@@ -249,7 +249,7 @@ def null_row_drop(spark, sf):
     return clean.drop_null_rows(_lineitem_nulls(spark, sf)).select(*LINEITEM_COLS)
 
 
-DEMO_CODES = {1: "One", 2: "Two", 3: "Three", -9: "Missing/unknown/not collected/invalid"}
+DEMO_CODES = {1: "One", 2: "Two", 3: "Three", -9: "No answer"}
 CODE_EXPR_SQL = "CASE WHEN l_tax = 0 THEN -9 WHEN l_discount = 0 THEN NULL ELSE l_linenumber END"
 CODE_MAP_SQL = (
     f"SELECT l_orderkey, l_linenumber, code, CASE code "
