@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata_engine.llm.common import map_texts, named, sample_keys
-from strata_engine.llm.html_blocks import Block, blocks, bucket
+from strata_engine.llm.html_blocks import Block, Element, blocks, bucket
 
 PATH_DIMS, TAG_DIMS, WORD_DIMS, SIZE_DIMS = 96, 16, 48, 6
 DIMS = PATH_DIMS + TAG_DIMS + WORD_DIMS + SIZE_DIMS
@@ -59,7 +59,9 @@ SHORT = (
     "Nous utilisons des cookies.", "Inicio", "Aviso legal", "Comentarios", "Utilizamos cookies.",
 )
 CONTENT_TAGS = ("p", "p", "p", "p", "div", "h2", "h3", "li", "blockquote", "td", "pre")
-# Elements and names above a block that say it is not main text.
+# Elements above a block that say it is main text, and elements and names
+# that say it is not.
+MAIN_PATH = frozenset(("article", "main"))
 NOT_MAIN_PATH = frozenset(
     "nav header footer aside form .nav .menu .sidebar .footer .ad .ads .advert .cookie .notice .comment .comments .banner".split()
 )
@@ -79,22 +81,18 @@ def _word_bucket(word: str) -> int:
 def vectors(page: list[Block]) -> np.ndarray:
     """One row of DIMS numbers per block."""
     out = np.zeros((len(page), DIMS))
-    paths: dict[tuple[str, ...], np.ndarray] = {}
     total = sum(len(b.text) for b in page) or 1
     seen = 0
     for row, b in zip(out, page):
-        path = paths.get(b.path)
-        if path is None:
-            at = [bucket(t, PATH_DIMS) for t in b.path]
-            path = paths[b.path] = np.minimum(np.bincount(at, minlength=PATH_DIMS), 2.0)
-        row[:PATH_DIMS] = path
+        if b.element is not None:
+            row[:PATH_DIMS] = np.frombuffer(b.element.counts(PATH_DIMS, 2), np.uint8)
         row[PATH_DIMS + bucket(b.tag, TAG_DIMS)] = 1.0
         words = b.text.lower().split()
         counts = np.bincount(list(map(_word_bucket, words)), minlength=WORD_DIMS)
         row[PATH_DIMS + TAG_DIMS : PATH_DIMS + TAG_DIMS + WORD_DIMS] = counts / np.sqrt(float(counts @ counts))
         stops = b.text.count(".") + b.text.count(",")
         row[-SIZE_DIMS:] = (
-            np.log1p(len(words)) / 5, b.linked / max(len(b.text), 1), stops / len(words), seen / total, len(b.text) / total, len(b.path) / 10
+            np.log1p(len(words)) / 5, b.linked / max(len(b.text), 1), stops / len(words), seen / total, len(b.text) / total, b.path_length / 10
         )
         seen += len(b.text)
     return out
@@ -239,10 +237,22 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 8, group: in
 def own_labels(page: list[Block]) -> np.ndarray | None:
     """1 for blocks of the article or main element outside any part that is
     named otherwise; None for a page without such an element."""
-    inside = [("article" in b.path or "main" in b.path) for b in page]
-    if not any(inside):
+    known: dict[Element | None, tuple[bool, bool]] = {None: (False, False)}
+    found = []
+    for b in page:
+        above, at = [], b.element
+        while at not in known:
+            above.append(at)
+            at = at.around
+        inside, other = known[at]
+        for at in reversed(above):
+            inside = inside or not MAIN_PATH.isdisjoint(at.tokens)
+            other = other or not NOT_MAIN_PATH.isdisjoint(at.tokens)
+            known[at] = inside, other
+        found.append((inside, other))
+    if not any(inside for inside, _ in found):
         return None
-    return np.array([float(i and not NOT_MAIN_PATH.intersection(b.path)) for i, b in zip(inside, page)])
+    return np.array([float(inside and not other) for inside, other in found])
 
 
 def rebuilt(texts: list[str], rng: np.random.Generator) -> tuple[str, list[bool]]:
@@ -295,11 +305,12 @@ def rebuilt(texts: list[str], rng: np.random.Generator) -> tuple[str, list[bool]
 
 def training_pages(pages: list[str], layouts: int = 3, seed: int = 2) -> list[tuple[np.ndarray, np.ndarray]]:
     """(vectors, labels) of the pages themselves and of ``layouts`` rebuilt
-    ones for each; rebuilt pages use the pages' own texts."""
+    ones for each; rebuilt pages use the pages' own texts, and the first
+    words of some as headings."""
     rng = np.random.default_rng(seed)
     parsed = [b for b in map(blocks, pages) if b]
     out = [(vectors(b), y) for b in parsed if (y := own_labels(b)) is not None]
-    texts = [b.text[:600] for page in parsed for b in page if len(b.text) > 40] or list(SHORT)
+    texts = [b.text for page in parsed for b in page if len(b.text) > 40] or list(SHORT)
     for _ in range(layouts * max(len(parsed), 20)):
         page, labels = rebuilt(texts, rng)
         found = blocks(page)
@@ -310,11 +321,13 @@ def training_pages(pages: list[str], layouts: int = 3, seed: int = 2) -> list[tu
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_rows: int = 250) -> Labeller:
     """Train on at most ``sample_rows`` pages (smallest id hash, at most
-    ``common.SAMPLE_BYTES``)."""
+    ``common.SAMPLE_BYTES``; of pages that share an id, those with the
+    smallest hash of their text, twice ``sample_rows`` in all)."""
     src = named(pages, page_id=id_col, html=html_col).where("page_id is not null and html is not null")
     src = src.withColumn("html", F.col("html").cast("string"))
     keys = sample_keys(src, "page_id", "html", sample_rows)
-    rows = src.join(F.broadcast(keys), "page_id", "left_semi").limit(2 * sample_rows).collect()
+    rows = src.join(F.broadcast(keys), "page_id", "left_semi").select("html")
+    rows = rows.orderBy(F.xxhash64("html"), "html").limit(2 * sample_rows).collect()
     return train(training_pages(sorted(r["html"] for r in rows)))
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 # Fixed values of the HTML vocabulary.
@@ -34,13 +35,64 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 _PART = re.compile(r"[a-z]+")
 
 
+class Element:
+    """An open element: its own tokens ("tag", then ".name"s) and the element
+    around it. Blocks share their elements, so a page takes memory in
+    proportion to its markup however deeply that is nested."""
+
+    __slots__ = ("tag", "tokens", "around", "length", "block_tag", "_counts")
+
+    def __init__(self, tag: str, tokens: tuple[str, ...], around: Element | None):
+        self.tag, self.tokens, self.around = tag, tokens, around
+        self.length = len(tokens) + (around.length if around else 0)
+        self.block_tag = tag if tag not in INLINE else around.block_tag if around else ""
+        self._counts: bytes | None = None
+
+    def path(self) -> tuple[str, ...]:
+        """The tokens of all elements, outermost first."""
+        parts, at = [], self
+        while at is not None:
+            parts.append(at.tokens)
+            at = at.around
+        return tuple(x for tokens in reversed(parts) for x in tokens)
+
+    def counts(self, dims: int, most: int) -> bytes:
+        """How often each hash bucket occurs along the path, ``most`` at the
+        most; of every element found once, from the one around it."""
+        open_ones, at = [], self
+        while at is not None and at._counts is None:
+            open_ones.append(at)
+            at = at.around
+        held = at._counts if at is not None else bytes(dims)
+        for at in reversed(open_ones):
+            made = bytearray(held)
+            for token in at.tokens:
+                b = bucket(token, dims)
+                made[b] = min(made[b] + 1, most)
+            held = at._counts = bytes(made)
+        return held
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # outermost element first; "tag" and ".name" tokens
-    tag: str  # innermost block element
+    element: Element | None  # innermost open element
     linked: int  # characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Outermost element first; "tag" and ".name" tokens."""
+        return self.element.path() if self.element else ()
+
+    @property
+    def path_length(self) -> int:
+        return self.element.length if self.element else 0
+
+    @property
+    def tag(self) -> str:
+        """Innermost block element."""
+        return self.element.block_tag if self.element else ""
+
 
 def names_of(attributes: str) -> tuple[str, ...]:
     """Letter runs of the class, id and role values, as ".name" tokens."""
@@ -55,15 +107,18 @@ def blocks(page: str | None) -> list[Block]:
     as one space, trimmed, empty ones left out. None is an empty page."""
     page = page or ""
     out: list[Block] = []
-    open_tags: list[tuple[str, tuple[str, ...]]] = []
+    open_tags: list[Element] = []
+    # of the open tags: how many of each since the innermost container, then
+    # since the one around that, ...; searches that would find nothing end here
+    frames: list[Counter] = [Counter()]
+    opened: Counter = Counter()
     text: list[str] = []
     state = {"link": 0, "linked": 0}
 
     def flush():
         joined = " ".join("".join(text).split())
         if joined:
-            tag = next((t for t, _ in reversed(open_tags) if t not in INLINE), "")
-            out.append(Block(joined, tuple(x for _, names in open_tags for x in names), tag, state["linked"]))
+            out.append(Block(joined, open_tags[-1] if open_tags else None, state["linked"]))
         text.clear()
         state["linked"] = 0
 
@@ -74,10 +129,25 @@ def blocks(page: str | None) -> list[Block]:
             if state["link"]:
                 state["linked"] += len(piece.strip())
 
-    def pop_to(index):
-        for tag, _ in open_tags[index:]:
+    def push(tag, tokens):
+        open_tags.append(Element(tag, tokens, open_tags[-1] if open_tags else None))
+        opened[tag] += 1
+        frames[-1][tag] += 1
+        if tag in CONTAINER:
+            frames.append(Counter())
+        state["link"] += tag == "a"
+
+    def pop_to(tags):
+        """Close elements up to and with the innermost one of ``tags``."""
+        while True:
+            tag = open_tags.pop().tag
+            if tag in CONTAINER:
+                frames.pop()
+            opened[tag] -= 1
+            frames[-1][tag] -= 1
             state["link"] -= tag == "a"
-        del open_tags[index:]
+            if tag in tags:
+                return
 
     at = 0
     while True:
@@ -97,9 +167,8 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in INLINE:
             flush()
         if m.group(1):
-            found = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
-            if found is not None:
-                pop_to(found)
+            if opened[tag]:
+                pop_to((tag,))
             continue
         if tag in RAW:
             if not m.group(3).endswith("/"):
@@ -111,13 +180,9 @@ def blocks(page: str | None) -> list[Block]:
         ends = CLOSES.get(tag)
         if ends or tag in CONTAINER or tag[0] == "h":
             ends = ends or CLOSES["p"]  # a paragraph holds no block
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] in ends:
-                    pop_to(i)
-                elif open_tags[i][0] in CONTAINER:
-                    break
-        open_tags.append((tag, (tag, *names_of(m.group(3)))))
-        state["link"] += tag == "a"
+            while any(frames[-1][t] for t in ends):
+                pop_to(ends)
+        push(tag, (tag, *names_of(m.group(3))))
 
 
 def bucket(token: str, dims: int) -> int:

@@ -7,6 +7,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 from functools import reduce
@@ -351,6 +352,40 @@ def test_blocks_of_broken_markup():
     assert [b.text for b in blocks("a < b &am c")] == ["a < b &am c"]
 
 
+def test_hostile_pages_take_time_in_proportion_to_their_size():
+    n = 40_000
+    pages = {
+        "unclosed": "<div>x" * n, "inline": "<b>x" * n + "<hr>y" * n, "stray": "<x1>" * n + "</x2>t" * n, "headings": "<div>" + "<h1>t" * n,
+        "cells": "<table><td>" + "<i>" * n + "<td>t" * n, "listed": "<ul><li>" + "<em>a<li>" * n, "quotes": '<a "b' * n, "brackets": "<" * n,
+    }
+    began = time.process_time()
+    for name, page in pages.items():
+        found = blocks(page)
+        x = block_lstm.vectors(found[-4_000:])
+        block_lstm.own_labels(found)
+        assert len(x) == min(len(found), 4_000), name
+    assert time.process_time() - began < 120  # quadratic work would take hours
+    found = blocks("<div>x" * 300)
+    assert found[299].path == ("div",) * 300 and found[299].path_length == 300 and found[299].tag == "div"
+    assert block_lstm.vectors(found)[299][: block_lstm.PATH_DIMS].max() == 2.0
+
+
+def test_labeller_on_held_out_layouts():
+    """Pages rebuilt in layouts and with texts that the training has not drawn."""
+    train_on, held = [p[2] for p in make_pages(60)], [p[3].split("\n") for p in make_pages(90)[60:]]
+    model = block_lstm.train(block_lstm.training_pages(train_on))
+    rng = np.random.default_rng(77)
+    right = total = 0
+    for texts in held:
+        page, labels = block_lstm.rebuilt(texts, rng)
+        found = blocks(page)
+        if len(found) == len(labels):
+            (marks,) = model.label([block_lstm.vectors(found)])
+            right += int(((marks >= 0.5) == np.array(labels)).sum())
+            total += len(labels)
+    assert total > 300 and right / total > 0.95
+
+
 def make_pages(n):
     rng = random.Random(7)
     out = []
