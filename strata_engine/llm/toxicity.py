@@ -125,15 +125,22 @@ def train(
         share = float(toxic.mean()) if len(texts) else 0.0
         return ToxicityModel({}, float(np.clip(np.log((share + 1e-3) / (1 - share + 1e-3)), -7, 7)))
 
-    plain, changed = texts, []
-    texts, toxic = list(plain), np.concatenate([toxic, toxic])
-    for i, t in enumerate(plain):
-        mentioned, others = put_in(t, i)
-        texts.append(mentioned)
-        changed += [(mentioned, o) for o in others]
-        changed += [(t, c) for c in counterfactuals(t)]
+    plain, toxic = texts, np.concatenate([toxic, toxic])
+
+    # made anew whenever they are gone through: only numbers are kept of them
+    def rows_of_text():
+        yield from plain
+        for i, t in enumerate(plain):
+            yield put_in(t, i)[0]
+
+    def swaps_of_text():
+        for i, t in enumerate(plain):
+            mentioned, others = put_in(t, i)
+            yield from ((mentioned, o) for o in others)
+            yield from ((t, c) for c in counterfactuals(t))
+
     known, in_toxic = Counter(), Counter()
-    for t, bad in zip(texts, toxic):
+    for t, bad in zip(rows_of_text(), toxic):
         features = features_of(t)
         known.update(features)
         if bad:
@@ -150,20 +157,28 @@ def train(
     often = list(dict.fromkeys(often))
     vocabulary = {f: i for i, f in enumerate(sorted(often))}
     del known, in_toxic
-    # only features of the vocabulary are kept per text
-    held = [features_of(t).intersection(vocabulary) for t in texts]
+    n = len(toxic)
+
+    def columns(features):
+        return np.array(sorted(map(vocabulary.__getitem__, features.intersection(vocabulary))), np.int32)
+
     def sparse(sets):
-        """Row and column numbers of the ones of a 0/1 matrix."""
-        pairs = [(r, vocabulary[w]) for r, s in enumerate(sets) for w in sorted(s) if w in vocabulary]
-        return (np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
-
-    rows, cols = sparse(held)
-    # of a swap only the features that differ are kept
-    swaps = [_differing(a, b, vocabulary) for a, b in changed]
-    del changed
-    gone, come = sparse([a for a, _ in swaps]), sparse([b for _, b in swaps])
-    d_rows, d_cols = np.concatenate([gone[0], come[0]]), np.concatenate([gone[1], come[1]])
-    d_sign = np.concatenate([np.ones(len(gone[0])), -np.ones(len(come[0]))])
+        """Row and column numbers of the ones of a 0/1 matrix, its rows."""
+        held = [columns(x) for x in sets]
+        sizes = [len(x) for x in held]
+        return np.repeat(np.arange(len(held), dtype=np.int32), sizes), np.concatenate([*held, np.zeros(0, np.int32)])
+
+    rows, cols = sparse(map(features_of, rows_of_text()))
+    gone, come = [], []
+    for before, after in swaps_of_text():  # of a swap only the features that differ
+        a, b = _differing(before, after, vocabulary)
+        gone.append(columns(a))
+        come.append(columns(b))
+    swaps = len(gone)
+    each_way = [(np.repeat(np.arange(swaps), [len(x) for x in way]), np.concatenate([*way, np.zeros(0, np.int32)])) for way in (gone, come)]
+    del gone, come
+    d_rows, d_cols = (np.concatenate([way[k] for way in each_way]) for k in (0, 1))
+    d_sign = np.repeat([1.0, -1.0], [len(way[0]) for way in each_way])
 
     y = toxic.astype(float)
     each = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
@@ -172,15 +187,15 @@ def train(
     w, v, b, vb, t = np.zeros(m), np.zeros(m), 0.0, 0.0, 1.0
 
     def objective_gradient(w, b):
-        z = np.bincount(rows, w[cols], len(texts)) + b
+        z = np.bincount(rows, w[cols], n) + b
         p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
         loss = float(each @ np.logaddexp(0, np.where(toxic, -z, z)))
         e = each * (p - y)
         g = np.bincount(cols, e[rows], m)
-        if len(swaps):
-            d = np.bincount(d_rows, d_sign * w[d_cols], len(swaps))
-            loss += counterfactual * float(d @ d) / len(swaps)
-            g += 2 * counterfactual / len(swaps) * np.bincount(d_cols, d_sign * d[d_rows], m)
+        if swaps:
+            d = np.bincount(d_rows, d_sign * w[d_cols], swaps)
+            loss += counterfactual * float(d @ d) / swaps
+            g += 2 * counterfactual / swaps * np.bincount(d_cols, d_sign * d[d_rows], m)
         return loss, g, float(e.sum())
 
     for _ in range(steps):
@@ -197,9 +212,9 @@ def train(
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, vb = new + (t - 1) / nt * (new - w), new_b + (t - 1) / nt * (new_b - b)
         w, b, t = new, new_b, nt
-    left = np.bincount(d_rows, d_sign * w[d_cols], len(swaps)) if len(swaps) else np.zeros(1)
+    left = np.bincount(d_rows, d_sign * w[d_cols], swaps) if swaps else np.zeros(1)
     weights = {x: float(w[i]) for x, i in vocabulary.items() if w[i] != 0.0}
-    return ToxicityModel(weights, float(b), len(swaps), float(np.sqrt(np.mean(left * left))))
+    return ToxicityModel(weights, float(b), swaps, float(np.sqrt(np.mean(left * left))))
 
 
 def _differing(before: set[str], after: set[str], vocabulary: dict[str, int]) -> tuple[set[str], set[str]]:
