@@ -18,7 +18,7 @@ from strata_engine.plans import survey as S
 from strata_engine.plans.layers import LayerResult, run_log
 from strata_engine.plans.publish import source_identity
 from strata_engine.plans.queries import query, table
-from strata_engine.session import scratch_path
+from strata_engine.session import scratch_path, wide_plan
 from strata_engine.sources import writers
 
 COLUMNS = [*S.INT_COLUMNS, S.ID_COLUMN]
@@ -54,7 +54,8 @@ def survey_run(spark, sf) -> dict[str, LayerResult]:
     with _LOCK:
         if key not in _RUNS:
             extract = scratch_path(spark, "survey_csv")
-            writers.save_csv(orders.selectExpr(*FORMULAS), extract)
+            with wide_plan(spark):
+                writers.save_csv(orders.selectExpr(*FORMULAS), extract)
             _RUNS[key] = S.run(spark, S.read_raw(spark, extract), scratch_path(spark, "survey_layers"))
         return _RUNS[key]
 

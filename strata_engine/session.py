@@ -5,7 +5,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +45,37 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strat
     )
 
 
+# For plans over many columns and rules: Java compiles no method of more than
+# 8,000 bytes of code, so longer generated ones would be interpreted for every
+# row; and a partitioned save that keeps that many files open in a task need
+# not sort its rows (beyond them it sorts the rest). Neither changes a result.
+WIDE_CONF = {"spark.sql.codegen.hugeMethodLimit": 8_000, "spark.sql.maxConcurrentOutputFileWriters": 64}
+_wide_lock = threading.Lock()
+_wide: dict[int, list] = {}  # session -> [runs inside, what was set before]
+
+
+@contextmanager
+def wide_plan(spark: SparkSession) -> Iterator[None]:
+    """Actions inside run under ``WIDE_CONF``; a key that the caller has set
+    stays as it is, and after the last of several runs all is as before."""
+    with _wide_lock:
+        held = _wide.setdefault(id(spark), [0, []])
+        if not held[0]:
+            held[1] = [k for k in WIDE_CONF if spark.conf.get(k, None) is None]
+            for k in held[1]:
+                spark.conf.set(k, str(WIDE_CONF[k]))
+        held[0] += 1
+    try:
+        yield
+    finally:
+        with _wide_lock:
+            held[0] -= 1
+            if not held[0]:
+                del _wide[id(spark)]
+                for k in held[1]:
+                    spark.conf.unset(k)
+
+
 class NoSharedFolder(RuntimeError):
     pass
 

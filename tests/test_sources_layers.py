@@ -215,3 +215,33 @@ def test_stream_needs_a_checkpoint(spark, tmp_path):
     stream = spark.readStream.schema("x int").csv(str(tmp_path))
     with pytest.raises(ValueError):
         start_file_sink(stream, str(tmp_path / "out"), "")
+
+
+def test_layers_run_with_small_methods_and_unsorted_saves(spark, tmp_path):
+    """Wide plans: generated methods stay short enough to be compiled, saves
+    need no sort, and the session is as before afterwards."""
+    from strata_engine.plans.layers import Layer, run_layer
+    from strata_engine.session import WIDE_CONF
+
+    seen = []
+
+    def build(inputs):
+        seen.append({k: spark.conf.get(k, None) for k in WIDE_CONF})
+        return inputs["raw"]
+
+    raw = spark.createDataFrame([(i % 100, None if i == 7 else i) for i in range(500)], "a int, b int")
+    run = lambda name: run_layer(spark, Layer(name, build, {"ok": "b % 5 != 0"}, partition_by=["a"], cluster=False), {"raw": raw}, str(tmp_path))
+    before = {k: spark.conf.get(k, None) for k in WIDE_CONF}
+    result = run("x")
+    assert seen == [{k: str(v) for k, v in WIDE_CONF.items()}]
+    assert {k: spark.conf.get(k, None) for k in WIDE_CONF} == before
+    # more partitions in a task than files it may hold open: the rest is sorted, no row is lost
+    assert (result.rows_in, result.rows_out, result.failed) == (500, 399, {"ok": 101})
+    assert sorted(map(tuple, result.frame.collect())) == sorted((i % 100, i) for i in range(500) if i % 5 and i != 7)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "9000")
+    try:
+        run("y")
+        assert seen[1]["spark.sql.codegen.hugeMethodLimit"] == "9000"
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "9000"
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
