@@ -100,6 +100,35 @@ def test_isolation_scores_and_calibration():
     assert quality_forest.calibrate(score, np.zeros(501, bool), 0.1) == 1.0
 
 
+def test_quality_is_learned_from_every_labelled_row(documents):
+    pairs, good = make_quality(documents)
+    df = documents(pairs, quality=good)
+    few, many = (quality_forest.fit(df, df, sample_rows=n) for n in (70, 8_000))
+    stats = quality_forest._stats([t.encode() for _, t in pairs])
+    use = ~quality_forest.base_failed(stats)
+    ratios, good = quality_forest.features(stats)[use], np.array(good, bool)[use]
+    low, high = np.quantile(ratios[good], [1 - 0.999, 0.999], axis=0)
+    for model in (few, many):  # however few rows the trees are drawn from
+        np.testing.assert_allclose(model.low, low, rtol=1e-12)
+        np.testing.assert_allclose(model.high, high, rtol=1e-12)
+        x = model.excess(ratios)
+        again = model.forest.credited(model.forest.counts(x))
+        np.testing.assert_array_equal(again.path, model.forest.path)
+        assert model.cut == quality_forest.calibrate(model.forest.score(x), good, 0.002)
+
+
+def test_order_statistics_are_exact(spark):
+    rng = np.random.default_rng(4)
+    a = np.concatenate([np.zeros(500), rng.pareto(0.3, 900), [1e-12, 1e300]])
+    b = rng.integers(0, 3, len(a)) / 7
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(5)
+    ranks = [0, 1, 499, 500, 501, 700, len(a) - 2, len(a) - 1]
+    found = quality_forest.order_statistics(df, {"a": ranks, "b": ranks})
+    assert found == {(c, k): float(np.sort(v)[k]) for c, v in (("a", a), ("b", b)) for k in ranks}
+    one = spark.createDataFrame([(2.5,)], "a double")
+    assert quality_forest.exact_quantiles(one, ["a"], [0.001, 0.999], 1).tolist() == [[2.5], [2.5]]
+
+
 def make_languages(n=240):
     rng = random.Random(3)
     sounds = {"aa": "tha ing ent ion er", "bb": "sch ung ein keit ü", "cc": "ção ão lh nh ê", "dd": "ija ova ski czy ł"}
